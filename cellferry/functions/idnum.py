@@ -26,12 +26,13 @@ WEIGHTS = (7, 9, 10, 5, 8, 4, 2, 1, 6, 3, 7, 9, 10, 5, 8, 4, 2)
 CHECK_CHARS = "10X98765432"
 
 
-def _check_char(digits17: Column) -> Column:
-    weighted = [
-        (F.ascii(F.substring(digits17, place, 1)) - F.lit(48)) * F.lit(weight)
-        for place, weight in enumerate(WEIGHTS, start=1)
-    ]
-    return F.substring(F.lit(CHECK_CHARS), reduce(add, weighted) % F.lit(11) + F.lit(1), F.lit(1))
+def _digit(c: Column, place: int) -> Column:
+    return F.ascii(F.substring(c, place, 1)) - F.lit(48)
+
+
+def _check_char(digits: list[Column]) -> Column:
+    total = reduce(add, [digit * F.lit(weight) for digit, weight in zip(digits, WEIGHTS, strict=True)])
+    return F.substring(F.lit(CHECK_CHARS), total % F.lit(11) + F.lit(1), F.lit(1))
 
 
 def _is_real_day(yyyymmdd: Column) -> Column:
@@ -63,7 +64,7 @@ def is_valid_18(c: Column) -> Column:
         c.rlike(r"^[0-9]{17}[0-9Xx]\z"),
         F.substring(c, 1, 2).isin(*REGION_CODES)
         & _is_real_day(F.substring(c, 7, 8))
-        & (F.upper(F.substring(c, 18, 1)) == _check_char(c)),
+        & (F.upper(F.substring(c, 18, 1)) == _check_char([_digit(c, n) for n in range(1, 18)])),
     ).otherwise(F.lit(False))
 
 
@@ -73,10 +74,16 @@ def is_valid(c: Column) -> Column:
 
 
 def to_18(c: Column) -> Column:
-    """Upgrade a valid 15 digit number; anything else stays as it is."""
-    trimmed = control_trim(c)
-    longer = F.concat(F.substring(trimmed, 1, 6), F.lit("19"), F.substring(trimmed, 7, 9))
-    return F.when(is_valid_15(trimmed), F.concat(longer, _check_char(longer))).otherwise(c)
+    """Upgrade a valid 15 digit number; anything else stays as it is.
+
+    To check the result, put it in a column first: a check reads its input many times.
+    """
+    id15 = control_trim(c)
+    head = [_digit(id15, n) for n in range(1, 7)]
+    tail = [_digit(id15, n) for n in range(7, 16)]
+    check = _check_char([*head, F.lit(1), F.lit(9), *tail])
+    upgraded = F.concat(F.substring(id15, 1, 6), F.lit("19"), F.substring(id15, 7, 9), check)
+    return F.when(is_valid_15(id15), upgraded).otherwise(c)
 
 
 def validity_class(c: Column) -> Column:

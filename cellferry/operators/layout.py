@@ -37,6 +37,11 @@ def stay_splits() -> list[str]:
 SPLIT_SETS = {"general": general_splits, "two_digit": two_digit_splits, "stay": stay_splits}
 
 
+def _literal_array(texts: Sequence[str]) -> Column:
+    """A constant array, folded when the plan is optimised."""
+    return F.split(F.lit("\n".join(texts)), "\n")
+
+
 def bucket_number(key: Column, splits: Sequence[str]) -> Column:
     """Number of split points not above the key: 0 is the bucket before the first point.
 
@@ -45,7 +50,7 @@ def bucket_number(key: Column, splits: Sequence[str]) -> Column:
     """
     points = sorted(splits)
     width = max(1, round(len(points) ** 0.5))
-    heads, every = F.lit(points[::width]), F.lit(points)
+    heads, every = _literal_array(points[::width]), _literal_array(points)
     stretch = F.size(F.filter(heads, lambda p: p <= key))
     begin = (stretch - 1) * width
     inside = F.size(F.filter(F.slice(every, begin + 1, F.lit(width)), lambda p: p <= key))

@@ -64,20 +64,25 @@ def _bound(text: str, kind: T.DataType, stored_as_text: bool) -> Column:
     return F.lit(read_cursor(text)).cast("timestamp_ntz").cast(kind)
 
 
-def in_window(df: DataFrame, cursor_column: str, window: CursorWindow, cursor_type: str | None = None) -> DataFrame:
-    """Rows of one batch.
+def window_test(df: DataFrame, cursor_column: str, window: CursorWindow, cursor_type: str | None = None) -> Column:
+    """Whether a row belongs to a batch.
 
     A string column is compared as text: with the cursor as it is stored, or with a printed
     ``yyyy-MM-dd HH:mm:ss`` where ``cursor_type`` says that the text is a time.
     """
     if window.start is None:
-        return df
+        return F.lit(True)
     name = bind(df, cursor_column)
     c, kind = F.col(f"`{name}`"), df.schema[name].dataType
     as_text = not cursor_type or cursor_type.strip().lower() == "string"
     low = _bound(window.start, kind, as_text)
-    df = df.where(c >= low if window.inclusive else c > low)
-    return df if window.stop is None else df.where(c < _bound(window.stop, kind, as_text))
+    test = c >= low if window.inclusive else c > low
+    return test if window.stop is None else test & (c < _bound(window.stop, kind, as_text))
+
+
+def in_window(df: DataFrame, cursor_column: str, window: CursorWindow, cursor_type: str | None = None) -> DataFrame:
+    """Rows of one batch; the bounds are pushed into the scan."""
+    return df if window.start is None else df.where(window_test(df, cursor_column, window, cursor_type))
 
 
 def cursor_time(df: DataFrame, cursor_column: str) -> Column:

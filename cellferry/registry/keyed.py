@@ -10,7 +10,7 @@ from ..names import rename_case, sort_columns
 from ..operators.dedupe import batch_metrics, fixed_width, greatest_row, keep_latest
 from ..operators.keys import with_row_key
 from ..operators.upsert import upsert_records
-from ..operators.windows import CursorWindow, in_window, next_cursor_column
+from ..operators.windows import CursorWindow, next_cursor_column, window_test
 from ..plans.jobs import CURSOR_TIME, all_metrics, append_rows_of, export_records, full_load_records, reload_records
 from ..plans.spec import JobSpec
 from . import path, query, table
@@ -125,13 +125,12 @@ _CURSORS_SQL = """WITH top AS (SELECT user_id,
 def _cursors(spark: SparkSession, sf: str, policy: str) -> DataFrame:
     window = CursorWindow.of("20240105000000", 1)
     events = table(spark, sf, "events").select("user_id", "ts")
-    tops = in_window(events, "ts", window).groupBy("user_id").agg(F.max("ts").alias("top"))
-    # users without a row in the window keep a null, and need the whole table once
-    users = events.select("user_id", F.lit(None).cast("timestamp_ntz").alias("top")).distinct()
-    joined = users.unionByName(tops).groupBy("user_id").agg(F.max("top").alias("top"))
+    # users without a row in the window keep a null; one pass serves all of them
+    top = F.max(F.when(window_test(events, "ts", window), F.col("ts")))
+    tops = events.groupBy("user_id").agg(top.alias("top"))
     greatest = digits14(F.col("top"))
     after = next_cursor_column(greatest, F.lit(window.start), F.lit(window.stop), policy, F.lit("20240105180000"))
-    return joined.select("user_id", greatest.alias("greatest"), after.alias("next_cursor"))
+    return tops.select("user_id", greatest.alias("greatest"), after.alias("next_cursor"))
 
 
 @query(_CURSORS_SQL.format("coalesce(greatest, '20240105000000')"))

@@ -37,7 +37,7 @@ def key_sample(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def key_sample_random(spark: SparkSession, sf: str) -> DataFrame:
-    return layout.sample_keys(_event_keys(spark, sf), seed=7)
+    return layout.sample_keys(_event_keys(spark, sf), 0.02, seed=7)
 
 
 def _bucket_sql(points: str, rows: str) -> str:

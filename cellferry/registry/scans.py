@@ -150,7 +150,8 @@ _SEVEN = (
     + ") WHERE row_key >= '19991201' AND row_key < '20240109~'"
 )
 def range_identifiers(spark: SparkSession, sf: str) -> DataFrame:
-    scans = [_dated(table(spark, sf, t), d, i).withColumnRenamed(d, "day") for t, d, i in _SEVEN]
+    read = {t: table(spark, sf, t) for t in ("lineitem", "orders", "events")}
+    scans = [_dated(read[t], d, i).withColumnRenamed(d, "day") for t, d, i in _SEVEN]
     return distinct_identifiers(scans, "19991201", "20240109~", "ident", day_column="day")
 
 

@@ -74,11 +74,14 @@ def write_sorted_records(
 
 
 def write_lines(df: DataFrame, path: str, files: int | None = None, mode: str = "error") -> None:
-    """One value per line. One file only where the caller asks for it."""
+    """One value per line. A fixed number of files only where the caller asks for it.
+
+    The rows are then moved once more, so that the steps before keep their own width.
+    """
     column = F.col(f"`{df.columns[0]}`").cast("string").alias("value")
     lines = df.select(column)
     if files:
-        lines = lines.coalesce(files)
+        lines = lines.repartition(files)
     lines.write.mode(mode).text(path)
 
 

@@ -1,8 +1,9 @@
 """A keyed table: batches are appended, reads see the newest value of every cell.
 
 The table is bucketed by row key, so a read merges the versions of a key where they lie:
-no shuffle, whatever the table's size. A batch writes one file per bucket and never
-rewrites older files, so its cost follows the batch, not the table.
+no shuffle, whatever the table's size. A batch adds at most one file per bucket and never
+rewrites older files, so its cost follows the batch, not the table. Choose the number of
+buckets by the size that the table will reach (:func:`buckets_for`): it stays fixed.
 """
 
 from __future__ import annotations
@@ -13,13 +14,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cells import FAMILY
-from ..operators.dedupe import fixed_width
 from ..operators.upsert import BATCH, newest_records
 from ..sources.tables import ROW_KEY
 from .files import Written, observed, result_of
 
 # Fixed value: width of the per-key step when none is given.
 BUCKETS = 500
+# a read takes one task per bucket
+BYTES_PER_BUCKET = 1 << 30
+MOST_BUCKETS = 100_000
+
+
+def buckets_for(table_bytes: int) -> int:
+    """Number of buckets for a table that will grow to this size."""
+    return max(1, min(MOST_BUCKETS, -(-table_bytes // BYTES_PER_BUCKET)))
 
 
 class KeyedTable:
@@ -55,8 +63,10 @@ class KeyedTable:
         if not self.exists() and not self.create(qualifiers):
             raise ValueError(f"{self.name} needs a family and at least one qualifier")
         self._widen(qualifiers)
-        # one task per bucket, so that a batch adds one file to each
-        passing, seen = observed(fixed_width(records, self.buckets), cursor)
+        # a bucket's rows meet in one task, so that a batch adds one file to each bucket;
+        # how many buckets share a task is left to adaptive execution
+        bucket = F.pmod(F.hash(ROW_KEY), F.lit(self.buckets))
+        passing, seen = observed(records.repartition(bucket), cursor)
         given = {c.lower(): c for c in records.columns}
         columns = []
         for name in self.spark.table(self.name).columns:

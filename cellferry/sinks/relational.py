@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..operators.typemap import cast_for_sink, create_column_types
+from ..operators.typemap import create_column_types
 from .files import Written, observed, result_of
 
 # Fixed value: writers at a time.
@@ -17,10 +17,12 @@ def write_options(url: str, table: str, *, batch_size: int = 10_000, writers: in
 
 
 def append_relational(df: DataFrame, **options) -> Written:
-    """Append rows; the row count comes from the write job itself."""
-    rows = cast_for_sink(df)
+    """Append rows; the row count comes from the write job itself.
+
+    Give it rows in database types, as :func:`cellferry.plans.jobs.append_rows_of` does.
+    """
     types = create_column_types(df)
-    passing, seen = observed(rows)
+    passing, seen = observed(df)
     writer = passing.write.format("jdbc").mode("append").options(**write_options(**options))
     if types:
         writer = writer.option("createTableColumnTypes", types)

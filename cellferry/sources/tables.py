@@ -79,7 +79,7 @@ _COMPARE = {
     "<=": lambda c, v: c <= v,
     ">": lambda c, v: c > v,
     ">=": lambda c, v: c >= v,
-    "like": lambda c, v: c.like(v),
+    "like": F.like,
 }
 
 
