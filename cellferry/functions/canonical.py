@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import dates, idnum
-from .text import blank_to, control_trim, ends_with_any_case
+from .text import blank_to, clean_text, control_trim, ends_with_any_case, is_blank
 
 _TIMES = (T.TimestampType, T.TimestampNTZType)
 _NESTED = (T.ArrayType, T.MapType, T.StructType, T.BinaryType)
@@ -63,13 +63,16 @@ def canonical(df: DataFrame, name: str, default: str = "", rules: TextRules = Te
         text = c.cast(T.DecimalType(38, rules.decimal_scale))
     text = text.cast("string")
     if rules.is_date_name(field.name):
-        clean = dates.strip_date if rules.date_mode == "strip" else dates.normalise_date
-        return blank_to(control_trim(clean(control_trim(text))), default)
+        trimmed = control_trim(text)
+        if rules.date_mode == "strip":
+            return clean_text(dates.strip_date(trimmed), default)
+        # a parsed date is clean, and other text stays as it is
+        return F.when(is_blank(trimmed), F.lit(default)).otherwise(dates.normalise_date(trimmed))
     if not isinstance(kind, T.StringType):
         return F.coalesce(text, F.lit(default))
     if rules.is_id_name(field.name):
-        text = idnum.to_18(text)
-    return blank_to(control_trim(text), default)
+        return idnum.to_18(text, otherwise=clean_text(text, default))
+    return clean_text(text, default)
 
 
 def canonical_by_type(df: DataFrame, name: str, default: str = "") -> Column:

@@ -28,9 +28,11 @@ DATE_NAME_SUFFIXES = ("sj", "rq")
 # Characters dropped by the stripping date clean-up.
 STRIPPED_CHARS = "/- :"
 
-_SEPARATED = r"^\d{4}([-/.])\d{1,2}\1\d{1,2}( \d{1,2}:\d{1,2}:\d{1,2})?\z"
+_CLOCK = r"(?: \d{1,2}:\d{1,2}:\d{1,2})?"
+_SEPARATED = {mark: rf"^\d{{4}}[{mark}]\d{{1,2}}[{mark}]\d{{1,2}}{_CLOCK}\z" for mark in "-/."}
 _IDEOGRAPHIC = r"^\d{4}年\d{1,2}月\d{1,2}日\z"
 _DIGITS_14 = r"^\d{14}\z"
+_DASHED_IN_FULL = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\z"
 _DIGITS_8 = r"^\d{8}\z"
 
 
@@ -52,10 +54,14 @@ def parse_date(c: Column, layouts: Sequence[str] | None = None) -> Column:
     if layouts:
         tried = [F.try_to_timestamp(c, F.lit(p)).cast("timestamp_ntz") for p in layouts]
         return F.coalesce(*tried)
+    # the character after the year tells the layouts apart, so one pattern is matched per text
+    mark = F.substring(c, 5, 1)
     return (
-        F.when(c.rlike(_SEPARATED), _wall_time(F.translate(c, "/.", "--")))
+        F.when(mark == "-", F.when(c.rlike(_SEPARATED["-"]), _wall_time(c)))
+        .when(mark == "/", F.when(c.rlike(_SEPARATED["/"]), _wall_time(F.replace(c, F.lit("/"), F.lit("-")))))
+        .when(mark == ".", F.when(c.rlike(_SEPARATED["."]), _wall_time(F.replace(c, F.lit("."), F.lit("-")))))
+        .when(mark == "年", F.when(c.rlike(_IDEOGRAPHIC), _wall_time(F.translate(c, "年月日", "--"))))
         .when(c.rlike(_DIGITS_14), _from_digits(c))
-        .when(c.rlike(_IDEOGRAPHIC), _wall_time(F.translate(c, "年月日", "--")))
     )
 
 
@@ -102,11 +108,19 @@ def strip_date(c: Column) -> Column:
 def normalise_date(c: Column) -> Column:
     """Date clean-up by parsing: cut at the first full stop, print 14 digits.
 
-    Text that is no date stays as it is.
+    Text that is no date stays as it is. So do 14 digits, whether they are a date or not,
+    and a full dashed time only has to be checked: its own digits are the result.
     """
-    printed = parse_date(F.substring_index(c, ".", 1)).cast("string")
+    cut = F.substring_index(c, ".", 1)
+    own_digits = F.concat(*[F.substring(c, at, size) for at, size in ((1, 4), (6, 2), (9, 2), (12, 2), (15, 2), (18, 2))])
+    checked = F.when(_wall_time(cut).isNotNull(), own_digits).otherwise(c)
     # a parsed value is a long expression, so it is used once here
-    return F.coalesce(F.translate(F.substring(printed, 1, 19), "- :", ""), c)
+    printed = F.translate(F.substring(parse_date(cut).cast("string"), 1, 19), "- :", "")
+    return (
+        F.when((F.length(c) == 14) & c.rlike(_DIGITS_14), c)
+        .when((F.length(cut) == 19) & cut.rlike(_DASHED_IN_FULL), checked)
+        .otherwise(F.coalesce(printed, c))
+    )
 
 
 def add_days(c: Column, days: int | Column) -> Column:

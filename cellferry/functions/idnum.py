@@ -8,7 +8,7 @@ from operator import add
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import control_trim, is_blank
+from .text import is_blank
 
 # Region codes that may start a number.
 REGION_CODES = (
@@ -26,64 +26,68 @@ WEIGHTS = (7, 9, 10, 5, 8, 4, 2, 1, 6, 3, 7, 9, 10, 5, 8, 4, 2)
 CHECK_CHARS = "10X98765432"
 
 
-def _digit(c: Column, place: int) -> Column:
-    return F.ascii(F.substring(c, place, 1)) - F.lit(48)
+# A real day, and 29 February of leap years, as patterns: one match reads the whole number.
+_DAY_OF_ANY_YEAR = (
+    r"(?:(?:0[13578]|1[02])(?:0[1-9]|[12][0-9]|3[01])"
+    r"|(?:0[469]|11)(?:0[1-9]|[12][0-9]|30)"
+    r"|02(?:0[1-9]|1[0-9]|2[0-8]))"
+)
+_MULTIPLE_OF_4 = r"(?:[02468][048]|[13579][26])"
+_MULTIPLE_OF_4_NOT_00 = r"(?:0[48]|[2468][048]|[13579][26])"
+# the year of a 15 digit number is read as 20yy, which has the same leap years
+_DAY_6 = rf"(?:[0-9]{{2}}{_DAY_OF_ANY_YEAR}|{_MULTIPLE_OF_4}0229)"
+_DAY_8 = (
+    rf"(?!0000)(?:[0-9]{{4}}{_DAY_OF_ANY_YEAR}"
+    rf"|(?:[0-9]{{2}}{_MULTIPLE_OF_4_NOT_00}|{_MULTIPLE_OF_4}00)0229)"
+)
+_REGION = rf"(?:{'|'.join(REGION_CODES)})"
+_NUMBER_15 = rf"{_REGION}[0-9]{{4}}{_DAY_6}[0-9]{{3}}"
+_NUMBER_18 = rf"{_REGION}[0-9]{{4}}{_DAY_8}[0-9]{{3}}[0-9Xx]"
+
+
+def _matches(c: Column, pattern: str) -> Column:
+    return F.coalesce(c.rlike(rf"^{pattern}\z"), F.lit(False))
+
+
+def _digits(number: Column, count: int) -> list[Column]:
+    """Digits of a whole number, first to last, by arithmetic: far cheaper than by characters."""
+    return [F.call_function("div", number, F.lit(10**place)) % F.lit(10) for place in range(count - 1, -1, -1)]
 
 
 def _check_char(digits: list[Column]) -> Column:
     total = reduce(add, [digit * F.lit(weight) for digit, weight in zip(digits, WEIGHTS, strict=True)])
-    return F.substring(F.lit(CHECK_CHARS), total % F.lit(11) + F.lit(1), F.lit(1))
-
-
-def _is_real_day(yyyymmdd: Column) -> Column:
-    """Calendar test by arithmetic, so that bad dates cost no parse failure."""
-    year = F.substring(yyyymmdd, 1, 4).try_cast("int")
-    month = F.substring(yyyymmdd, 5, 2).try_cast("int")
-    day = F.substring(yyyymmdd, 7, 2).try_cast("int")
-    leap = ((year % 4 == 0) & (year % 100 != 0)) | (year % 400 == 0)
-    last = (
-        F.when(month == 2, F.when(leap, F.lit(29)).otherwise(F.lit(28)))
-        .when(month.isin(4, 6, 9, 11), F.lit(30))
-        .otherwise(F.lit(31))
-    )
-    return (year >= 1) & month.between(1, 12) & day.between(1, last)
+    return F.substring(F.lit(CHECK_CHARS), (total % F.lit(11)).cast("int") + F.lit(1), F.lit(1))
 
 
 def is_valid_15(c: Column) -> Column:
     """15 ASCII digits, a known region code and a real ``yyMMdd`` date."""
-    day = F.concat(F.lit("20"), F.substring(c, 7, 6))
-    return F.when(
-        c.rlike(r"^[0-9]{15}\z"),
-        F.substring(c, 1, 2).isin(*REGION_CODES) & _is_real_day(day),
-    ).otherwise(F.lit(False))
+    return _matches(c, _NUMBER_15)
 
 
 def is_valid_18(c: Column) -> Column:
     """17 ASCII digits and a matching check character, region code and ``yyyyMMdd`` date."""
-    return F.when(
-        c.rlike(r"^[0-9]{17}[0-9Xx]\z"),
-        F.substring(c, 1, 2).isin(*REGION_CODES)
-        & _is_real_day(F.substring(c, 7, 8))
-        & (F.upper(F.substring(c, 18, 1)) == _check_char([_digit(c, n) for n in range(1, 18)])),
-    ).otherwise(F.lit(False))
+    expected = _check_char(_digits(F.substring(c, 1, 17).try_cast("bigint"), 17))
+    return _matches(c, _NUMBER_18) & (F.upper(F.substring(c, 18, 1)) == expected)
 
 
 def is_valid(c: Column) -> Column:
     """Valid in the 15 or the 18 character form."""
-    return F.when(F.length(c) == 15, is_valid_15(c)).when(F.length(c) == 18, is_valid_18(c)).otherwise(F.lit(False))
+    return is_valid_15(c) | is_valid_18(c)
 
 
-def to_18(c: Column) -> Column:
-    """Upgrade a valid 15 digit number; anything else stays as it is.
+def to_18(c: Column, otherwise: Column | None = None) -> Column:
+    """Upgrade a valid 15 digit number; anything else stays as it is, or becomes ``otherwise``.
 
     To check the result, put it in a column first: a check reads its input many times.
     """
-    id15 = control_trim(c)
-    head = [_digit(id15, n) for n in range(1, 7)]
-    tail = [_digit(id15, n) for n in range(7, 16)]
-    check = _check_char([*head, F.lit(1), F.lit(9), *tail])
-    upgraded = F.concat(F.substring(id15, 1, 6), F.lit("19"), F.substring(id15, 7, 9), check)
-    return F.when(is_valid_15(id15), upgraded).otherwise(c)
+    # the cast ignores the control characters around the digits
+    number = c.try_cast("bigint")
+    digits = _digits(number, 15)
+    check = _check_char([*digits[:6], F.lit(1), F.lit(9), *digits[6:]])
+    area = F.call_function("div", number, F.lit(10**9)).cast("string")
+    rest = F.lpad((number % F.lit(10**9)).cast("string"), 9, "0")
+    found = _matches(c, rf"[\x00-\x20]*{_NUMBER_15}[\x00-\x20]*")
+    return F.when(found, F.concat(area, F.lit("19"), rest, check)).otherwise(c if otherwise is None else otherwise)
 
 
 def validity_class(c: Column) -> Column:

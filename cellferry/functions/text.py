@@ -39,6 +39,18 @@ def control_trim(c: Column) -> Column:
     return F.btrim(c, F.lit(CONTROL_CHARS))
 
 
+def clean_text(c: Column, default: Column | str | None = "") -> Column:
+    """Control trim, then ``default`` where nothing but white space is left.
+
+    Most texts start and end with a character that settles both questions: one above
+    U+0020 at the end, and at the start one that is printable ASCII or above U+3000, the
+    last white-space character. Strings compare by code point, so a comparison tells.
+    """
+    starts_well = ((c >= F.lit("!")) & (c < F.lit("\x7f"))) | (c >= F.lit("\u3001"))
+    ends_well = F.right(c, F.lit(1)) >= F.lit("!")
+    return F.when(starts_well & ends_well, c).otherwise(blank_to(control_trim(c), default))
+
+
 def _char_class(separators: str) -> str:
     return "[" + "".join("\\" + s if s in r"\]^-[&" else s for s in separators) + "]+"
 
