@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import dates, idnum
-from .text import blank_to, clean_text, control_trim, ends_with_any_case, is_blank
+from .text import blank_to, clean_text, control_trim, ends_with_any_case
 
 _TIMES = (T.TimestampType, T.TimestampNTZType)
 _NESTED = (T.ArrayType, T.MapType, T.StructType, T.BinaryType)
@@ -65,9 +65,8 @@ def canonical(df: DataFrame, name: str, default: str = "", rules: TextRules = Te
     if rules.is_date_name(field.name):
         trimmed = control_trim(text)
         if rules.date_mode == "strip":
-            return clean_text(dates.strip_date(trimmed), default)
-        # a parsed date is clean, and other text stays as it is
-        return F.when(is_blank(trimmed), F.lit(default)).otherwise(dates.normalise_date(trimmed))
+            return blank_to(control_trim(dates.strip_date(trimmed)), default)
+        return dates.normalise_date(text, trimmed, default)
     if not isinstance(kind, T.StringType):
         return F.coalesce(text, F.lit(default))
     if rules.is_id_name(field.name):

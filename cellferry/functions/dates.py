@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import is_blank
+
 # The accepted layouts, in the order in which they are tried.
 DATE_LAYOUTS = (
     "yyyy-MM-dd HH:mm:ss",
@@ -105,22 +107,27 @@ def strip_date(c: Column) -> Column:
     return F.substring_index(F.translate(c, STRIPPED_CHARS, ""), ".", 1)
 
 
-def normalise_date(c: Column) -> Column:
+def normalise_date(c: Column, trimmed: Column | None = None, blank: str | None = None) -> Column:
     """Date clean-up by parsing: cut at the first full stop, print 14 digits.
 
     Text that is no date stays as it is. So do 14 digits, whether they are a date or not,
-    and a full dashed time only has to be checked: its own digits are the result.
+    and a full dashed time only has to be checked: its own digits are the result. Other
+    text takes the longer way, over ``trimmed`` where that is given, so that the common
+    forms need no trim; with ``blank``, blank text becomes that.
     """
+    rest = c if trimmed is None else trimmed
     cut = F.substring_index(c, ".", 1)
     own_digits = F.concat(*[F.substring(c, at, size) for at, size in ((1, 4), (6, 2), (9, 2), (12, 2), (15, 2), (18, 2))])
-    checked = F.when(_wall_time(cut).isNotNull(), own_digits).otherwise(c)
+    checked = F.when(_wall_time(cut).isNotNull(), own_digits).otherwise(rest)
     # a parsed value is a long expression, so it is used once here
-    printed = F.translate(F.substring(parse_date(cut).cast("string"), 1, 19), "- :", "")
-    return (
-        F.when((F.length(c) == 14) & c.rlike(_DIGITS_14), c)
-        .when((F.length(cut) == 19) & cut.rlike(_DASHED_IN_FULL), checked)
-        .otherwise(F.coalesce(printed, c))
+    parsed = parse_date(F.substring_index(rest, ".", 1)).cast("string")
+    printed = F.translate(F.substring(parsed, 1, 19), "- :", "")
+    cases = F.when((F.length(c) == 14) & c.rlike(_DIGITS_14), c).when(
+        (F.length(cut) == 19) & cut.rlike(_DASHED_IN_FULL), checked
     )
+    if blank is not None:
+        cases = cases.when(is_blank(rest), F.lit(blank))
+    return cases.otherwise(F.coalesce(printed, rest))
 
 
 def add_days(c: Column, days: int | Column) -> Column:

@@ -22,7 +22,7 @@ from ..operators.layout import SAMPLE_FRACTION, sample_keys, sample_keys_by_hash
 from ..operators.typemap import cast_for_sink
 from ..operators.windows import cursor_time, in_window, next_cursor, next_cursor_column
 from ..sinks.files import Written, append_rows, write_lines, write_sorted_cells
-from ..sinks.keyed import KeyedTable
+from ..sinks.keyed import KeyedTable, batch_number
 from ..sources.tables import ROW_KEY, key_range, project, read_cell, read_table
 from .runlog import CursorTable, RunLog
 from .spec import JobSpec
@@ -143,7 +143,7 @@ def keyed_table_sink(spark: SparkSession, buckets: int) -> Sink:
     def put(records: DataFrame, spec: JobSpec) -> Written:
         name = spec.target.upper() if spec.upper_case else spec.target
         table = KeyedTable(spark, name, buckets, spec.family())
-        return table.put(records, table.last_batch() + 1, CURSOR_TIME)
+        return table.put(records, batch_number(), CURSOR_TIME)
 
     return put
 
@@ -192,7 +192,7 @@ def run_append(spark: SparkSession, spec: JobSpec, sink: Sink) -> JobResult:
 
 def run_reload(source: DataFrame, keys: str, table: KeyedTable, columns: str = "*") -> Written:
     """Reload a keyed table from a relational scan."""
-    return table.put(reload_records(source, keys, columns), table.last_batch() + 1)
+    return table.put(reload_records(source, keys, columns), batch_number())
 
 
 def run_full_load(source: DataFrame, columns: Sequence[str], path: str) -> Written:

@@ -104,7 +104,8 @@ def dates_stripped(spark: SparkSession, sf: str) -> DataFrame:
                                 ELSE coalesce({_PARSED_SQL}, {_PRINTED_SQL}) END AS normalised FROM orders"""
 )
 def dates_normalised(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").select("o_orderkey", dates.normalise_date(_printed()).alias("normalised"))
+    printed = table(spark, sf, "orders").select("o_orderkey", _printed().alias("printed"))
+    return printed.select("o_orderkey", dates.normalise_date(F.col("printed")).alias("normalised"))
 
 
 @query(

@@ -8,6 +8,13 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+# Settings worth having on any cluster. A wide clean-up makes one long generated method, which
+# the JVM does not compile beyond 8000 bytes of code; below this limit Spark splits it instead.
+ADVISED = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
 
 def local_session(cores: int | str = "*", memory: str = "8g", **settings: str) -> SparkSession:
     """A session for tests and benchmarks on one machine. On a cluster, use the given one."""
@@ -18,8 +25,9 @@ def local_session(cores: int | str = "*", memory: str = "8g", **settings: str) -
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.adaptive.enabled", "true")
     )
+    for key, value in ADVISED.items():
+        builder = builder.config(key, value)
     for key, value in settings.items():
         builder = builder.config(key.replace("__", "."), value)
     spark = builder.getOrCreate()

@@ -8,6 +8,7 @@ buckets by the size that the table will reach (:func:`buckets_for`): it stays fi
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,14 @@ BYTES_PER_BUCKET = 1 << 30
 MOST_BUCKETS = 100_000
 
 
+def batch_number() -> int:
+    """A number for the next batch: the time in microseconds, so the table need not be read for it.
+
+    One writer at a time per table, as :func:`cellferry.plans.jobs.run_all` sees to.
+    """
+    return time.time_ns() // 1000
+
+
 def buckets_for(table_bytes: int) -> int:
     """Number of buckets for a table that will grow to this size."""
     return max(1, min(MOST_BUCKETS, -(-table_bytes // BYTES_PER_BUCKET)))

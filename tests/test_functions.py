@@ -190,6 +190,13 @@ def test_canonical_text_that_trims_to_nothing(spark):
     assert [r[0] for r in df.select(canonical(df, "xrq", "null", TextRules(date_mode="strip"))).collect()] == ["null"] * 3
 
 
+def test_padded_date_text(spark):
+    values = ["\t2020-03-23 10:11:12\n", "2020-13-23 10:11:12.5\n", " 20200323101112", "\x00", "\x00\u3000", "2020-03-23 10:11:12.5", None, " x\r"]
+    df = spark.createDataFrame([(v,) for v in values], "xrq string").coalesce(1)
+    expected = ["20200323101112", "2020-13-23 10:11:12.5", "20200323101112", "d", "d", "20200323101112", "d", "x"]
+    assert [r[0] for r in df.select(canonical(df, "xrq", "d")).collect()] == expected
+
+
 def test_nested_values_are_refused(spark):
     with pytest.raises(TypeError):
         canonical(spark.sql("select array(1) as a"), "a")

@@ -117,18 +117,37 @@ def test_keep_latest_limits_each_key_before_the_shuffle(spark, small):
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
 
 
+def nodes_of(node):
+    """All nodes of a plan that has run, inside adaptive stages as well."""
+    yield node
+    kind = node.getClass().getSimpleName()
+    inner = [node.executedPlan()] if kind == "AdaptiveSparkPlanExec" else [node.plan()] if kind.endswith("QueryStageExec") else []
+    children = node.children()
+    for child in inner + [children.apply(i) for i in range(children.size())]:
+        yield from nodes_of(child)
+
+
+def shuffled_rows(df) -> int:
+    df.collect()
+    written = [n.metrics().get("shuffleRecordsWritten") for n in nodes_of(df._jdf.queryExecution().executedPlan())]
+    return sum(m.get().value() for m in written if m.isDefined())
+
+
 def test_a_hot_key_sends_one_row_per_task(spark):
     # two thirds of the rows share a key
     df = spark.range(60_000, numPartitions=8).selectExpr("if(id % 3 = 0, id, -1) as k", "id as t", "repeat('x', 20) as pad")
     kept = dedupe.keep_latest(df, "k", ["t"])
     assert kept.where("k = -1").first().t == 59_999
     assert kept.count() == 20_001
-    kept.write.format("noop").mode("overwrite").save()
-    hot = dedupe.keep_latest(df.where("k = -1"), "k", ["t"])
-    hot.collect()
-    node = hot._jdf.queryExecution().executedPlan()
-    text = node.toString()
-    assert "WindowGroupLimit" in text
+    assert shuffled_rows(dedupe.keep_latest(df, "k", ["t"])) <= 20_000 + 8
+
+
+def test_hot_keys_are_merged_before_other_shuffles(spark):
+    df = spark.range(40_000, numPartitions=8).selectExpr("'hot' as row_key", "cast(id % 5 as string) as qualifier", "cast(id as string) as value", "id")
+    assert shuffled_rows(cells.collect_cells(df, ["id"])) <= 8 * 5 + 8
+    assert shuffled_rows(upsert.newest_cells(df.selectExpr("row_key", "'f' as family", "qualifier", "value", "id as batch_no"))) <= 8 * 5
+    assert shuffled_rows(dedupe.greatest_row(df, "id", ["row_key"])) <= 8
+    assert shuffled_rows(layout.bucket_report(df, layout.stay_splits())) <= 8 + 8
 
 
 def test_greatest_row(spark):
