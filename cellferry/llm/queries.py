@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import QUERIES, bpe, language, packing, tokens
+from . import QUERIES, bpe, jaccard, language, lattice, packing, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,3 +50,13 @@ def op7_language(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), tokenizer("word_bpe_49k.json"), length=2048)
+
+
+@query
+def op3_lattice(spark: SparkSession, sf: str) -> DataFrame:
+    return lattice.near_vectors(table(spark, sf, "embeddings"), least=0.9)
+
+
+@query
+def op10_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.jaccard_groups(table(spark, sf, "documents"), words=5, percent=80)
