@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import QUERIES, bpe, jaccard, language, lattice, packing, tokens
+from . import QUERIES, bpe, fingerprints, jaccard, language, lattice, packing, repeats, templates, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,3 +60,25 @@ def op3_lattice(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op10_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.jaccard_groups(table(spark, sf, "documents"), words=5, percent=80)
+
+
+@query
+def op2_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf, "documents"))
+
+
+@query
+def op4_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    return repeats.without_repeats(table(spark, sf, "documents"), length=100)
+
+
+@query
+def op8_templates(spark: SparkSession, sf: str) -> DataFrame:
+    found = templates.recurring_lines(table(spark, sf, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "n_lines",
+        "n_dropped",
+        F.length("kept_text").cast("long").alias("kept_chars"),
+        F.sha2("kept_text", 256).alias("kept_sha256"),
+    )

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, in_arrow, text_bytes, texts
+from .common import checkpointed, in_arrow, text_bytes
 from .shingles import mix
 
 GRAM = 32
@@ -244,9 +244,10 @@ def strings(docs: DataFrame, length: int) -> DataFrame:
     return in_arrow(docs, work, ROWS, SLICE)
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _keyed(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...]) -> DataFrame:
     """Texts with their place in corpus order: by id, rows without one last; one id's texts by hash."""
-    made = texts(docs, id_col, text_col)
+    id_ = docs[id_col].cast("long").alias("id")
+    made = docs.select(id_, F.coalesce(docs[text_col], F.lit("")).alias("text"), F.struct(*[docs[c] for c in (id_col, *carry)]).alias("row"))
     hashes = F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(7), "text").alias("h2")
     made = made.select("*", *hashes, F.coalesce("id", F.lit((1 << 63) - 1)).alias("ord"))
     return made.withColumn("tie", F.shiftright("h1", 32).cast("int"))
@@ -260,7 +261,7 @@ def _spans(rows: DataFrame, dup: Column, length: int) -> DataFrame:
 
 
 def without_repeats(
-    docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False
+    docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] | None = None
 ) -> DataFrame:
     """Per row: ``id_col``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``.
 
@@ -268,12 +269,12 @@ def without_repeats(
     smaller id, or earlier in the same text. A null text counts as empty. Rows without an id come
     last; the different texts of one id are ordered by hash, and repeated rows count as one and
     give equal rows. A text shorter than ``length`` loses nothing. An empty table gives an empty
-    result; other columns are not read. ``with_text`` adds what is kept as ``kept`` (bytes, which
-    may begin or end inside a character).
+    result; other columns are not read. With ``carry`` (names of columns, or none: ``()``), these
+    columns and ``kept_text`` are added: the bytes left, without those of a character cut apart.
     """
     if not GRAM < length < 256 + GRAM:
         raise ValueError(f"length must lie between {GRAM} and {256 + GRAM}")
-    source = _keyed(docs, id_col, text_col)
+    source = _keyed(docs, id_col, text_col, carry or ())
     by_key = Window.partitionBy("place")
     by_phrase = Window.partitionBy("place", "ctx").orderBy("ord", "tie", "spot")
     found = checkpointed(
@@ -294,7 +295,7 @@ def without_repeats(
     per_text = spans.groupBy("ord", "tie").agg(F.collect_list("ranges").alias("ranges"), F.collect_list("range").alias("range"))
     classes = source.select("h1", "h2", "ord", "tie").groupBy("h1", "h2").agg(F.min("ord").alias("ord"), F.min("tie").alias("tie"))
     removed = classes.join(per_text, ["ord", "tie"], "left").select("h1", "h2", F.col("ord").alias("first"), "ranges", "range")
-    joined = source.select("id", "ord", "h1", "h2", "text").join(removed, ["h1", "h2"])
+    joined = source.select("row", "ord", "h1", "h2", "text").join(removed, ["h1", "h2"])
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
@@ -313,12 +314,12 @@ def without_repeats(
             kept = b"".join(raw[a:b] for a, b in zip(ends, [*low.tolist(), len(raw)]))
             rows.append((len(raw), len(raw) - len(kept), len(low), hashlib.sha256(kept).hexdigest(), kept))
         n, gone, spans, digest, kept = zip(*rows)
-        arrays = [batch.column("id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, pa.int64()), pa.array(digest)]
-        names = [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-        if with_text:
-            arrays.append(pa.array(kept, pa.binary()))
-            names.append("kept")
+        arrays = [batch.column("row"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, pa.int64()), pa.array(digest)]
+        if carry is not None:
+            arrays.append(pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()))
         return pa.RecordBatch.from_arrays(arrays, names)
 
-    schema = f"{id_col} long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return in_arrow(joined, work, schema + ", kept binary" * with_text)
+    names = ["row", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept_text"] * (carry is not None)
+    schema = f"row {joined.schema['row'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    made = in_arrow(joined, work, schema + ", kept_text string" * (carry is not None))
+    return made.select(F.col("row")[id_col].cast("long").alias(id_col), *[F.col("row")[c].alias(c) for c in carry or ()], *names[1:])

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellferry.llm import language, packing
+from cellferry.llm import jaccard, language, packing, repeats, templates
 from cellferry.llm.common import checkpointed
 from cellferry.llm.queries import tokenizer
 
@@ -20,6 +20,31 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return language.predict(docs.select(*COLUMNS), language.fit(learned)).where(F.col("lang_pred") != language.UNKNOWN).select(*COLUMNS)
 
 
+def without_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops lines whose template recurs, but its first; a document goes if nothing of it is left."""
+    found = templates.recurring_lines(docs.select(*COLUMNS))
+    left = found.where((F.col("n_dropped") == 0) | (F.trim("kept_text") != ""))
+    return _with_text(left, F.col("kept_text"))
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of least id of each group of near duplicates."""
+    groups = jaccard.jaccard_groups(docs, words=5, percent=80)
+    later = groups.where("component_id <> doc_id").select("doc_id").distinct()
+    return docs.select(*COLUMNS).join(later, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def without_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Removes strings of 100 bytes that start earlier too; a document goes if nothing of it is left."""
+    found = repeats.without_repeats(docs, length=100, carry=("lang", "source", "n_chars"))
+    left = found.where((F.col("n_removed") == 0) | (F.trim("kept_text") != ""))
+    return _with_text(left, F.col("kept_text"))
+
+
+def _with_text(docs: DataFrame, text: Column) -> DataFrame:
+    return docs.select("doc_id", text.alias("text"), "lang", "source", F.length(text).cast("long").alias("n_chars"))
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 tokens."""
     return packing.pack(docs, tokenizer("word_bpe_49k.json"), length=2048)
@@ -27,6 +52,9 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language", known_language),
+    ("lines", without_recurring_lines),
+    ("near_duplicates", one_of_each_group),
+    ("repeated_strings", without_repeated_strings),
     ("packing", packed),
 ]
 
