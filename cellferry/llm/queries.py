@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import QUERIES, bpe, fingerprints, jaccard, language, lattice, packing, repeats, templates, tokens
+from . import QUERIES, bpe, fingerprints, jaccard, language, lattice, packing, repeats, scoring, templates, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,3 +82,8 @@ def op8_templates(spark: SparkSession, sf: str) -> DataFrame:
         F.length("kept_text").cast("long").alias("kept_chars"),
         F.sha2("kept_text", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op1_pseudo_likelihood(spark: SparkSession, sf: str) -> DataFrame:
+    return scoring.score(table(spark, sf, "documents"))
