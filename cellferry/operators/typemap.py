@@ -49,16 +49,23 @@ def _as_fraction(c: Column) -> Column:
     return c.try_cast(T.DecimalType(*SINK_FRACTION))
 
 
+def _overflows(c: Column) -> Column:
+    return c.isNotNull() & _as_fraction(c).isNull()
+
+
 def cast_for_sink(df: DataFrame) -> DataFrame:
     """Fractions to four decimals and timestamps to whole seconds, as the database keeps them.
 
-    :func:`sink_report` counts the values that this would lose.
+    A fraction that the database would refuse (too large, infinite or no number) ends the job
+    with an error that names column and value; it never becomes a null. :func:`sink_report`
+    counts such values, and those that lose digits, before a run.
     """
     out = []
     for field in df.schema.fields:
         c = F.col(f"`{field.name}`")
         if isinstance(field.dataType, _FRACTIONS):
-            c = _as_fraction(c)
+            told = F.concat(F.lit(f"column {field.name}: "), c.cast("string"), F.lit(f" does not fit decimal{SINK_FRACTION}"))
+            c = F.when(_overflows(c), F.raise_error(told)).otherwise(_as_fraction(c))
         elif isinstance(field.dataType, _TIMES):
             c = F.date_trunc("second", c).cast(field.dataType)
         out.append(c.alias(field.name))
@@ -66,18 +73,25 @@ def cast_for_sink(df: DataFrame) -> DataFrame:
 
 
 def sink_report(df: DataFrame) -> DataFrame:
-    """Per column, how many values do not fit the database type. One pass over the table."""
-    tests = {}
+    """Per column, how many values do not fit the database type. One pass over the table.
+
+    ``misfits`` would be refused; ``rounded`` lose fraction digits or parts of a second.
+    """
+    tests, rounds = {}, {}
     for field in df.schema.fields:
         c = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.StringType):
-            tests[field.name] = F.length(c) > SINK_TEXT_LENGTH
+            tests[field.name], rounds[field.name] = F.length(c) > SINK_TEXT_LENGTH, F.lit(False)
         elif isinstance(field.dataType, _FRACTIONS):
-            tests[field.name] = c.isNotNull() & _as_fraction(c).isNull()
-    if not tests:
-        return df.select(F.lit("").alias("column_name"), F.lit(0).cast("bigint").alias("misfits")).limit(0)
-    counts = df.agg(*[F.count_if(test).alias(name) for name, test in tests.items()])
-    return counts.unpivot([], list(tests), "column_name", "misfits")
+            tests[field.name], rounds[field.name] = _overflows(c), _as_fraction(c).cast("double") != c.cast("double")
+        elif isinstance(field.dataType, _TIMES):
+            tests[field.name], rounds[field.name] = F.lit(False), F.date_trunc("second", c) != c
+    shape = "array<struct<column_name:string,misfits:bigint,rounded:bigint>>"
+    counts = [
+        F.struct(F.lit(n).alias("column_name"), F.count_if(t).alias("misfits"), F.count_if(rounds[n]).alias("rounded"))
+        for n, t in tests.items()
+    ]
+    return df.agg(F.array(*counts).cast(shape).alias("r")).select(F.inline("r"))
 
 
 def create_column_types(df: DataFrame) -> str:

@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import ROW_KEY
 
-BATCH = "batch_no"
+# reserved: no record may have a column of this name
+BATCH = "__batch_no"
+
+
+def refuse_reserved(records: DataFrame) -> DataFrame:
+    """The records themselves, or an error if one of their columns has the reserved name."""
+    if BATCH in {c.lower() for c in records.columns}:
+        raise ValueError(f"{BATCH} is reserved and may not be a column of a record")
+    return records
 
 
 def newest_records(versions: DataFrame, key: str = ROW_KEY, batch: str = BATCH) -> DataFrame:
@@ -30,9 +38,9 @@ def newest_records(versions: DataFrame, key: str = ROW_KEY, batch: str = BATCH)
 
 def upsert_records(target: DataFrame, *batches: DataFrame) -> DataFrame:
     """Merge keyed records, oldest first; columns a batch lacks are left as they are."""
-    stacked = target.withColumn(BATCH, F.lit(0))
+    stacked = refuse_reserved(target).withColumn(BATCH, F.lit(0))
     for number, batch in enumerate(batches, start=1):
-        stacked = stacked.unionByName(batch.withColumn(BATCH, F.lit(number)), allowMissingColumns=True)
+        stacked = stacked.unionByName(refuse_reserved(batch).withColumn(BATCH, F.lit(number)), allowMissingColumns=True)
     return newest_records(stacked)
 
 
@@ -44,7 +52,7 @@ def newest_cells(versions: DataFrame, batch: str = BATCH, order: Sequence[str] =
 
 def upsert_cells(target: DataFrame, *batches: DataFrame) -> DataFrame:
     """Merge cells, oldest first: a cell written again replaces the old one, others stay."""
-    stacked = target.withColumn(BATCH, F.lit(0))
+    stacked = refuse_reserved(target).withColumn(BATCH, F.lit(0))
     for number, batch in enumerate(batches, start=1):
-        stacked = stacked.unionByName(batch.withColumn(BATCH, F.lit(number)))
+        stacked = stacked.unionByName(refuse_reserved(batch).withColumn(BATCH, F.lit(number)))
     return newest_cells(stacked)

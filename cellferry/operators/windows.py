@@ -17,6 +17,7 @@ from ..names import bind
 CURSOR_FORMAT = "%Y%m%d%H%M%S"
 PRINTED_FORMAT = "%Y-%m-%d %H:%M:%S"
 POLICIES = ("carry", "advance")
+RULES = ("export", "append")
 
 _SHAPES = (
     r"(\d{4})-(\d{1,2})-(\d{1,2})(?: (\d{1,2}):(\d{1,2}):(\d{1,2}))?",
@@ -57,32 +58,64 @@ class CursorWindow:
         return cls(start, stop.strftime(CURSOR_FORMAT), inclusive)
 
 
-def _bound(text: str, kind: T.DataType, stored_as_text: bool) -> Column:
-    """A bound in the column's own type, so that the comparison reaches the scan."""
+def saved(text: str) -> str:
+    """A cursor as it is saved: 14 digits where it is a time, else the text itself."""
+    try:
+        return read_cursor(text).strftime(CURSOR_FORMAT)
+    except ValueError:
+        return text
+
+
+def _bound(text: str, kind: T.DataType, stored_as_text: bool, round_up: bool = True) -> Column:
+    """A bound in the column's own type, so that the comparison reaches the scan.
+
+    The time goes in as text and becomes a wall-clock time: no time zone but the session's
+    ever touches it. A day compares by its midnight, so a bound within a day moves to the
+    next midnight where rows at it or after it are in (or before it are out).
+    """
     if isinstance(kind, T.StringType):
         return F.lit(text if stored_as_text else read_cursor(text).strftime(PRINTED_FORMAT))
-    return F.lit(read_cursor(text)).cast("timestamp_ntz").cast(kind)
+    time = read_cursor(text)
+    if isinstance(kind, T.DateType) and round_up and time.time() != dt.time():
+        time = dt.datetime.combine(time.date() + dt.timedelta(days=1), dt.time())
+    return F.lit(time.strftime(PRINTED_FORMAT)).cast("timestamp_ntz").cast(kind)
+
 
+def _compares_stored(cursor_type: str | None, rule: str) -> bool:
+    """Whether a text column is compared with the cursor as it is stored.
 
-def window_test(df: DataFrame, cursor_column: str, window: CursorWindow, cursor_type: str | None = None) -> Column:
+    An export prints the cursor unless the type is ``string``; an append prints it only if
+    the type is ``timestamp``.
+    """
+    named = (cursor_type or "").strip().lower()
+    if rule not in RULES:
+        raise ValueError(f"rule must be one of {RULES}, not {rule!r}")
+    return named == "string" if rule == "export" else named != "timestamp"
+
+
+def window_test(
+    df: DataFrame, cursor_column: str, window: CursorWindow, cursor_type: str | None = None, rule: str = "export"
+) -> Column:
     """Whether a row belongs to a batch.
 
     A string column is compared as text: with the cursor as it is stored, or with a printed
-    ``yyyy-MM-dd HH:mm:ss`` where ``cursor_type`` says that the text is a time.
+    ``yyyy-MM-dd HH:mm:ss``; :func:`_compares_stored` says which, by ``cursor_type`` and rule.
     """
     if window.start is None:
         return F.lit(True)
     name = bind(df, cursor_column)
     c, kind = F.col(f"`{name}`"), df.schema[name].dataType
-    as_text = not cursor_type or cursor_type.strip().lower() == "string"
-    low = _bound(window.start, kind, as_text)
+    as_text = _compares_stored(cursor_type, rule)
+    low = _bound(window.start, kind, as_text, round_up=window.inclusive)
     test = c >= low if window.inclusive else c > low
     return test if window.stop is None else test & (c < _bound(window.stop, kind, as_text))
 
 
-def in_window(df: DataFrame, cursor_column: str, window: CursorWindow, cursor_type: str | None = None) -> DataFrame:
+def in_window(
+    df: DataFrame, cursor_column: str, window: CursorWindow, cursor_type: str | None = None, rule: str = "export"
+) -> DataFrame:
     """Rows of one batch; the bounds are pushed into the scan."""
-    return df if window.start is None else df.where(window_test(df, cursor_column, window, cursor_type))
+    return df if window.start is None else df.where(window_test(df, cursor_column, window, cursor_type, rule))
 
 
 def cursor_time(df: DataFrame, cursor_column: str) -> Column:
@@ -113,16 +146,21 @@ def next_cursor_column(greatest: Column, start: Column, stop: Column, policy: st
 def next_cursor(
     greatest: dt.datetime | None, window: CursorWindow, policy: str = "carry", run_time: dt.datetime | None = None
 ) -> str | None:
-    """As :func:`next_cursor_column`, for one batch on the driver."""
+    """As :func:`next_cursor_column`, for one batch on the driver.
+
+    ``run_time`` is the session's wall-clock time (:func:`cellferry.session.session_time`), which
+    is also what cursors are; a window with an end needs it.
+    """
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}, not {policy!r}")
     top = greatest.strftime(CURSOR_FORMAT) if greatest else None
-    if policy == "carry" or window.start is None:
-        return top or window.start
-    start = read_cursor(window.start).strftime(CURSOR_FORMAT)
+    start = saved(window.start) if window.start else None
+    if policy == "carry" or start is None:
+        return top or start
     if top and top > start:
         return top
     if window.stop is None:
-        return window.start
-    now = (run_time or dt.datetime.now()).strftime(CURSOR_FORMAT)
-    return max(min(window.stop, now), start)
+        return start
+    if run_time is None:
+        raise ValueError("a window with an end is cut at the run time, which is missing")
+    return max(min(window.stop, run_time.strftime(CURSOR_FORMAT)), start)

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark import inheritable_thread_target
@@ -20,7 +20,8 @@ from ..operators.dedupe import batch_metrics, keep_latest
 from ..operators.keys import random_key, row_key
 from ..operators.layout import SAMPLE_FRACTION, sample_keys, sample_keys_by_hash, union_distinct
 from ..operators.typemap import cast_for_sink
-from ..operators.windows import cursor_time, in_window, next_cursor, next_cursor_column
+from ..operators.windows import CURSOR_FORMAT, cursor_time, in_window, next_cursor, next_cursor_column, saved
+from ..session import session_time
 from ..sinks.files import Written, append_rows, write_lines, write_sorted_cells
 from ..sinks.keyed import KeyedTable, batch_number
 from ..sources.tables import ROW_KEY, key_range, project, read_cell, read_table
@@ -82,7 +83,7 @@ def append_rows_of(spark: SparkSession, spec: JobSpec) -> DataFrame:
     """Incremental relational append: rows after the cursor, in database types."""
     source = read_table(spark, spec.source)
     if spec.cursor_column:
-        source = in_window(source, spec.cursor_column, spec.window(inclusive=False), spec.cursor_type)
+        source = in_window(source, spec.cursor_column, spec.window(inclusive=False), spec.cursor_type, rule="append")
     return cast_for_sink(_projected(source, spec.columns))
 
 
@@ -112,13 +113,19 @@ def export_keys(spark: SparkSession, spec: JobSpec) -> DataFrame:
 
 
 def export_metrics(spark: SparkSession, spec: JobSpec, run_time: dt.datetime | None = None) -> DataFrame:
-    """What an export would report: keys, emptiness, next cursor. One row, nothing written."""
-    metrics = batch_metrics(export_records(spark, spec), F.col(CURSOR_TIME))
+    """What an export would report: keys, emptiness, next cursor. One row, nothing written.
+
+    The latest row of a key has the key's greatest cursor, so only keys and cursors are read
+    and shuffled, not the records.
+    """
+    batch = export_batch(spark, spec)
+    keyed = batch.select(row_key(batch, spec.keys, spec.rules()).alias(ROW_KEY), CURSOR_TIME)
+    metrics = batch_metrics(keyed.groupBy(ROW_KEY).agg(F.max(CURSOR_TIME).alias(CURSOR_TIME)), F.col(CURSOR_TIME))
     window = spec.window()
     top = digits14(F.col("greatest"))
     after = next_cursor_column(
-        top, F.lit(window.start), F.lit(window.stop), spec.policy,
-        F.lit((run_time or dt.datetime.now()).strftime("%Y%m%d%H%M%S")),
+        top, F.lit(saved(window.start) if window.start else None), F.lit(window.stop), spec.policy,
+        F.lit((run_time or session_time(spark)).strftime(CURSOR_FORMAT)),
     )
     return metrics.select(
         F.lit(spec.config_id).alias("config_id"),
@@ -163,7 +170,7 @@ def sorted_cells_sink(folder: str) -> Sink:
 
 @dataclass(frozen=True)
 class JobResult:
-    """Outcome of one run. ``rows`` is the number of keys or rows written."""
+    """Outcome of one run. ``rows`` is the number of keys or rows written, ``written`` says that data was."""
 
     config_id: str
     source: str
@@ -171,6 +178,7 @@ class JobResult:
     cursor: str | None
     is_success: bool
     error: str = ""
+    written: bool = False
 
 
 def run_export(spark: SparkSession, spec: JobSpec, sink: Sink, run_time: dt.datetime | None = None) -> JobResult:
@@ -178,21 +186,21 @@ def run_export(spark: SparkSession, spec: JobSpec, sink: Sink, run_time: dt.date
 
     Row count and greatest cursor are observed in the write job; nothing is scanned twice.
     """
-    begun = run_time or dt.datetime.now()
+    begun = run_time or session_time(spark)
     written = sink(export_records(spark, spec), spec)
     cursor = next_cursor(written.greatest, spec.window(), spec.policy, begun)
-    return JobResult(spec.config_id, spec.source, written.rows, cursor, True)
+    return JobResult(spec.config_id, spec.source, written.rows, cursor, True, written=True)
 
 
 def run_append(spark: SparkSession, spec: JobSpec, sink: Sink) -> JobResult:
     """Append the rows after the cursor. The cursor is not moved."""
     written = sink(append_rows_of(spark, spec), spec)
-    return JobResult(spec.config_id, spec.source, written.rows, spec.cursor or None, True)
+    return JobResult(spec.config_id, spec.source, written.rows, spec.cursor or None, True, written=True)
 
 
 def run_reload(source: DataFrame, keys: str, table: KeyedTable, columns: str = "*") -> Written:
     """Reload a keyed table from a relational scan."""
-    return table.put(reload_records(source, keys, columns), batch_number())
+    return table.put(reload_records(source, keys, columns), batch_number(), load=True)
 
 
 def run_full_load(source: DataFrame, columns: Sequence[str], path: str) -> Written:
@@ -220,20 +228,26 @@ def run_logged(
     """Run one job between a start event and a success or failure event.
 
     The cursor moves after the data is written, so a crash in between repeats a window and
-    never skips one.
+    never skips one. Nothing is raised: an error of the job, of the log or of the cursor table
+    makes the result a failure, and ``written`` says whether the data had been written before.
     """
     run_id = str(uuid.uuid4())
     context = spark.sparkContext
-    log.started(run_id, spec.config_id, spec.source, context.applicationId, context.uiWebUrl)
+    result = JobResult(spec.config_id, spec.source, 0, spec.cursor or None, False)
     try:
+        log.started(run_id, spec.config_id, spec.source, context.applicationId, context.uiWebUrl)
         result = run(spec)
+        if cursors is not None and result.cursor and result.cursor != spec.cursor:
+            cursors.moved(spec.config_id, result.cursor)
+        log.succeeded(run_id, result.rows, result.cursor)
+        return result
     except Exception as error:
+        errors = [str(error)]
+    try:
         log.failed(run_id)
-        return JobResult(spec.config_id, spec.source, 0, spec.cursor or None, False, str(error))
-    if cursors is not None and result.cursor and result.cursor != spec.cursor:
-        cursors.moved(spec.config_id, result.cursor)
-    log.succeeded(run_id, result.rows, result.cursor)
-    return result
+    except Exception as error:
+        errors.append(str(error))
+    return replace(result, is_success=False, error="; ".join(errors))
 
 
 def run_all(
@@ -262,14 +276,26 @@ def run_all(
 
 
 def run_until_current(
-    spark: SparkSession, spec: JobSpec, sink: Sink, run_time: dt.datetime, most: int = 10_000
-) -> list[JobResult]:
-    """Run windows one after the other until the cursor stops moving."""
-    results: list[JobResult] = []
-    for _ in range(most):
-        result = run_export(spark, spec, sink, run_time)
-        results.append(result)
-        if not result.cursor or result.cursor == spec.cursor:
-            return results
+    spark: SparkSession,
+    spec: JobSpec,
+    sink: Sink,
+    run_time: dt.datetime | None = None,
+    log: RunLog | None = None,
+    cursors: CursorTable | None = None,
+) -> Iterator[JobResult]:
+    """Run windows one after the other until the cursor stops moving; yields each as it ends.
+
+    With a log and a cursor table, every window is logged and leaves its cursor, so that a run
+    which breaks off goes on at its last window. A failed window is the last one.
+    """
+    begun = run_time or session_time(spark)
+    while True:
+
+        def one(at: JobSpec) -> JobResult:
+            return run_export(spark, at, sink, begun)
+
+        result = run_logged(spark, spec, one, log, cursors) if log is not None else one(spec)
+        yield result
+        if not result.is_success or not result.cursor or result.cursor == saved(spec.cursor):
+            return
         spec = spec.at(result.cursor)
-    raise RuntimeError(f"the cursor was still moving after {most} windows")

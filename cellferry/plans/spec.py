@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
-from dataclasses import dataclass, fields, replace
+from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.canonical import TextRules
 from ..operators.cells import FAMILY
+from ..names import bind
 from ..operators.windows import CursorWindow
 
 # Config column of each setting of a keyed export.
@@ -90,8 +91,27 @@ class JobSpec:
         return replace(self, cursor=cursor)
 
 
-def specs_from(configs: DataFrame, columns: Mapping[str, str] = EXPORT_COLUMNS, **choices: Any) -> Iterator[JobSpec]:
-    """Jobs of a config table, fetched a partition at a time."""
+def with_cursors(configs: DataFrame, cursors: DataFrame, columns: Mapping[str, str] = EXPORT_COLUMNS) -> DataFrame:
+    """Config rows with the cursor that their last run saved; the config's own where there is none."""
+    config_id, cursor = bind(configs, columns["config_id"]), bind(configs, columns["cursor"])
+    last = cursors.select(F.col("config_id").alias("__config_id"), F.col("cursor").alias("__cursor"))
+    joined = configs.join(last, F.col(f"`{config_id}`").cast("string") == F.col("__config_id"), "left")
+    now = F.coalesce("__cursor", F.col(f"`{cursor}`").cast("string")).alias(cursor)
+    return joined.select(*[now if c == cursor else F.col(f"`{c}`") for c in configs.columns])
+
+
+def specs_from(
+    configs: DataFrame,
+    columns: Mapping[str, str] = EXPORT_COLUMNS,
+    cursors: DataFrame | None = None,
+    **choices: Any,
+) -> Iterator[JobSpec]:
+    """Jobs of a config table, fetched a partition at a time.
+
+    ``cursors`` (:meth:`cellferry.plans.runlog.CursorTable.current`) says where each job stopped.
+    """
+    if cursors is not None:
+        configs = with_cursors(configs, cursors, columns)
     for row in configs.toLocalIterator():
         yield JobSpec.from_row(row.asDict(), columns, **choices)
 
@@ -110,5 +130,3 @@ def from_config_json(text: Column, columns: Mapping[str, str] = APPEND_COLUMNS)
     """A JSON object as a struct of settings; null where the text is no JSON."""
     return F.from_json(text, json_schema(columns))
 
-
-SETTINGS = tuple(f.name for f in fields(JobSpec))

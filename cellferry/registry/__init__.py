@@ -36,4 +36,4 @@ def path(folder: str, name: str) -> str:
 
 def load_all() -> None:
     """Import every query module."""
-    from . import cells, cleaning, control, identity, keyed, layout, scans  # noqa: F401
+    from . import cells, cleaning, control, identity, keyed, layout, roundtrips, scans  # noqa: F401

@@ -13,8 +13,10 @@ from . import query, table
 
 _ORDER_SQL = """SELECT CAST(o_orderkey AS VARCHAR) AS row_key, CAST(o_custkey AS VARCHAR) AS o_custkey,
     strftime(o_orderdate, '%Y%m%d%H%M%S') AS o_orderdate, CAST(o_orderkey AS VARCHAR) AS o_orderkey,
-    o_orderpriority, CASE WHEN o_orderkey % 6 = 0 THEN '' ELSE o_orderstatus END AS o_orderstatus FROM orders"""
-_QUALIFIERS = ["o_custkey", "o_orderdate", "o_orderkey", "o_orderpriority", "o_orderstatus"]
+    o_orderpriority, CASE WHEN o_orderkey % 6 = 0 THEN '' ELSE o_orderstatus END AS o_orderstatus,
+    CAST(CAST(o_totalprice AS DECIMAL(38, 2)) AS VARCHAR) AS o_totalprice FROM orders"""
+_QUALIFIERS = ["o_custkey", "o_orderdate", "o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice"]
+_RULES = TextRules(decimal_scale=2)
 
 
 def _unpivot(select: str, names: list[str]) -> str:
@@ -23,13 +25,13 @@ def _unpivot(select: str, names: list[str]) -> str:
 
 def _orders(spark: SparkSession, sf: str) -> DataFrame:
     status = F.when(F.col("o_orderkey") % 6 == 0, F.lit(None)).otherwise(F.col("o_orderstatus"))
-    return table(spark, sf, "orders").drop("o_totalprice").withColumn("o_orderstatus", status)
+    return table(spark, sf, "orders").withColumn("o_orderstatus", status)
 
 
 def _records(spark: SparkSession, sf: str) -> DataFrame:
     """Order keys are unique, so no step is needed that keeps one of them."""
     df = _orders(spark, sf)
-    return with_row_key(df, "o_orderkey").select("row_key", *[canonical(df, q, "", TextRules()).alias(q) for q in _QUALIFIERS])
+    return with_row_key(df, "o_orderkey").select("row_key", *[canonical(df, q, "", _RULES).alias(q) for q in _QUALIFIERS])
 
 
 @query(f"SELECT row_key, 'cf1' AS family, qualifier, value FROM ({_unpivot(_ORDER_SQL, _QUALIFIERS)})")
@@ -40,7 +42,7 @@ def order_cells(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"SELECT row_key, 'cf1' AS family, qualifier, value FROM ({_unpivot(_ORDER_SQL, _QUALIFIERS)})")
 def sorted_order_cells(spark: SparkSession, sf: str) -> DataFrame:
     """Records are sorted, cells are not: they come out of sorted records in order."""
-    return to_cells(sorted_layout(keyed_records(_orders(spark, sf), "o_orderkey", latest_by=["o_orderdate"])))
+    return to_cells(sorted_layout(keyed_records(_orders(spark, sf), "o_orderkey", _RULES, latest_by=["o_orderdate"])))
 
 
 @query(_ORDER_SQL)
@@ -57,19 +59,24 @@ def cell_with_default(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # The first value per user and qualifier, by event number; cells are joined for comparison.
+_EVENT_CELLS = ("event_type", "props", "ts", "value")
+
+
 @query(
-    """WITH first AS (SELECT user_id, min_by(event_type, event_id) AS event_type,
-              min_by(strftime(ts, '%Y%m%d%H%M%S'), event_id) AS ts FROM events GROUP BY user_id)
-       SELECT CAST(user_id AS VARCHAR) AS row_key, concat('event_type=', event_type, ',ts=', ts) AS cells FROM first"""
+    """WITH first AS (SELECT user_id, min_by(event_type, event_id) AS event_type, min_by(props, event_id) AS props,
+              min_by(strftime(ts, '%Y%m%d%H%M%S'), event_id) AS ts,
+              min_by(CAST(CAST(value AS DECIMAL(38, 2)) AS VARCHAR), event_id) AS value FROM events GROUP BY user_id)
+       SELECT CAST(user_id AS VARCHAR) AS row_key,
+              concat('event_type=', event_type, ',props=', props, ',ts=', ts, ',value=', value) AS cells FROM first"""
 )
 def cells_per_key(spark: SparkSession, sf: str) -> DataFrame:
-    events = table(spark, sf, "events").select("event_id", "event_type", "user_id", "ts")
+    events = table(spark, sf, "events")
     texts = with_row_key(events, "user_id").select(
-        "row_key", "event_id", *[canonical(events, q).alias(q) for q in ("event_type", "ts")]
+        "row_key", F.col("event_id").alias("at"), *[canonical(events, q, "", _RULES).alias(q) for q in _EVENT_CELLS]
     )
-    cells = texts.unpivot(["row_key", "event_id"], ["event_type", "ts"], "qualifier", "value")
+    cells = texts.unpivot(["row_key", "at"], list(_EVENT_CELLS), "qualifier", "value")
     shown = F.transform("cells", lambda c: F.concat(c["qualifier"], F.lit("="), c["value"]))
-    return collect_cells(cells, ["event_id"]).select("row_key", F.array_join(shown, ",").alias("cells"))
+    return collect_cells(cells, ["at"]).select("row_key", F.array_join(shown, ",").alias("cells"))
 
 
 # A later batch holds a third of the orders, with another priority, and no other column.
@@ -95,7 +102,7 @@ def cells_upserted(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""SELECT o.row_key, o.o_custkey, o.o_orderdate, o.o_orderkey,
-               coalesce(l.o_orderpriority, o.o_orderpriority) AS o_orderpriority, o.o_orderstatus
+               coalesce(l.o_orderpriority, o.o_orderpriority) AS o_orderpriority, o.o_orderstatus, o.o_totalprice
         FROM ({_ORDER_SQL}) o LEFT JOIN ({_LATER_SQL}) l ON o.row_key = l.row_key"""
 )
 def records_upserted(spark: SparkSession, sf: str) -> DataFrame:

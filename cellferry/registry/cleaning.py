@@ -268,14 +268,25 @@ def sink_types(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """SELECT 'text' AS column_name, count(*) FILTER (length(text) > 255) AS misfits FROM documents
-       UNION ALL SELECT 'lang', count(*) FILTER (length(lang) > 255) FROM documents
-       UNION ALL SELECT 'source', count(*) FILTER (length(source) > 255) FROM documents"""
+    """SELECT 'text' AS column_name, count(*) FILTER (length(text) > 255) AS misfits, 0::BIGINT AS rounded FROM documents
+       UNION ALL SELECT 'lang', count(*) FILTER (length(lang) > 255), 0 FROM documents
+       UNION ALL SELECT 'source', count(*) FILTER (length(source) > 255), 0 FROM documents"""
 )
 def sink_misfits(spark: SparkSession, sf: str) -> DataFrame:
     return sink_report(table(spark, sf, "documents"))
 
 
+@query(
+    """SELECT 'ts' AS column_name, 0::BIGINT AS misfits, count(*) FILTER (ts <> date_trunc('second', ts)) AS rounded FROM events
+       UNION ALL SELECT 'value', count(*) FILTER (event_id % 7 = 0),
+              count(*) FILTER (event_id % 7 <> 0 AND CAST(CAST(value AS DECIMAL(19, 4)) AS DOUBLE) <> value) FROM events"""
+)
+def sink_overflows(spark: SparkSession, sf: str) -> DataFrame:
+    """Every seventh value is beyond the database's largest number; the report counts it."""
+    huge = F.when(F.col("event_id") % 7 == 0, F.lit(1e16)).otherwise(F.col("value")).alias("value")
+    return sink_report(table(spark, sf, "events").select("ts", huge))
+
+
 @query(
     """SELECT CAST(l_linenumber AS INTEGER) AS l_linenumber, CAST(l_orderkey AS BIGINT) AS l_orderkey,
               CAST(CAST(l_quantity AS DECIMAL(38, 10)) AS VARCHAR) AS l_quantity, l_tax > 0 AS l_tax,

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import digits14
 from ..plans.runlog import LOG_COLUMNS, current_cursors, run_state, runs_per_source
-from ..plans.spec import APPEND_COLUMNS, from_config_json, to_config_json
+from ..plans.spec import APPEND_COLUMNS, from_config_json, to_config_json, with_cursors
 from . import query, table
 
 
@@ -48,6 +48,7 @@ def _log_events(spark: SparkSession, sf: str) -> DataFrame:
         hive_tbname=source,
         start_time=F.col("o_orderdate"),
         appid=F.concat(F.lit("app_"), F.col("o_orderkey").cast("string")),
+        app_url=F.concat(F.lit("http://driver:4040/"), F.col("o_orderkey").cast("string")),
         event_time=F.col("o_orderdate"),
     )
     good = event(
@@ -63,7 +64,7 @@ def _log_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _STATE_SQL = """SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS relaid,
-    concat('t', o_custkey % 50) AS hive_tbname, o_orderdate AS start_time, CAST(NULL AS VARCHAR) AS app_url,
+    concat('t', o_custkey % 50) AS hive_tbname, o_orderdate AS start_time, concat('http://driver:4040/', o_orderkey) AS app_url,
     concat('app_', o_orderkey) AS appid, CASE WHEN o_orderstatus = 'F' THEN CAST(round(o_totalprice) AS BIGINT) END AS row_nums,
     CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 1 HOUR END AS end_time,
     CASE o_orderstatus WHEN 'F' THEN '1' WHEN 'P' THEN '0' END AS is_success,
@@ -71,10 +72,10 @@ _STATE_SQL = """SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARC
     CASE WHEN o_orderstatus = 'P' THEN o_orderdate + INTERVAL 1 HOUR END AS last_update_time FROM orders"""
 
 
-# app_url is null throughout and left out; counts with nulls are compared as text.
-@query(f"SELECT * EXCLUDE (app_url) REPLACE (CAST(row_nums AS VARCHAR) AS row_nums) FROM ({_STATE_SQL})")
+# counts with nulls are compared as text
+@query(f"SELECT * REPLACE (CAST(row_nums AS VARCHAR) AS row_nums) FROM ({_STATE_SQL})")
 def run_log_state(spark: SparkSession, sf: str) -> DataFrame:
-    state = run_state(_log_events(spark, sf)).drop("app_url")
+    state = run_state(_log_events(spark, sf))
     return state.withColumn("row_nums", F.col("row_nums").cast("string"))
 
 
@@ -96,3 +97,18 @@ def cursors_current(spark: SparkSession, sf: str) -> DataFrame:
         F.col("user_id").cast("string").alias("config_id"), digits14(F.col("ts")).alias("cursor"), F.col("ts").alias("run_ts")
     )
     return current_cursors(history)
+
+
+# Every user is a config; those with an even number have a cursor saved by a run, the others their own.
+@query(
+    """SELECT CAST(user_id AS VARCHAR) AS id, CASE WHEN user_id % 2 = 0 THEN strftime(max(ts), '%Y%m%d%H%M%S')
+              ELSE '20240101000000' END AS hive_columns_cjsj_lasttime FROM events GROUP BY user_id"""
+)
+def configs_with_cursors(spark: SparkSession, sf: str) -> DataFrame:
+    events = table(spark, sf, "events")
+    configs = events.select(F.col("user_id").cast("string").alias("id")).distinct()
+    configs = configs.withColumn("hive_columns_cjsj_lasttime", F.lit("20240101000000"))
+    history = events.where("user_id % 2 = 0").select(
+        F.col("user_id").cast("string").alias("config_id"), digits14(F.col("ts")).alias("cursor"), F.col("ts").alias("run_ts")
+    )
+    return with_cursors(configs, current_cursors(history))

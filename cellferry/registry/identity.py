@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import idnum
+from ..functions.canonical import TextRules, canonical
 from ..operators.quality import id_report
 from . import query, table
 
@@ -45,6 +46,7 @@ def _valid15_sql(c: str) -> str:
 
 
 def _check_sql(c: str) -> str:
+    # Weights and check characters of the public standard.
     weights = (7, 9, 10, 5, 8, 4, 2, 1, 6, 3, 7, 9, 10, 5, 8, 4, 2)
     total = " + ".join(f"TRY_CAST(substr({c}, {i}, 1) AS INTEGER) * {w}" for i, w in enumerate(weights, 1))
     return f"substr('10X98765432', ({total}) % 11 + 1, 1)"
@@ -81,6 +83,18 @@ def ids_upgraded(spark: SparkSession, sf: str) -> DataFrame:
     return _numbers(spark, sf).select("c_custkey", "n15", "n18")
 
 
+_DIGITS_SQL = f"""SELECT c_custkey, CASE WHEN regexp_full_match(n15, '[0-9]{{15}}') THEN CAST(CAST(n15 AS BIGINT) AS VARCHAR) END AS n15
+    FROM ({_BASE_SQL})"""
+
+
+@query(f"SELECT c_custkey, coalesce({_N18_SQL}, '') AS number FROM ({_DIGITS_SQL})")
+def ids_upgraded_numeric(spark: SparkSession, sf: str) -> DataFrame:
+    """Numbers that are stored as integers are upgraded like text."""
+    number = F.when(F.col("n15").rlike("^[0-9]{15}$"), F.col("n15")).cast("bigint").alias("number")
+    df = _numbers(spark, sf).select("c_custkey", number)
+    return df.select("c_custkey", canonical(df, "number", "", TextRules(id_columns=("number",))).alias("number"))
+
+
 @query(f"SELECT c_custkey, {_valid15_sql('n15')} AS is_valid FROM ({_BASE_SQL})")
 def ids_valid_15(spark: SparkSession, sf: str) -> DataFrame:
     return _numbers(spark, sf).select("c_custkey", idnum.is_valid_15(F.col("n15")).alias("is_valid"))

@@ -11,7 +11,7 @@ from ..operators.dedupe import batch_metrics, fixed_width, greatest_row, keep_la
 from ..operators.keys import with_row_key
 from ..operators.upsert import upsert_records
 from ..operators.windows import CursorWindow, next_cursor_column, window_test
-from ..plans.jobs import CURSOR_TIME, all_metrics, append_rows_of, export_records, full_load_records, reload_records
+from ..plans.jobs import CURSOR_TIME, all_metrics, append_rows_of, export_batch, export_records, full_load_records, reload_records
 from ..plans.spec import JobSpec
 from . import path, query, table
 
@@ -69,14 +69,13 @@ def latest_lineitem(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """SELECT CAST(l_suppkey AS VARCHAR) || '_' || l_returnflag AS row_key, max(l_shipdate) AS l_shipdate
-       FROM lineitem GROUP BY 1"""
+    """SELECT * EXCLUDE (rn) FROM (SELECT l_suppkey || '_' || l_returnflag AS row_key, *, row_number() OVER (
+           PARTITION BY l_suppkey, l_returnflag ORDER BY l_shipdate DESC, l_orderkey DESC, l_partkey DESC, l_suppkey DESC,
+           l_linenumber DESC, l_quantity DESC, l_extendedprice DESC, l_discount DESC, l_tax DESC) AS rn FROM lineitem) WHERE rn = 1"""
 )
 def latest_fixed_width(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "lineitem").select("l_suppkey", "l_returnflag", "l_shipdate")
-    keyed = with_row_key(rows, "l_suppkey,l_returnflag")
-    latest = keep_latest(keyed, "row_key", ["l_shipdate"])
-    return fixed_width(latest, 12).select("row_key", "l_shipdate")
+    keyed = with_row_key(table(spark, sf, "lineitem"), "l_suppkey,l_returnflag")
+    return fixed_width(keep_latest(keyed, "row_key", ["l_shipdate"]), 12)
 
 
 @query(
@@ -148,8 +147,9 @@ def next_cursors_advanced(spark: SparkSession, sf: str) -> DataFrame:
        WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-13'"""
 )
 def exported_keys(spark: SparkSession, sf: str) -> DataFrame:
-    records = export_records(spark, _event_spec(sf, cursor="20240110", step_days="3"))
-    return batch_metrics(records, F.col(CURSOR_TIME))
+    batch = export_batch(spark, _event_spec(sf, cursor="20240110", step_days="3"))
+    keys = with_row_key(batch, "user_id,event_type").groupBy("row_key").agg(F.max(CURSOR_TIME).alias(CURSOR_TIME))
+    return batch_metrics(keys, F.col(CURSOR_TIME))
 
 
 def _metric_sql(config: str, source: str, keys: str, cursor: str, where: str, floor: str) -> str:

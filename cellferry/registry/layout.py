@@ -1,6 +1,6 @@
 """Order, samples, key buckets, split points."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import layout
@@ -15,10 +15,33 @@ def _event_keys(spark: SparkSession, sf: str) -> DataFrame:
     return with_row_key(table(spark, sf, "events").select("user_id", "event_id"), "user_id,event_id").select(ROW_KEY)
 
 
-@query("SELECT CAST(o_orderkey AS VARCHAR) AS row_key, o_orderstatus FROM orders")
+def _placed(df: DataFrame) -> DataFrame:
+    """States the order that rows stand in: the first and last key of every partition, and whether
+    keys rise within it and from the partition before. One row tells it for all of them."""
+    part, at = F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")
+    inner = Window.partitionBy("part").orderBy("at")
+    rows = df.select(ROW_KEY, part, at).withColumn("before", F.lag(ROW_KEY).over(inner))
+    ends = rows.groupBy("part").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min_by(ROW_KEY, "at").alias("first"),
+        F.max_by(ROW_KEY, "at").alias("last"),
+        F.count_if(F.col("before") > F.col(ROW_KEY)).alias("falls"),
+    )
+    between = F.lag("last").over(Window.orderBy("part")) > F.col("first")
+    told = ends.select("n", "falls", between.alias("crossed"))
+    return told.agg(F.sum("n").alias("row_count"), (F.sum("falls") + F.count_if("crossed")).alias("out_of_order"))
+
+
+@query("SELECT count(*) AS row_count, 0::BIGINT AS out_of_order FROM orders")
 def ordered_keys(spark: SparkSession, sf: str) -> DataFrame:
-    keyed = with_row_key(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), "o_orderkey")
-    return layout.total_order(keyed.select(ROW_KEY, "o_orderstatus"))
+    keyed = with_row_key(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey")
+    return _placed(layout.total_order(keyed.select(ROW_KEY)))
+
+
+@query("SELECT count(*) AS row_count, 0::BIGINT AS out_of_order FROM lineitem")
+def sorted_layout_keys(spark: SparkSession, sf: str) -> DataFrame:
+    keyed = with_row_key(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"), "l_orderkey,l_linenumber")
+    return _placed(layout.sorted_layout(keyed.select(ROW_KEY)))
 
 
 @query("SELECT l_orderkey, l_linenumber, l_suppkey, l_shipdate FROM lineitem ORDER BY ALL LIMIT 10")
@@ -41,11 +64,13 @@ def key_sample_random(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _bucket_sql(points: str, rows: str) -> str:
-    bucket = f"CAST(len(list_filter({points}, lambda p: p <= prefix)) AS BIGINT)"
-    counted = f"SELECT substr(row_key, 1, 3) AS prefix, count(*) AS n FROM ({rows}) GROUP BY 1"
-    return f"SELECT {bucket} AS bucket, CAST(sum(n) AS BIGINT) AS row_count FROM ({counted}) GROUP BY 1"
+    """Rows by the greatest split point that is not above the whole key."""
+    numbered = f"SELECT point, row_number() OVER (ORDER BY point) AS number FROM (SELECT unnest({points}) AS point)"
+    bucket = f"SELECT coalesce(p.number, 0) AS bucket FROM ({rows}) k ASOF LEFT JOIN ({numbered}) p ON k.row_key >= p.point"
+    return f"SELECT bucket, count(*) AS row_count FROM ({bucket}) GROUP BY bucket"
 
 
+# The split points of the general table.
 _ALPHABET = "string_split('123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ', '')"
 _GENERAL = f"""list_concat(list_transform(range(10, 100), lambda n: '0' || n),
     flatten(list_transform({_ALPHABET}, lambda a: list_transform({_ALPHABET}, lambda b: a || b))))"""
@@ -62,11 +87,13 @@ def buckets_general(spark: SparkSession, sf: str) -> DataFrame:
     return layout.bucket_report(_mixed(spark, sf), layout.general_splits())
 
 
+# Two digits from 00 to 69.
 @query(_bucket_sql("list_transform(range(70), lambda n: lpad(CAST(n AS VARCHAR), 2, '0'))", f"SELECT {_EVENT_KEY} AS row_key FROM events"))
 def buckets_two_digit(spark: SparkSession, sf: str) -> DataFrame:
     return layout.bucket_report(_event_keys(spark, sf), layout.two_digit_splits())
 
 
+# The five prefixes.
 @query(_bucket_sql("['43', '53', '54', '62', '65']", f"SELECT {_EVENT_KEY} AS row_key FROM events"))
 def buckets_stay(spark: SparkSession, sf: str) -> DataFrame:
     return layout.bucket_report(_event_keys(spark, sf), layout.stay_splits())

@@ -85,6 +85,38 @@ def window_step_zero(spark: SparkSession, sf: str) -> DataFrame:
     return _events(in_window(table(spark, sf, "events"), "ts", CursorWindow.of("20240120", "0")))
 
 
+# A text column of printed times that has no cursor type: an export prints the cursor.
+@query(
+    """SELECT * FROM (SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS printed FROM events)
+       WHERE printed >= '2024-01-12 00:00:00'"""
+)
+def window_dashed_text_blank_type(spark: SparkSession, sf: str) -> DataFrame:
+    printed = F.substring(F.col("ts").cast("string"), 1, 19).alias("printed")
+    stored = table(spark, sf, "events").select("event_id", printed)
+    return in_window(stored, "printed", CursorWindow.of("20240112000000"), " ")
+
+
+# An append compares text as it is stored unless its type is timestamp.
+@query(
+    """SELECT * FROM (SELECT event_id, strftime(ts, '%Y%m%d%H%M%S') AS ts_text FROM events)
+       WHERE ts_text > '20240112000000'"""
+)
+def append_text_cursor(spark: SparkSession, sf: str) -> DataFrame:
+    stored = table(spark, sf, "events").select("event_id", digits14(F.col("ts")).alias("ts_text"))
+    return in_window(stored, "ts_text", CursorWindow.of("20240112000000", inclusive=False), "", rule="append")
+
+
+# A day compares by its midnight, so both bounds within a day move to the next one.
+@query(
+    """SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') AS day FROM orders
+       WHERE CAST(o_orderdate AS DATE) >= DATE '1997-05-29' AND CAST(o_orderdate AS DATE) < DATE '1997-06-01'"""
+)
+def window_days(spark: SparkSession, sf: str) -> DataFrame:
+    days = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
+    rows = in_window(days, "day", CursorWindow.of("19970528120000", 3))
+    return rows.select("o_orderkey", digits8(F.col("day")).alias("day"))
+
+
 _COUNTED = ("customer", "documents", "events", "lineitem", "orders", "part")
 
 
@@ -101,10 +133,12 @@ def distinct_user_types(spark: SparkSession, sf: str) -> DataFrame:
     return distinct_values(table(spark, sf, "events"), "USER_ID, event_type")
 
 
-@query("SELECT DISTINCT l_suppkey, l_returnflag, l_linestatus, l_quantity FROM lineitem")
+@query("SELECT DISTINCT * FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_linenumber = 1)")
 def distinct_whole_records(spark: SparkSession, sf: str) -> DataFrame:
-    columns = ["l_suppkey", "l_returnflag", "l_linestatus", "l_quantity"]
-    return distinct_records(read_table(spark, path(sf, "lineitem"), columns))
+    """Whole records, of which those with line number 1 are there twice."""
+    lines = read_table(spark, path(sf, "lineitem"))
+    twice = F.explode(F.when(F.col("l_linenumber") == 1, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    return distinct_records(lines.select("*", twice.alias("copy")).drop("copy"))
 
 
 def _dated(df: DataFrame, day: str, ident: str, *others: str) -> DataFrame:
@@ -129,6 +163,13 @@ def key_range_cell(spark: SparkSession, sf: str) -> DataFrame:
     return read_cell(key_range(keyed, "20240111_", "20240113", day_column="ts"), "EVENT_TYPE")
 
 
+# A stop of seven digits is no day: the keys of 1 to 9 January stay.
+@query(f"SELECT * FROM ({_DATED_EVENTS}) WHERE row_key >= '20240101' AND row_key < '2024011'")
+def key_range_short_stop(spark: SparkSession, sf: str) -> DataFrame:
+    keyed = _dated(table(spark, sf, "events"), "ts", "event_id", "event_type")
+    return key_range(keyed, "20240101", "2024011", day_column="ts").drop("ts")
+
+
 # seven keyed tables: (table, day column, identifier column)
 _SEVEN = (
     ("lineitem", "l_shipdate", "l_orderkey"),
@@ -150,8 +191,12 @@ _SEVEN = (
     + ") WHERE row_key >= '19991201' AND row_key < '20240109~'"
 )
 def range_identifiers(spark: SparkSession, sf: str) -> DataFrame:
-    read = {t: table(spark, sf, t) for t in ("lineitem", "orders", "events")}
-    scans = [_dated(read[t], d, i).withColumnRenamed(d, "day") for t, d, i in _SEVEN]
+    """Keyed tables over one stored table are read in one scan of it."""
+    scans = []
+    for name, day in dict.fromkeys((t, d) for t, d, _ in _SEVEN):
+        idents = F.explode(F.array(*[F.col(i).cast("string") for t, d, i in _SEVEN if (t, d) == (name, day)]))
+        rows = table(spark, sf, name).select(F.col(day).alias("day"), idents.alias("ident"))
+        scans.append(rows.select(F.concat_ws("_", digits8(F.col("day")), "ident").alias(ROW_KEY), "ident", "day"))
     return distinct_identifiers(scans, "19991201", "20240109~", "ident", day_column="day")
 
 

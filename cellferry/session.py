@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -30,6 +32,8 @@ def local_session(cores: int | str = "*", memory: str = "8g", **settings: str) -
         builder = builder.config(key, value)
     for key, value in settings.items():
         builder = builder.config(key.replace("__", "."), value)
+    if CHECKPOINT_SETTING.replace(".", "__") not in settings and CHECKPOINT_SETTING not in settings:
+        builder = builder.config(CHECKPOINT_SETTING, tempfile.mkdtemp(prefix="cellferry-checkpoint-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -38,9 +42,9 @@ def local_session(cores: int | str = "*", memory: str = "8g", **settings: str) -
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session without that
-    setting gets a folder of its own; a cluster session without it is an error, since a
-    machine-local folder is lost with its machine.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, a session whose
+    executors all run in this process gets a folder of its own, as in tests; any other master
+    is an error, since a machine-local folder is lost with its machine.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
@@ -48,8 +52,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     named = context.getConf().get(CHECKPOINT_SETTING) or spark.conf.get(CHECKPOINT_SETTING, None)
     if not named:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise RuntimeError(f"set {CHECKPOINT_SETTING} to a shared folder")
         named = tempfile.mkdtemp(prefix="cellferry-checkpoint-")
     context.setCheckpointDir(named)
     return context.getCheckpointDir()
+
+
+def session_time(spark: SparkSession) -> dt.datetime:
+    """The wall-clock time now in the session's time zone, which cursors are compared with."""
+    return spark.sql("SELECT CAST(current_timestamp() AS TIMESTAMP_NTZ)").first()[0]

@@ -13,7 +13,7 @@ from ..operators.layout import sorted_layout
 from ..sources.tables import ROW_KEY
 
 # rows per file, so that no file grows without end
-MAX_ROWS_PER_FILE = 20_000_000
+ROWS_PER_FILE = 20_000_000
 
 
 @dataclass(frozen=True)
@@ -50,6 +50,7 @@ def write_sorted_cells(
     files: int | None = None,
     family: str = FAMILY,
     mode: str = "error",
+    rows_per_file: int = ROWS_PER_FILE,
 ) -> Written:
     """Cells in key and qualifier order, as Parquet files with narrow key ranges.
 
@@ -59,17 +60,23 @@ def write_sorted_cells(
     """
     placed, seen = observed(sorted_layout(records, files), cursor)
     cells = to_cells(placed.drop(cursor) if cursor else placed, family=family)
-    cells.write.mode(mode).option("maxRecordsPerFile", MAX_ROWS_PER_FILE).parquet(path)
+    cells.write.mode(mode).option("maxRecordsPerFile", rows_per_file).parquet(path)
     return result_of(seen)
 
 
 def write_sorted_records(
-    records: DataFrame, path: str, *, cursor: str | None = None, files: int | None = None, mode: str = "error"
+    records: DataFrame,
+    path: str,
+    *,
+    cursor: str | None = None,
+    files: int | None = None,
+    mode: str = "error",
+    rows_per_file: int = ROWS_PER_FILE,
 ) -> Written:
     """Records in key order, as Parquet files with narrow key ranges."""
     placed, seen = observed(sorted_layout(records, files), cursor)
     wide = placed.drop(cursor) if cursor else placed
-    wide.write.mode(mode).option("maxRecordsPerFile", MAX_ROWS_PER_FILE).parquet(path)
+    wide.write.mode(mode).option("maxRecordsPerFile", rows_per_file).parquet(path)
     return result_of(seen)
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cells import FAMILY
-from ..operators.upsert import BATCH, newest_records
+from ..operators.upsert import BATCH, newest_records, refuse_reserved
 from ..sources.tables import ROW_KEY
 from .files import Written, observed, result_of
 
@@ -23,7 +23,8 @@ from .files import Written, observed, result_of
 BUCKETS = 500
 # a read takes one task per bucket
 BYTES_PER_BUCKET = 1 << 30
-MOST_BUCKETS = 100_000
+# a read merges the versions in a bucket; beyond so many batches it pays to write them as one
+BATCHES_BEFORE_COMPACTION = 50
 
 
 def batch_number() -> int:
@@ -36,11 +37,11 @@ def batch_number() -> int:
 
 def buckets_for(table_bytes: int) -> int:
     """Number of buckets for a table that will grow to this size."""
-    return max(1, min(MOST_BUCKETS, -(-table_bytes // BYTES_PER_BUCKET)))
+    return max(1, -(-table_bytes // BYTES_PER_BUCKET))
 
 
 class KeyedTable:
-    """One row per key and batch: ``row_key``, one text column per qualifier, ``batch_no``."""
+    """One row per key and batch: ``row_key``, one text column per qualifier, the batch's number."""
 
     def __init__(self, spark: SparkSession, name: str, buckets: int = BUCKETS, family: str = FAMILY) -> None:
         self.spark, self.name, self.buckets, self.family = spark, name, buckets, family
@@ -66,8 +67,13 @@ class KeyedTable:
         if added:
             self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({', '.join(f'`{q}` STRING' for q in added)})")
 
-    def put(self, records: DataFrame, batch_no: int, cursor: str | None = None) -> Written:
-        """Append one batch of records with unique keys. Putting a batch twice changes nothing."""
+    def put(self, records: DataFrame, batch_no: int, cursor: str | None = None, load: bool = False) -> Written:
+        """Append one batch of records with unique keys. Putting a batch twice changes nothing.
+
+        A batch is written by as many tasks as a shuffle has; a ``load``, which fills the whole
+        table, by one task per bucket.
+        """
+        refuse_reserved(records)
         qualifiers = [c for c in records.columns if c not in (ROW_KEY, cursor)]
         if not self.exists() and not self.create(qualifiers):
             raise ValueError(f"{self.name} needs a family and at least one qualifier")
@@ -75,7 +81,8 @@ class KeyedTable:
         # a bucket's rows meet in one task, so that a batch adds one file to each bucket;
         # how many buckets share a task is left to adaptive execution
         bucket = F.pmod(F.hash(ROW_KEY), F.lit(self.buckets))
-        passing, seen = observed(records.repartition(bucket), cursor)
+        spread = records.repartition(self.buckets, ROW_KEY) if load else records.repartition(bucket)
+        passing, seen = observed(spread, cursor)
         given = {c.lower(): c for c in records.columns}
         columns = []
         for name in self.spark.table(self.name).columns:
@@ -111,11 +118,15 @@ class KeyedTable:
             return 0
         return self.spark.table(self.name).agg(F.max(BATCH)).first()[0] or 0
 
+    def needs_compaction(self, most: int = BATCHES_BEFORE_COMPACTION) -> bool:
+        """Whether the table holds more than ``most`` batches: each left one file in its buckets."""
+        return self.exists() and self.spark.table(self.name).select(BATCH).distinct().count() > most
+
     def compact_into(self, name: str) -> KeyedTable:
         """Write the newest records as batch 1 of another table, and return that one.
 
         The table that is read is never overwritten; the caller moves on when this is done.
         """
         other = KeyedTable(self.spark, name, self.buckets, self.family)
-        other.put(self.records(), batch_no=1)
+        other.put(self.records(), batch_no=1, load=True)
         return other

@@ -21,9 +21,11 @@ def append_relational(df: DataFrame, **options) -> Written:
 
     Give it rows in database types, as :func:`cellferry.plans.jobs.append_rows_of` does.
     """
-    types = create_column_types(df)
-    passing, seen = observed(df)
-    writer = passing.write.format("jdbc").mode("append").options(**write_options(**options))
+    types, given = create_column_types(df), write_options(**options)
+    # the writer would narrow the plan itself to so many tasks; rows are moved once instead,
+    # so that the steps before keep their width
+    passing, seen = observed(df.repartition(int(given["numPartitions"])))
+    writer = passing.write.format("jdbc").mode("append").options(**given)
     if types:
         writer = writer.option("createTableColumnTypes", types)
     writer.save()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
 from typing import Any
@@ -36,6 +37,9 @@ def read_table(spark: SparkSession, source: str, columns: str | Sequence[str] |
 
 
 def _as_day(text: str) -> datetime.date | None:
+    """The day that a key bound begins with; None where it has no eight digits or no such day."""
+    if not re.match("[0-9]{8}", text):
+        return None
     try:
         return datetime.datetime.strptime(text[:8], "%Y%m%d").date()
     except ValueError:

@@ -131,6 +131,7 @@ def test_id_15(one):
 
 
 def _check_char(digits):
+    # Weights and check characters of the public standard.
     weights = [7, 9, 10, 5, 8, 4, 2, 1, 6, 3, 7, 9, 10, 5, 8, 4, 2]
     return "10X98765432"[sum(int(d) * w for d, w in zip(digits, weights)) % 11]
 

@@ -33,7 +33,7 @@ def spec(small):
 def test_windows_one_by_one_equal_a_full_load(spark, spec):
     whole = rows_of(jobs.export_records(spark, spec).drop(jobs.CURSOR_TIME))
     chained = JobSpec(**{**vars(spec), "target": "chained", "cursor": "20231220000000", "step_days": "9"})
-    results = jobs.run_until_current(spark, chained, jobs.keyed_table_sink(spark, 4), NOW)
+    results = list(jobs.run_until_current(spark, chained, jobs.keyed_table_sink(spark, 4), NOW))
     assert rows_of(KeyedTable(spark, "chained", 4).records()) == whole
     cursors = [r.cursor for r in results]
     assert cursors == sorted(cursors) and results[0].rows == 0 and results[0].cursor == "20231229000000"
@@ -44,7 +44,7 @@ def test_a_gap_longer_than_the_step_does_not_stall(spark, spec, small, tmp_path)
     gap = str(tmp_path / "gap")
     spark.read.parquet(f"{small}/events.parquet").where("ts < '2024-01-06' or ts > '2024-01-20'").write.parquet(gap)
     job = JobSpec(**{**vars(spec), "source": gap, "target": "gap_target", "cursor": "20240103000000", "step_days": "6"})
-    results = jobs.run_until_current(spark, job, jobs.keyed_table_sink(spark, 2), NOW)
+    results = list(jobs.run_until_current(spark, job, jobs.keyed_table_sink(spark, 2), NOW))
     assert 0 in [r.rows for r in results]
     target = KeyedTable(spark, "gap_target", 2)
     expected = jobs.export_records(spark, JobSpec(**{**vars(job), "step_days": ""})).count()

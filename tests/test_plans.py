@@ -3,9 +3,16 @@
 import pytest
 from conftest import plan_of
 
-import __spark_entry__ as entry_points
+from cellferry import registry
 
-QUERIES = entry_points.queries()
+registry.load_all()
+QUERIES = registry.QUERIES
+
+# one row, or one row per partition, meets in one place
+ONE_ROW = {
+    "greatest_cursor_row", "exported_keys", "source_row_counts", "configured_exports", "sink_misfits", "sink_overflows", "first_ten",
+    "ordered_keys", "sorted_layout_keys",
+}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - {"split_points_of_sample"}))
@@ -13,7 +20,7 @@ def test_no_python_and_no_single_task_steps(spark, small, name):
     plan = plan_of(QUERIES[name](spark, small))
     for node in ("Python", "InPandas", "CartesianProduct", "NestedLoopJoin"):
         assert node not in plan
-    if name not in {"greatest_cursor_row", "exported_keys", "source_row_counts", "configured_exports", "sink_misfits", "first_ten"}:
+    if name not in ONE_ROW:
         assert "SinglePartition" not in plan
 
 
@@ -50,3 +57,8 @@ def test_filters_reach_the_scan(spark, small, name, pushed):
 def test_number_of_shuffles(spark, small, name, shuffles):
     plan = plan_of(QUERIES[name](spark, small))
     assert plan.count("Exchange ") == shuffles, plan
+
+
+def test_each_table_is_scanned_once_for_identifiers(spark, small):
+    plan = plan_of(QUERIES["range_identifiers"](spark, small))
+    assert plan.count("FileScan") == 3 and plan.count("PushedFilters: []") == 0

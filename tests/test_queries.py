@@ -5,7 +5,10 @@ import pytest
 import __spark_entry__ as entry_points
 import compare
 
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+from cellferry import registry
+
+registry.load_all()
+QUERIES, ORACLES = registry.QUERIES, registry.ORACLES
 
 
 @pytest.fixture(scope="module")

@@ -110,7 +110,7 @@ def test_keyed_table_reads_without_a_shuffle(spark, records):
 
 
 def test_bucket_numbers_by_size():
-    assert [buckets_for(n) for n in (0, 1, 1 << 30, (1 << 30) + 1, 100 << 40)] == [1, 1, 1, 2, 100_000]
+    assert [buckets_for(n) for n in (0, 1, 1 << 30, (1 << 30) + 1, 100 << 40)] == [1, 1, 1, 2, 102_400]
 
 
 def test_jdbc_options():
