@@ -100,3 +100,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 64 << 20
+
+
+def small_enough(df: DataFrame, row_bytes: int = 32, size: str | None = None) -> DataFrame:
+    """``df`` marked for broadcast if it is counted to be small, else as it is, for a shuffled join.
+
+    ``size``: an expression for the bytes of a row beyond ``row_bytes``. The table should be
+    checkpointed, since it is read to be counted.
+    """
+    there, more = df.agg(F.count("*"), F.coalesce(F.sum(F.expr(size or "0L")), F.lit(0))).first()
+    return F.broadcast(df) if there <= BROADCAST_ROWS and there * row_bytes + more <= BROADCAST_BYTES else df

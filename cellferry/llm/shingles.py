@@ -30,9 +30,9 @@ def _powers(n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def word_hashes(flat: np.ndarray) -> np.ndarray:
-    """One hash per word of the bytes, in order; ``A-Z`` counts as lower case."""
-    found, start = [], 0
+def word_hashes(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The start and a hash of each word of the bytes, in order; ``A-Z`` counts as lower case."""
+    starts, found, start = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], 0
     while start < len(flat):
         end = min(len(flat), start + CHUNK)
         while end < len(flat) and not SEPARATOR[flat[end - 1]]:
@@ -42,19 +42,28 @@ def word_hashes(flat: np.ndarray) -> np.ndarray:
         edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
         first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         if len(first):
-            place = np.arange(len(part)) - np.repeat(np.append(0, first), np.diff(np.append(np.append(0, first), len(part))))
             lengths = last - first
-            power = _powers(int(lengths.max()))
-            value = np.where(inside, _BYTE[LOWER[part]] * power[np.where(inside, place, 0)], np.uint64(0))
-            sums = np.add.reduceat(value, first)
-            found.append(mix(sums + lengths.astype(np.uint64)))
+            at = np.flatnonzero(inside)
+            ends = np.cumsum(lengths)
+            place = np.arange(len(at)) - np.repeat(ends - lengths, lengths)
+            value = _BYTE[LOWER[part[at]]] * _powers(int(lengths.max()))[place]
+            starts.append(first + start)
+            found.append(mix(np.add.reduceat(value, ends - lengths) + lengths.astype(np.uint64)))
         start = end
-    return np.concatenate(found) if found else np.zeros(0, np.uint64)
+    return np.concatenate(starts), np.concatenate(found)
 
 
-def shingle_set(text: np.ndarray, words: int = 5) -> np.ndarray:
+def text_words(flat: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+    """The word hashes of each of several texts that lie one after another."""
+    n = len(bounds) - 1
+    apart = np.full(len(flat) + n, 0x20, np.uint8)  # a separator after each text
+    apart[np.arange(len(flat)) + np.repeat(np.arange(n), np.diff(bounds))] = flat
+    starts, hashes = word_hashes(apart)
+    return np.split(hashes, np.searchsorted(starts, bounds[1:-1] + np.arange(1, n))) if n else []
+
+
+def shingle_set(hashes: np.ndarray, words: int = 5) -> np.ndarray:
     """Sorted distinct hashes of runs of ``words`` words; fewer words make one run; none, nothing."""
-    hashes = word_hashes(text)
     if not len(hashes):
         return hashes
     width = min(words, len(hashes))
