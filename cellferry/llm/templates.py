@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import checkpointed, small_enough
 
 SEGMENTS = 8
 
@@ -111,10 +111,10 @@ def recurring_lines(
     alike = members.join(_first(["leaf"], members, documents), "leaf").where(place != F.col("first"))
 
     gone = dropped.select("ord", "tie", "line").union(alike.select("ord", "tie", "line"))
-    gone = gone.groupBy("ord", "tie").agg(F.collect_set("line").alias("gone"))
+    gone = checkpointed(gone.groupBy("ord", "tie").agg(F.collect_set("line").alias("gone")))
     kept = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped", "kept_text")]
     own = docs.select(F.struct(*[F.col(c) for c in kept]).alias("row"), *keyed_columns(id_col, text_col), text.alias("body"))
-    out = own.join(gone, ["ord", "tie"], "left")
+    out = own.join(small_enough(gone, 64, "4L * size(gone)"), ["ord", "tie"], "left")
     numbers = F.sequence(F.lit(0), F.size("lines") - 1)
     left = F.array_except(numbers, F.coalesce("gone", F.array().cast("array<int>")))
     out = out.withColumn("lines", _lines(F.col("body"))).withColumn("left", left)
