@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from .common import in_arrow, texts
 
 LONG = 400
-CACHE_ENTRIES = 350_000
+GENERATION = 300_000
 WORDS_AT_ONCE = 50_000
 
 ENCODE_SQL = """
@@ -63,6 +63,24 @@ def merge_table(ranks: dict[bytes, int]) -> pa.Table:
     return pa.table({"a": a, "b": b, "rank": rank})
 
 
+class Recent(dict):
+    """A bounded cache: when a generation is full, the one before it goes, but for what is used again."""
+
+    def __init__(self):
+        super().__init__()
+        self.older: dict = {}
+
+    def missing(self, keys: set[str]) -> set[str]:
+        """The keys that neither generation has; those of the older one move to the younger."""
+        if len(self) > GENERATION:
+            self.older = dict(self)
+            self.clear()
+        wanted = keys.difference(self)
+        again = wanted.intersection(self.older)
+        self.update((k, self.older[k]) for k in again)
+        return wanted.difference(again)
+
+
 class WordEncoder:
     """Ids and decoded bytes of texts in one worker."""
 
@@ -84,8 +102,7 @@ class WordEncoder:
         )
         self.db.execute("CREATE TABLE merges AS FROM merges")
         self.db.execute("CREATE TABLE vocabulary AS FROM vocabulary")
-        self.words: dict[str, tuple[int, bytes, bytes]] = {}
-        self.pieces: dict[str, tuple[int, bytes, bytes] | None] = {}
+        self.words, self.pieces = Recent(), Recent()
 
     def queried(self, words: list[bytes]) -> list[tuple[int, bytes, bytes]]:
         """Count, ids as decimal text, and decoded bytes of each distinct word, by the query."""
@@ -146,12 +163,13 @@ class WordEncoder:
 
     def joined(self, split: list[list[str]]) -> list[tuple[int, bytes, bytes]]:
         """What each list of words gives together."""
-        if len(self.words) > CACHE_ENTRIES:
-            self.words = {}
-        self.learn_words(set(itertools.chain.from_iterable(split)).difference(self.words))
+        self.learn_words(self.words.missing(set(itertools.chain.from_iterable(split))))
         look = self.words.__getitem__
         out = []
         for words in split:
+            if len(words) == 1:
+                out.append(look(words[0]))
+                continue
             parts = [look(w) for w in words]
             out.append((sum(p[0] for p in parts), b",".join([p[1] for p in parts]), b"".join([p[2] for p in parts])))
         return out
@@ -159,9 +177,7 @@ class WordEncoder:
     def encoded(self, batch: list[str]) -> list[tuple[int, bytes, bytes]]:
         """Pieces between single spaces are looked up; where one is odd, the whole text is split."""
         split = [t.split(" ") for t in batch]
-        if len(self.pieces) > CACHE_ENTRIES:
-            self.pieces = {}
-        missing = set().union(*[p[1:] for p in split]).difference(self.pieces) if split else set()
+        missing = self.pieces.missing(set().union(*[p[1:] for p in split]) if split else set())
         usual = [p for p in missing if p and not p[0].isspace() and not p[-1].isspace()]
         self.pieces.update(dict.fromkeys(missing.difference(usual)))
         self.pieces.update(zip(usual, self.joined([self.pattern.findall(" " + p) for p in usual])))
