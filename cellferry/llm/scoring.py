@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import in_arrow, ship, sliced, text_bytes, texts
-from .shingles import word_hashes
+from .shingles import text_words
 
 BUCKET_BITS = 16
 CLASSES, MEMBERS = 64, 64
@@ -32,7 +32,7 @@ OWN = OUTCOMES * 3 // 4  # outcomes that belong to one word hash
 PLACES = (-2, -1, 1, 2)
 WIDTH = 16
 CHUNKS = 64
-LEARN_ROWS, SCORE_ROWS = 4096, 32768
+LEARN_ROWS, SCORE_ROWS = 16384, 32768
 SLICE = 2 << 20
 
 
@@ -71,52 +71,53 @@ class Network:
 
     def forward(self, around: np.ndarray, word: np.ndarray, grads: "Network | None" = None) -> np.ndarray:
         """Log-probabilities of the words; with ``grads``, adds the gradients of their negative mean."""
+        order = np.argsort(word // MEMBERS, kind="stable")  # rows of one class lie together
+        around, cls, member = around[order], word[order] // MEMBERS, word[order] % MEMBERS
         hidden = self.bias + sum(self.near[p][around[:, p]] for p in range(len(PLACES)))
         np.tanh(hidden, out=hidden)
-        row, cls, member = np.arange(len(word)), word // MEMBERS, word % MEMBERS
+        row, share = np.arange(len(word)), 1 / max(1, len(word))
         over_classes = _softmax(hidden @ self.to_class + self.class_bias)
         out = np.log(over_classes[row, cls] + 1e-30)
-        back = np.zeros_like(hidden) if grads else None
         if grads:
             over_classes[row, cls] -= 1
-            over_classes /= len(word)
+            over_classes *= share
             grads.to_class += hidden.T @ over_classes
             grads.class_bias += over_classes.sum(0)
-            back += over_classes @ self.to_class.T
-        order = np.argsort(cls, kind="stable")
-        ends = np.searchsorted(cls[order], np.arange(CLASSES + 1))
+            back = over_classes @ self.to_class.T
+        ends = np.searchsorted(cls, np.arange(CLASSES + 1))
         for c in np.flatnonzero(np.diff(ends)).tolist():
-            mine = order[ends[c] : ends[c + 1]]
-            near, target, at = hidden[mine], member[mine], np.arange(len(mine))
+            mine = slice(ends[c], ends[c + 1])
+            near, target, at = hidden[mine], member[mine], row[: ends[c + 1] - ends[c]]
             within = _softmax(near @ self.to_member[c] + self.member_bias[c])
             out[mine] += np.log(within[at, target] + 1e-30)
             if grads:
                 within[at, target] -= 1
-                within /= len(word)
+                within *= share
                 grads.to_member[c] += near.T @ within
                 grads.member_bias[c] += within.sum(0)
                 back[mine] += within @ self.to_member[c].T
         if grads:
             back *= 1 - hidden * hidden
             grads.bias += back.sum(0)
+            columns = np.ascontiguousarray(back.T)
             for p in range(len(PLACES)):
-                for k in range(WIDTH):
-                    grads.near[p, :, k] += np.bincount(around[:, p], back[:, k], OUTCOMES + 1)
-        return out
+                place = np.ascontiguousarray(around[:, p])
+                grads.near[p] += np.stack([np.bincount(place, column, OUTCOMES + 1) for column in columns], axis=1)
+        unsorted = np.empty_like(out)
+        unsorted[order] = out
+        return unsorted
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(1, keepdims=True)
-    np.exp(x, out=x)
-    x /= x.sum(1, keepdims=True)
+    np.exp(np.minimum(x, 60, out=x), out=x)
+    x /= (x @ np.ones(x.shape[1], x.dtype))[:, None]
     return x
 
 
 def words_of(batch: pa.RecordBatch) -> list[np.ndarray]:
     """The word hashes of each text, as buckets."""
-    flat, bounds = text_bytes(batch.column("text"))
     shift = np.uint64(64 - BUCKET_BITS)
-    return [(word_hashes(flat[bounds[i] : bounds[i + 1]]) >> shift).astype(np.int64) for i in range(batch.num_rows)]
+    return [(words >> shift).astype(np.int64) for words in text_words(*text_bytes(batch.column("text")))]
 
 
 def windows(words: list[np.ndarray], outcome: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -166,7 +167,7 @@ def learn(network: Network, around: np.ndarray, word: np.ndarray, memory: np.nda
         network.flat -= rate * grads.flat / (np.sqrt(memory) + 1e-6)
 
 
-def train(docs: DataFrame, rounds: int = 2, rate: float = 0.1, trainers: int = 1024) -> tuple[Network, np.ndarray]:
+def train(docs: DataFrame, rounds: int = 1, rate: float = 0.2, trainers: int = 1024) -> tuple[Network, np.ndarray]:
     """The network after ``rounds`` rounds over disjoint shares of all documents, and the vocabulary."""
     context = docs.sparkSession.sparkContext
     outcome, counts = vocabulary(count_words(docs))
@@ -200,7 +201,7 @@ def train(docs: DataFrame, rounds: int = 2, rate: float = 0.1, trainers: int = 1
     return network, outcome
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 2, rate: float = 0.1, trainers: int = 1024) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 1, rate: float = 0.2, trainers: int = 1024) -> DataFrame:
     """Per row: ``id_col``, ``n_words``, ``log_likelihood`` (summed) and ``mean_log_likelihood``.
 
     The network learns from all of ``docs``. A null text, or one without words, has 0 words, a sum
