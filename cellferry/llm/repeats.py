@@ -12,7 +12,7 @@ into phrases and the dictionary of distinct phrases hold every comparison that i
    text), equal neighbours are one string, and one row for each goes on to find the first
    occurrence over all slices.
 
-Rows are keyed by trigger and content hash together (128 bits), and a slice sends one row for each
+Rows are keyed by two hashes together (88 bits), and a slice sends one row for each
 distinct phrase or string, however often it has it. Copies of a whole text are one class, of which
 only the first is parsed.
 """
@@ -20,17 +20,19 @@ only the first is parsed.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, in_arrow, text_bytes
+from .common import checkpointed, in_arrow, ship, small_enough, text_bytes
 from .shingles import mix
 
 GRAM = 32
-SLICE = 6 << 20  # places fit into 24 bits; one longer text makes a slice of its own
+SPOT_BITS = 40
+SLICE = 4 << 20  # places fit into 24 bits; one longer text makes a slice of its own
 _BYTE = np.random.default_rng(4).integers(1, 1 << 63, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -99,6 +101,11 @@ def signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64), pa.int64())
 
 
+def _with_spot(hashes: np.ndarray, spot: np.ndarray) -> np.ndarray:
+    """24 bits of a hash above a spot, in one number: rows are many, so they are narrow."""
+    return (hashes >> np.uint64(64 - 24) << np.uint64(SPOT_BITS)) | spot.astype(np.uint64)
+
+
 def suffix_classes(flat: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     """Class number of the ``length`` bytes at each start: neighbours in suffix order that are equal share one."""
     words = -(-length // 8)
@@ -147,29 +154,29 @@ def _blobs(ids: np.ndarray, ties: np.ndarray, doc: np.ndarray, low: np.ndarray,
     return out
 
 
-ROWS = "place long, ctx long, ord long, tie int, spot long, ranges binary"
+ROWS = "place long, packed long, ord long, tie int, ranges binary"
 
 
-def _rows(place, ctx, ords, ties, spot, blobs: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+def _rows(place, hashes, ords, ties, spot, blobs: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     """Candidate rows, then rows that only carry ranges of one document."""
-    n = len(blobs)
-    names = ["place", "ctx", "ord", "tie", "spot", "ranges"]
-    one = pa.RecordBatch.from_arrays(
-        [signed(place), signed(ctx), pa.array(ords), pa.array(ties), pa.array(spot), pa.nulls(len(place), pa.binary())], names
-    )
+    n, names = len(blobs), ["place", "packed", "ord", "tie", "ranges"]
+    one = [signed(place), signed(_with_spot(hashes, spot)), pa.array(ords), pa.array(ties), pa.nulls(len(place), pa.binary())]
     own = np.array([b[0] for b in blobs], np.int64)
-    two = pa.RecordBatch.from_arrays(
-        [
-            signed(mix(own.view(np.uint64) + np.arange(n, dtype=np.uint64) * np.uint64(_BASE))),
-            pa.array(np.zeros(n, np.int64)),
-            pa.array(own),
-            pa.array(np.array([b[1] for b in blobs], np.int32)),
-            pa.nulls(n, pa.int64()),
-            pa.array([b[2] for b in blobs], pa.binary()),
-        ],
-        names,
-    )
-    return pa.Table.from_batches([one, two]).combine_chunks().to_batches()[0]
+    apart = mix(own.view(np.uint64) + np.arange(n, dtype=np.uint64) * np.uint64(_BASE))
+    two = [
+        signed(apart),
+        pa.array(np.zeros(n, np.int64)),
+        pa.array(own),
+        pa.array(np.array([b[1] for b in blobs], np.int32)),
+        pa.array([b[2] for b in blobs], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays([pa.concat_arrays([x, y]) for x, y in zip(one, two)], names)
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows of one place together; the packed number is taken apart after that."""
+    spot = F.col("packed").bitwiseAND(F.lit((1 << SPOT_BITS) - 1))
+    return rows.repartition("place").select("*", F.shiftrightunsigned("packed", SPOT_BITS).alias("ctx"), spot.alias("spot"))
 
 
 def _first_of(groups: list[np.ndarray], doc: np.ndarray, ids: np.ndarray, ties: np.ndarray, low: np.ndarray) -> np.ndarray:
@@ -220,6 +227,8 @@ def strings(docs: DataFrame, length: int) -> DataFrame:
     """The strings of the phrases in ``spots``: one row per distinct string of a slice, at its first place there."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        own = list(zip(batch.column("ord").to_pylist(), batch.column("tie").to_pylist()))
+        batch = batch.take(pa.array(sorted({k: i for i, k in enumerate(own)}.values()), pa.int64()))  # repeated rows once
         flat, bounds, ids, ties = _columns(batch)
         spots = [np.asarray(s, np.int64) for s in batch.column("spots").to_pylist()]
         doc = np.repeat(np.arange(len(spots)), [len(s) for s in spots])
@@ -260,6 +269,24 @@ def _spans(rows: DataFrame, dup: Column, length: int) -> DataFrame:
     return rows.where(dup | F.col("ranges").isNotNull()).select("ord", "tie", "ranges", F.when(F.col("ranges").isNull(), made).alias("range"))
 
 
+def _merged(rows: DataFrame) -> DataFrame:
+    """``ord``, ``tie``, ``ranges``: the union of all ranges of a text, as one value."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for packed, pairs in zip(batch.column("ranges").to_pylist(), batch.column("range").to_pylist()):
+                low, high = _unpacked(packed)
+                if pairs:
+                    both = np.array(pairs, np.int64)
+                    low, high = np.append(low, both[:, 0]), np.append(high, both[:, 1])
+                out.append(_packed(*runs(low, high)))
+            yield pa.RecordBatch.from_arrays([batch.column("ord"), batch.column("tie"), pa.array(out, pa.binary())], ["ord", "tie", "ranges"])
+
+    ship(rows)
+    return rows.mapInArrow(run, "ord long, tie int, ranges binary")
+
+
 def without_repeats(
     docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] | None = None
 ) -> DataFrame:
@@ -275,39 +302,41 @@ def without_repeats(
     if not GRAM < length < 256 + GRAM:
         raise ValueError(f"length must lie between {GRAM} and {256 + GRAM}")
     source = _keyed(docs, id_col, text_col, carry or ())
-    by_key = Window.partitionBy("place")
+    by_key, spot = Window.partitionBy("place"), F.struct("ord", "tie", "spot")  # a repeated row has the same spots
     by_phrase = Window.partitionBy("place", "ctx").orderBy("ord", "tie", "spot")
     found = checkpointed(
-        phrases(source.where(F.octet_length("text") >= length).select("ord", "tie", "text"), length)
-        .withColumns({"before": F.lag("ord").over(by_phrase), "low": F.min("ctx").over(by_key), "high": F.max("ctx").over(by_key)})
-        .select("ord", "tie", "spot", "ranges", F.col("before").isNotNull().alias("dup"), (F.col("low") != F.col("high")).alias("open"))
+        _dealt(phrases(source.where(F.octet_length("text") >= length).select("ord", "tie", "text"), length))
+        .withColumns({"first": F.first(spot).over(by_phrase), "low": F.min("ctx").over(by_key), "high": F.max("ctx").over(by_key)})
+        .select("ord", "tie", "spot", "ranges", (F.col("first") != spot).alias("dup"), (F.col("low") != F.col("high")).alias("open"))
         .where("dup or open or ranges is not null")
     )
     spots = found.where("open and not dup and ranges is null").groupBy("ord", "tie").agg(F.collect_list("spot").alias("spots"))
-    opened = source.select("ord", "tie", "text").join(spots, ["ord", "tie"]).dropDuplicates(["ord", "tie"])
-    by_string = Window.partitionBy("place", "ctx").orderBy("ord", "tie", "spot")
+    spots = small_enough(checkpointed(spots), 64, "8L * size(spots)")
+    opened = source.select("ord", "tie", "text").join(spots, ["ord", "tie"])
     again = (
-        strings(opened, length)
-        .withColumn("before", F.lag("ord").over(by_string))
-        .select("ord", "tie", "spot", "ranges", F.col("before").isNotNull().alias("dup"))
+        _dealt(strings(opened, length))
+        .withColumn("first", F.first(spot).over(by_phrase))
+        .select("ord", "tie", "spot", "ranges", (F.col("first") != spot).alias("dup"))
     )
     spans = _spans(found.where("dup or ranges is not null"), F.col("dup"), length).unionByName(_spans(again, F.col("dup"), length))
-    per_text = spans.groupBy("ord", "tie").agg(F.collect_list("ranges").alias("ranges"), F.collect_list("range").alias("range"))
-    classes = source.select("h1", "h2", "ord", "tie").groupBy("h1", "h2").agg(F.min("ord").alias("ord"), F.min("tie").alias("tie"))
-    removed = classes.join(per_text, ["ord", "tie"], "left").select("h1", "h2", F.col("ord").alias("first"), "ranges", "range")
-    joined = source.select("row", "ord", "h1", "h2", "text").join(removed, ["h1", "h2"])
+    per_text = _merged(spans.groupBy("ord", "tie").agg(F.collect_list("ranges").alias("ranges"), F.collect_list("range").alias("range")))
+    classes = source.select("h1", "h2", "ord", "tie").groupBy("h1", "h2").agg(F.min("ord").alias("ord"), F.min("tie").alias("tie"), F.count("*").alias("copies"))
+    # Only texts that lose something, or have copies, are looked up; all others stay as they are.
+    removed = checkpointed(
+        classes.join(per_text, ["ord", "tie"], "left")
+        .where("ranges is not null or copies > 1")
+        .select("h1", "h2", F.col("ord").alias("first"), "ranges")
+    )
+    looked_up = small_enough(removed, 64, "coalesce(octet_length(ranges), 0)")
+    joined = source.select("row", "ord", "h1", "h2", "text").join(looked_up, ["h1", "h2"], "left")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
-        copies = (batch.column("ord").to_numpy() != batch.column("first").to_numpy()).tolist()
-        for text, copy, packed, pairs in zip(batch.column("text"), copies, batch.column("ranges").to_pylist(), batch.column("range").to_pylist()):
+        copies = [first is not None and own != first for own, first in zip(batch.column("ord").to_pylist(), batch.column("first").to_pylist())]
+        for text, copy, ranges in zip(batch.column("text"), copies, batch.column("ranges").to_pylist()):
             buffer = text.as_buffer()
             raw = bytes(buffer) if buffer is not None else b""
-            low, high = _unpacked(packed or [])
-            if pairs:
-                both = np.array(pairs, np.int64)
-                low, high = np.append(low, both[:, 0]), np.append(high, both[:, 1])
-            low, high = runs(low, high)
+            low, high = _unpacked([ranges] if ranges else [])
             if copy and len(raw) >= length:
                 low, high = np.array([0]), np.array([len(raw)])
             ends = np.append(0, high).tolist()
