@@ -12,9 +12,9 @@ into phrases and the dictionary of distinct phrases hold every comparison that i
    text), equal neighbours are one string, and one row for each goes on to find the first
    occurrence over all slices.
 
-Rows are keyed by two hashes together (88 bits), and a slice sends one row for each
-distinct phrase or string, however often it has it. Copies of a whole text are one class, of which
-only the first is parsed.
+Rows are keyed by two hashes together (128 bits; the phrases of one trigger by 64 bits of their
+content), and a slice sends one row for each distinct phrase or string, however often it has
+it. Copies of a whole text are one class, of which only the first is parsed.
 """
 
 from __future__ import annotations
@@ -31,7 +31,6 @@ from .common import checkpointed, in_arrow, ship, small_enough, text_bytes
 from .shingles import mix
 
 GRAM = 32
-SPOT_BITS = 40
 SLICE = 4 << 20  # places fit into 24 bits; one longer text makes a slice of its own
 _BYTE = np.random.default_rng(4).integers(1, 1 << 63, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
@@ -101,11 +100,6 @@ def signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64), pa.int64())
 
 
-def _with_spot(hashes: np.ndarray, spot: np.ndarray) -> np.ndarray:
-    """24 bits of a hash above a spot, in one number: rows are many, so they are narrow."""
-    return (hashes >> np.uint64(64 - 24) << np.uint64(SPOT_BITS)) | spot.astype(np.uint64)
-
-
 def suffix_classes(flat: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     """Class number of the ``length`` bytes at each start: neighbours in suffix order that are equal share one."""
     words = -(-length // 8)
@@ -154,18 +148,19 @@ def _blobs(ids: np.ndarray, ties: np.ndarray, doc: np.ndarray, low: np.ndarray,
     return out
 
 
-ROWS = "place long, packed long, ord long, tie int, ranges binary"
+ROWS = "place long, ctx long, spot long, ord long, tie int, ranges binary"
 
 
-def _rows(place, hashes, ords, ties, spot, blobs: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+def _rows(place, ctx, ords, ties, spot, blobs: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     """Candidate rows, then rows that only carry ranges of one document."""
-    n, names = len(blobs), ["place", "packed", "ord", "tie", "ranges"]
-    one = [signed(place), signed(_with_spot(hashes, spot)), pa.array(ords), pa.array(ties), pa.nulls(len(place), pa.binary())]
+    n, names = len(blobs), ["place", "ctx", "spot", "ord", "tie", "ranges"]
+    one = [signed(place), signed(ctx), pa.array(spot), pa.array(ords), pa.array(ties), pa.nulls(len(place), pa.binary())]
     own = np.array([b[0] for b in blobs], np.int64)
     apart = mix(own.view(np.uint64) + np.arange(n, dtype=np.uint64) * np.uint64(_BASE))
     two = [
         signed(apart),
         pa.array(np.zeros(n, np.int64)),
+        pa.array(np.zeros(n, np.int64)),
         pa.array(own),
         pa.array(np.array([b[1] for b in blobs], np.int32)),
         pa.array([b[2] for b in blobs], pa.binary()),
@@ -173,12 +168,6 @@ def _rows(place, hashes, ords, ties, spot, blobs: list[tuple[int, int, bytes]])
     return pa.RecordBatch.from_arrays([pa.concat_arrays([x, y]) for x, y in zip(one, two)], names)
 
 
-def _dealt(rows: DataFrame) -> DataFrame:
-    """Rows of one place together; the packed number is taken apart after that."""
-    spot = F.col("packed").bitwiseAND(F.lit((1 << SPOT_BITS) - 1))
-    return rows.repartition("place").select("*", F.shiftrightunsigned("packed", SPOT_BITS).alias("ctx"), spot.alias("spot"))
-
-
 def _first_of(groups: list[np.ndarray], doc: np.ndarray, ids: np.ndarray, ties: np.ndarray, low: np.ndarray) -> np.ndarray:
     """True for the first row, in corpus order, of each group of equal keys."""
     order = np.lexsort([low, ties[doc], ids[doc], *groups[::-1]])
@@ -305,7 +294,8 @@ def without_repeats(
     by_key, spot = Window.partitionBy("place"), F.struct("ord", "tie", "spot")  # a repeated row has the same spots
     by_phrase = Window.partitionBy("place", "ctx").orderBy("ord", "tie", "spot")
     found = checkpointed(
-        _dealt(phrases(source.where(F.octet_length("text") >= length).select("ord", "tie", "text"), length))
+        phrases(source.where(F.octet_length("text") >= length).select("ord", "tie", "text"), length)
+        .repartition("place")
         .withColumns({"first": F.first(spot).over(by_phrase), "low": F.min("ctx").over(by_key), "high": F.max("ctx").over(by_key)})
         .select("ord", "tie", "spot", "ranges", (F.col("first") != spot).alias("dup"), (F.col("low") != F.col("high")).alias("open"))
         .where("dup or open or ranges is not null")
@@ -314,7 +304,8 @@ def without_repeats(
     spots = small_enough(checkpointed(spots), 64, "8L * size(spots)")
     opened = source.select("ord", "tie", "text").join(spots, ["ord", "tie"])
     again = (
-        _dealt(strings(opened, length))
+        strings(opened, length)
+        .repartition("place")
         .withColumn("first", F.first(spot).over(by_phrase))
         .select("ord", "tie", "spot", "ranges", (F.col("first") != spot).alias("dup"))
     )

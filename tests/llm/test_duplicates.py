@@ -225,6 +225,14 @@ def test_repeats_of_edited_and_periodic_texts(spark, monkeypatch, length, slice_
     assert removed(df, length) == brute_repeats(texts, length)
 
 
+def test_a_passage_of_many_texts_takes_nothing_beside_it(spark):
+    rng = random.Random(7)
+    passage = messy.words(1, 60)[:150]
+    texts = [(i, f"{rng.getrandbits(200):050x} {passage} {rng.getrandbits(200):050x}") for i in range(9000)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    assert removed(df) == brute_repeats(texts)
+
+
 def test_kept_text_carries_columns(spark):
     text = messy.words(1, 60)
     df = spark.createDataFrame([(1, text, "a"), (2, "new start " + text + " end", "b")], "doc_id long, text string, source string")
