@@ -5,16 +5,22 @@ one vector per neighbour place and word, squashes the sum, and gives the word by
 over frequency classes and one over the members of the class. The sum of all log-probabilities is
 the document's pseudo-log-likelihood.
 
-The vocabulary comes from word counts of all documents: the most frequent word hashes have an
-outcome each, the others share the rest. Training is data-parallel: in each round every task starts
-from the same weights, learns from its share of the documents of that round (each document belongs
-to one round), and the weights are averaged by the words that each task saw. What is sent grows with
-the tasks, of which ``trainers`` bounds the number, and the network's size is fixed.
+Words are counted by their full hash, in Spark, where the counts stay. A word of at least a threshold
+count has an outcome of its own. The threshold grows more slowly than the corpus (``least_count``), so
+that the outcomes, and with them the network, grow with it. The other words share outcomes, and the
+probability of a word within its outcome is its count by the count of the outcome: what is summed is the
+likelihood of the words themselves.
+
+Training is data-parallel: in each round every task starts from the same weights, learns from its share
+of the documents of that round (each document belongs to one round), and the weights are averaged by
+the words that each task saw. What is sent grows with the tasks, of which ``trainers`` bounds the number.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -22,57 +28,62 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_arrow, ship, sliced, text_bytes, texts
+from .common import checkpointed, in_arrow, ship, sliced, small_enough, text_bytes, texts
 from .shingles import text_words
 
-BUCKET_BITS = 16
-CLASSES, MEMBERS = 64, 64
-OUTCOMES = CLASSES * MEMBERS
-OWN = OUTCOMES * 3 // 4  # outcomes that belong to one word hash
+SIDE = 64  # classes, and members of a class, of the least network
+OUTCOMES = SIDE * SIDE
+OWN = OUTCOMES * 3 // 4  # so many words have outcomes of their own in the least network
+GROWTH = 128
+BINS = 8  # bins of word counts for each power of two
+FIXED = 1 << 30  # sums of logarithms are whole numbers of this part, so that their order does not matter
 PLACES = (-2, -1, 1, 2)
 WIDTH = 16
 CHUNKS = 64
 LEARN_ROWS, SCORE_ROWS = 16384, 32768
-SLICE = 2 << 20
+SLICE, COUNT_SLICE = 2 << 20, 8 << 20
 
 
 class Network:
     """The weights, as one flat vector with named views."""
 
-    SHAPES = {
-        "near": (len(PLACES), OUTCOMES + 1, WIDTH),
-        "bias": (WIDTH,),
-        "to_class": (WIDTH, CLASSES),
-        "class_bias": (CLASSES,),
-        "to_member": (CLASSES, WIDTH, MEMBERS),
-        "member_bias": (CLASSES, MEMBERS),
-    }
-
-    def __init__(self, flat: np.ndarray):
-        self.flat, at = flat, 0
-        for name, shape in self.SHAPES.items():
+    @staticmethod
+    def shapes(side: int) -> dict[str, tuple[int, ...]]:
+        return {
+            "near": (len(PLACES), side * side + 1, WIDTH),
+            "bias": (WIDTH,),
+            "to_class": (WIDTH, side),
+            "class_bias": (side,),
+            "to_member": (side, WIDTH, side),
+            "member_bias": (side, side),
+        }
+
+    def __init__(self, flat: np.ndarray, side: int = SIDE):
+        self.flat, self.side, at = flat, side, 0
+        for name, shape in self.shapes(side).items():
             size = int(np.prod(shape))
             setattr(self, name, flat[at : at + size].reshape(shape))
             at += size
 
     @classmethod
-    def size(cls) -> int:
-        return sum(int(np.prod(s)) for s in cls.SHAPES.values())
+    def size(cls, side: int = SIDE) -> int:
+        return sum(int(np.prod(s)) for s in cls.shapes(side).values())
 
     @classmethod
     def fresh(cls, counts: np.ndarray, seed: int = 1) -> "Network":
         """Small random vectors; the biases give the outcome frequencies."""
-        made = cls(np.random.default_rng(seed).normal(0, 0.1, cls.size()).astype(np.float32))
+        side = math.isqrt(len(counts))
+        made = cls(np.random.default_rng(seed).normal(0, 0.1, cls.size(side)).astype(np.float32), side)
         made.bias[:] = 0
-        share = (counts + 1.0).reshape(CLASSES, MEMBERS)
+        share = (counts + 1.0).reshape(side, side)
         made.class_bias[:] = np.log(share.sum(1) / share.sum())
         made.member_bias[:] = np.log(share / share.sum(1, keepdims=True))
         return made
 
     def forward(self, around: np.ndarray, word: np.ndarray, grads: "Network | None" = None) -> np.ndarray:
         """Log-probabilities of the words; with ``grads``, adds the gradients of their negative mean."""
-        order = np.argsort(word // MEMBERS, kind="stable")  # rows of one class lie together
-        around, cls, member = around[order], word[order] // MEMBERS, word[order] % MEMBERS
+        order = np.argsort(word // self.side, kind="stable")  # rows of one class lie together
+        around, cls, member = around[order], word[order] // self.side, word[order] % self.side
         hidden = self.bias + sum(self.near[p][around[:, p]] for p in range(len(PLACES)))
         np.tanh(hidden, out=hidden)
         row, share = np.arange(len(word)), 1 / max(1, len(word))
@@ -84,7 +95,7 @@ class Network:
             grads.to_class += hidden.T @ over_classes
             grads.class_bias += over_classes.sum(0)
             back = over_classes @ self.to_class.T
-        ends = np.searchsorted(cls, np.arange(CLASSES + 1))
+        ends = np.searchsorted(cls, np.arange(self.side + 1))
         for c in np.flatnonzero(np.diff(ends)).tolist():
             mine = slice(ends[c], ends[c + 1])
             near, target, at = hidden[mine], member[mine], row[: ends[c + 1] - ends[c]]
@@ -102,7 +113,7 @@ class Network:
             columns = np.ascontiguousarray(back.T)
             for p in range(len(PLACES)):
                 place = np.ascontiguousarray(around[:, p])
-                grads.near[p] += np.stack([np.bincount(place, column, OUTCOMES + 1) for column in columns], axis=1)
+                grads.near[p] += np.stack([np.bincount(place, column, self.side**2 + 1) for column in columns], axis=1)
         unsorted = np.empty_like(out)
         unsorted[order] = out
         return unsorted
@@ -114,46 +125,84 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x
 
 
+@dataclass
+class Vocabulary:
+    """Words that have an outcome each, by signed hash, and the counts of all outcomes."""
+
+    own: np.ndarray  # in order
+    rank: np.ndarray  # outcome of each of them
+    side: int
+    counts: np.ndarray
+
+    def outcomes(self, words: np.ndarray) -> np.ndarray:
+        shared = shared_outcome(words, len(self.own), self.side)
+        if not len(self.own):
+            return shared
+        at = np.minimum(np.searchsorted(self.own, words), len(self.own) - 1)
+        return np.where(self.own[at] == words, self.rank[at], shared)
+
+
+def shared_outcome(words, own: int, side: int):
+    return own + words % (side * side - own)
+
+
 def words_of(batch: pa.RecordBatch) -> list[np.ndarray]:
-    """The word hashes of each text, as buckets."""
-    shift = np.uint64(64 - BUCKET_BITS)
-    return [(words >> shift).astype(np.int64) for words in text_words(*text_bytes(batch.column("text")))]
+    """The word hashes of each text, signed as Spark has them."""
+    return [words.view(np.int64) for words in text_words(*text_bytes(batch.column("text")))]
 
 
-def windows(words: list[np.ndarray], outcome: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def windows(words: list[np.ndarray], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Outcomes around each word, and of the word. Nothing beyond a text is around its words."""
-    reach = max(PLACES)
-    edge = np.full(reach, OUTCOMES, np.int64)
-    row = np.concatenate([edge, *[part for w in words for part in (outcome[w], edge)]])
-    at = np.flatnonzero(row != OUTCOMES)
+    reach, none = max(PLACES), vocabulary.side**2
+    lengths = np.array([len(w) for w in words], np.int64)
+    row = np.full(int(lengths.sum()) + reach * (len(words) + 1), none, np.int64)
+    at = np.arange(int(lengths.sum())) + reach * (1 + np.repeat(np.arange(len(words)), lengths))
+    row[at] = vocabulary.outcomes(np.concatenate([np.zeros(0, np.int64), *words]))
     return np.stack([row[at + p] for p in PLACES], axis=1), row[at]
 
 
-def count_words(docs: DataFrame) -> np.ndarray:
-    """How often each bucket occurs in all texts. One row per bucket and task is shuffled."""
+def count_words(docs: DataFrame) -> DataFrame:
+    """``word`` and ``n``: how often each word hash occurs in all texts. A slice sends a word once."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        some, n = np.unique(np.concatenate([np.zeros(0, np.int64), *words_of(batch)]), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(some), pa.array(n.astype(np.int64))], ["word", "n"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << BUCKET_BITS, np.int64)
-        for part in sliced(batches, SLICE):
-            for words in words_of(part):
-                total += np.bincount(words, minlength=len(total))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["bucket", "n"])
+    made = in_arrow(docs.select("text"), work, "word long, n long", COUNT_SLICE)
+    return checkpointed(made.groupBy("word").agg(F.sum("n").alias("n")))
 
-    ship(docs)
-    counted = docs.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    out = np.zeros(1 << BUCKET_BITS, np.int64)
-    for bucket, n in counted.collect():  # at most one row per bucket
-        out[bucket] = n
-    return out
 
+def least_count(bins: list[tuple[int, int, int]], total: int) -> int:
+    """The count from which words have outcomes of their own.
 
-def vocabulary(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Outcome of each bucket, and the count of each outcome. Frequent buckets come first."""
-    ranked = np.argsort(-counts, kind="stable")
-    outcome = np.empty(len(counts), np.int64)
-    outcome[ranked] = np.where(np.arange(len(counts)) < OWN, np.arange(len(counts)), OWN + np.arange(len(counts)) % (OUTCOMES - OWN))
-    return outcome, np.bincount(outcome, counts, OUTCOMES)
+    ``bins``: number, least count and number of words of each bin of counts. The threshold is
+    total^(2/3) / GROWTH, so at most GROWTH * total^(1/3) words are above it, or less if that
+    leaves places of the least network free.
+    """
+    least, held = total + 1, 0
+    for _, low, there in sorted(bins, reverse=True):
+        held += there
+        if held > OWN:
+            break
+        least = low
+    return min(least, max(1, math.ceil(total ** (2 / 3) / GROWTH)))
+
+
+def vocabulary(counted: DataFrame) -> Vocabulary:
+    """The driver gathers the words above the threshold, and one count for each shared outcome."""
+    number = F.floor(F.log2("n") * BINS).cast("int")
+    bins = counted.groupBy(number.alias("bin")).agg(F.min("n"), F.count("*"), F.sum("n")).collect()
+    least = least_count([tuple(b[:3]) for b in bins], sum(b[3] for b in bins))
+    top = counted.where(F.col("n") >= least).toPandas().sort_values(["n", "word"], ascending=[False, True])
+    side = max(SIDE, math.ceil(math.sqrt(len(top) * 4 / 3)))
+    counts = np.zeros(side * side)
+    counts[: len(top)] = top["n"]
+    at = F.pmod(F.col("word"), F.lit(side * side - len(top))) + len(top)
+    for outcome, n in counted.where(F.col("n") < least).groupBy(at.alias("at")).agg(F.sum("n")).collect():
+        counts[outcome] = n
+    hashes = top["word"].to_numpy(np.int64)
+    order = np.argsort(hashes)
+    return Vocabulary(hashes[order], order, side, counts)
 
 
 def learn(network: Network, around: np.ndarray, word: np.ndarray, memory: np.ndarray, rate: float) -> None:
@@ -161,25 +210,26 @@ def learn(network: Network, around: np.ndarray, word: np.ndarray, memory: np.nda
     order = np.random.default_rng(len(word)).permutation(len(word))
     for start in range(0, len(word), LEARN_ROWS):
         some = order[start : start + LEARN_ROWS]
-        grads = Network(np.zeros(Network.size(), np.float32))
+        grads = Network(np.zeros_like(network.flat), network.side)
         network.forward(around[some], word[some], grads)
         memory += grads.flat * grads.flat
         network.flat -= rate * grads.flat / (np.sqrt(memory) + 1e-6)
 
 
-def train(docs: DataFrame, rounds: int = 1, rate: float = 0.2, trainers: int = 1024) -> tuple[Network, np.ndarray]:
-    """The network after ``rounds`` rounds over disjoint shares of all documents, and the vocabulary."""
+def train(docs: DataFrame, rounds: int = 1, rate: float = 0.2, trainers: int = 1024) -> tuple[Network, Vocabulary, DataFrame]:
+    """The network after ``rounds`` rounds over disjoint shares of all documents, the vocabulary, and the word counts."""
     context = docs.sparkSession.sparkContext
-    outcome, counts = vocabulary(count_words(docs))
-    network = Network.fresh(counts)
+    counted = count_words(docs)
+    known = vocabulary(counted)
+    network = Network.fresh(known.counts)
     for k in range(rounds):
-        shared = context.broadcast((network.flat, outcome))
+        shared = context.broadcast((network.flat, known))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            start, outcome = shared.value
-            own, memory, seen = Network(start.copy()), np.full(len(start), 1e-8, np.float32), 0
+            start, known = shared.value
+            own, memory, seen = Network(start.copy(), known.side), np.full(len(start), 1e-8, np.float32), 0
             for part in sliced(batches, SLICE):
-                around, word = windows(words_of(part), outcome)
+                around, word = windows(words_of(part), known)
                 learn(own, around, word, memory, rate)
                 seen += len(word)
             if seen:
@@ -197,8 +247,8 @@ def train(docs: DataFrame, rounds: int = 1, rate: float = 0.2, trainers: int = 1
         moved = share.mapInArrow(run, "chunk int, seen long, moved binary").groupBy("chunk").applyInPandas(averaged, "chunk int, moved binary")
         pieces = {r["chunk"]: np.frombuffer(r["moved"], np.float32) for r in moved.collect()}  # the size of one network
         if pieces:
-            network = Network(network.flat + np.concatenate([pieces[c] for c in range(CHUNKS)]))
-    return network, outcome
+            network = Network(network.flat + np.concatenate([pieces[c] for c in range(CHUNKS)]), known.side)
+    return network, known, counted
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 1, rate: float = 0.2, trainers: int = 1024) -> DataFrame:
@@ -209,23 +259,37 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
     empty result, other columns are not read.
     """
     source = texts(docs, id_col, text_col)
-    network, outcome = train(source, rounds, rate, trainers)
-    shared = docs.sparkSession.sparkContext.broadcast((network.flat, outcome))
+    network, known, counted = train(source, rounds, rate, trainers)
+    shared = docs.sparkSession.sparkContext.broadcast((network.flat, known))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        flat, outcome = shared.value
-        network, words = Network(flat), words_of(batch)
-        around, word = windows(words, outcome)
+        flat, known = shared.value
+        network, words = Network(flat, known.side), words_of(batch)
+        around, word = windows(words, known)
         logs = np.empty(len(word))
         for start in range(0, len(word), SCORE_ROWS):
             some = slice(start, start + SCORE_ROWS)
             logs[some] = network.forward(around[some], word[some])
+        rare = word >= len(known.own)
+        logs[rare] -= np.log(known.counts[word[rare]])
         counts = np.array([len(w) for w in words], np.int64)
-        ends = np.append(0, np.cumsum(logs))[np.append(0, np.cumsum(counts))]
-        total = np.diff(ends)
-        mean = pa.array(np.where(counts > 0, total / np.maximum(1, counts), 0), mask=counts == 0)
-        return pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.array(counts), pa.array(total), mean], [id_col, "n_words", "log_likelihood", "mean_log_likelihood"]
-        )
-
-    return in_arrow(source, work, f"{id_col} long, n_words long, log_likelihood double, mean_log_likelihood double", SLICE)
+        bounds = np.append(0, np.cumsum(counts))
+        total = np.diff(np.append(0, np.cumsum(logs))[bounds])
+        offsets = np.append(0, np.cumsum(rare))[bounds].astype(np.int32)
+        looked_up = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int64), *words])[rare]))
+        return pa.RecordBatch.from_arrays([batch.column("id"), pa.array(counts), pa.array(total), looked_up], ["id", "n_words", "base", "rare"])
+
+    # The counts of words that share outcomes are joined; a count of 1 adds nothing.
+    made = in_arrow(source, work, "id long, n_words long, base double, rare array<long>", SLICE)
+    made = checkpointed(made.withColumn("row", F.monotonically_increasing_id()))
+    several = small_enough(counted.where("n > 1"), 16)
+    part = F.round(F.log("n") * FIXED).cast("long")
+    added = made.select("row", F.explode("rare").alias("word")).join(several, "word").groupBy("row").agg(F.sum(part).alias("more"))
+    total = F.col("base") + F.coalesce("more", F.lit(0)) / FIXED
+    scored = made.drop("rare").join(added, "row", "left")
+    return scored.select(
+        F.col("id").alias(id_col),
+        "n_words",
+        total.alias("log_likelihood"),
+        F.when(F.col("n_words") > 0, total / F.col("n_words")).alias("mean_log_likelihood"),
+    )

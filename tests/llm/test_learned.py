@@ -91,6 +91,20 @@ def test_gradients_agree_with_differences():
         assert np.isclose((told[0] - told[1]) / 2e-5, grads.flat[at], rtol=1e-3, atol=1e-7)
 
 
+def test_words_that_share_an_outcome_have_their_own_likelihood(spark):
+    once = [(i, " ".join(f"w{i}x{k}" for k in range(200))) for i in range(100)]
+    rows = scoring.score(spark.createDataFrame(once, "doc_id long, text string").repartition(2)).collect()
+    assert abs(np.mean([r.mean_log_likelihood for r in rows]) + np.log(20000)) < 0.3
+
+
+def test_outcomes_grow_with_the_corpus(spark):
+    counted = spark.range(6000).select(F.xxhash64("id").alias("word"), F.lit(50).cast("long").alias("n"))
+    known = scoring.vocabulary(counted)
+    assert len(known.own) == 6000 and known.side**2 * 3 >= 6000 * 4 and known.counts.sum() == 300000
+    words = np.append(known.own, [1, -5])
+    assert len(set(known.outcomes(words)[:6000].tolist())) == 6000 and all(known.outcomes(words)[6000:] >= 6000)
+
+
 def test_scores_of_messy_rows(docs, none):
     rows = scoring.score(docs).collect()
     assert Counter(r.doc_id for r in rows) == Counter(i for i, _ in messy.texts_of(docs))
