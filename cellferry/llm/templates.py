@@ -4,9 +4,10 @@ The tree has a fixed depth: a line goes down by its number of tokens, then by it
 tokens, where a token with a digit counts as a variable field. A leaf holds
 
 * the line with its variable fields masked, which is a template by itself, and
-* one general template: the tokens are cut into at most ``SEGMENTS`` runs, each run takes its most
-  frequent value in the leaf, and a line belongs to it if enough of its runs agree. So words that
-  vary within a line are generalised as well.
+* general templates: the tokens are cut into at most ``SEGMENTS`` runs, and lines of which enough runs
+  agree are linked, as are those that agree enough with the most frequent value of each run. Linked
+  lines make up one template, so a leaf has as many as it needs. Lines meet by the runs that must
+  agree: each choice of so many runs is a key, so no pairs are compared.
 
 A template recurs if at least ``documents`` different texts have it; all its lines but the first, in
 order of id and line, are dropped. Every step counts with partial aggregation, so a line that a
@@ -15,10 +16,14 @@ third of all documents share brings one row per task to its place.
 
 from __future__ import annotations
 
+import itertools
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import checkpointed, small_enough
+from .components import components
 
 SEGMENTS = 8
 
@@ -41,6 +46,29 @@ def _segments(tokens: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), k - 1), lambda i: F.xxhash64(F.slice(tokens, start(i) + 1, start(i + 1) - start(i))))
 
 
+def _same(n: Column, depth: int) -> Column:
+    """How many runs lie within the leading tokens, which are equal in a leaf."""
+    k = F.least(F.lit(SEGMENTS), n)
+    return sum((F.when((k >= i) & (F.floor(F.lit(i) * n / k) <= depth), 1).otherwise(0) for i in range(1, SEGMENTS + 1)), F.lit(0))
+
+
+def _keys(similar: float, depth: int) -> Column:
+    """A key for each choice of runs that must agree; two lines of a leaf agree enough if they share one."""
+    made = F.array().cast("array<struct<k1:bigint,k2:int>>")
+    for k in range(1, SEGMENTS + 1):
+        need = math.ceil(k * similar)
+        for same in range(min(k, depth) + 1):
+            if need == k:
+                continue  # equal lines only, which have their exact template
+            keys = []
+            for chosen in itertools.combinations(range(same, k), max(0, need - same)):
+                values = [F.col("segments")[i] for i in chosen]
+                at = ["leaf", F.lit(sum(1 << i for i in chosen)), *values]
+                keys.append(F.struct(F.xxhash64(*at).alias("k1"), F.hash(*at).alias("k2")))
+            made = F.when((F.size("segments") == k) & (F.col("same") == same), F.array(*keys)).otherwise(made)
+    return made
+
+
 def _first(columns: list[str], rows: DataFrame, documents: int) -> DataFrame:
     """Per template: its first (ord, tie, line), if enough different texts have it."""
     by_text = rows.groupBy(*columns, "tie").agg(F.min(F.struct("ord", "tie", "line")).alias("first"))
@@ -85,13 +113,14 @@ def recurring_lines(
             F.xxhash64(F.lit(7), joined).alias("h2"),
             F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).alias("leaf"),
             _segments(F.col("tokens")).alias("segments"),
+            _same(F.size("tokens"), depth).alias("same"),
         )
     )
     place = F.struct("ord", "tie", "line")
     exact = _first(["h1", "h2"], rows, documents)
     dropped = rows.select("ord", "tie", "line", "h1", "h2").join(exact, ["h1", "h2"]).where(place != F.col("first"))
 
-    # Leaves with several lines in enough texts get a general template.
+    # Leaves with several lines in several texts get general templates.
     by_line = rows.groupBy("leaf", "h1", "h2").agg(F.min("tie").alias("low"), F.max("tie").alias("high"))
     varied = (
         by_line.groupBy("leaf")
@@ -99,16 +128,23 @@ def recurring_lines(
         .where("there > 1 and low <> high")
         .select("leaf")
     )
-    inner = checkpointed(rows.join(varied, "leaf").select("ord", "tie", "line", "leaf", "segments"))
+    inner = checkpointed(rows.join(varied, "leaf").select("ord", "tie", "line", "leaf", "h1", "segments", "same"))
     values = inner.select("leaf", F.posexplode("segments").alias("at", "value")).groupBy("leaf", "at", "value").agg(F.count("*").alias("n"))
     usual = values.groupBy("leaf", "at").agg(F.max(F.struct("n", "value")).alias("most"))
     general = usual.groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("at", F.col("most.value").alias("value")))).alias("general"))
     agree = F.aggregate(
         F.zip_with("segments", F.col("general.value"), lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + F.coalesce(x, F.lit(0))
     )
-    members = inner.join(general, "leaf").where(agree >= F.size("segments") * similar).select("ord", "tie", "line", "leaf")
-    members = checkpointed(members)
-    alike = members.join(_first(["leaf"], members, documents), "leaf").where(place != F.col("first"))
+    apart = checkpointed(inner.groupBy("leaf", "h1").agg(F.first("segments").alias("segments"), F.first("same").alias("same")))
+    usual_ones = checkpointed(apart.join(general, "leaf").where(agree >= F.size("segments") * similar).select("leaf", "h1"))
+    usual_least = usual_ones.groupBy("leaf").agg(F.min("h1").alias("least"))
+    keyed_lines = apart.select("h1", F.explode(_keys(similar, depth)).alias("key")).select("h1", "key.k1", "key.k2")
+    met = keyed_lines.groupBy("k1", "k2").agg(F.min("h1").alias("least"), F.max("h1").alias("most")).where("least <> most").drop("most")
+    links = keyed_lines.join(small_enough(checkpointed(met), 32), ["k1", "k2"]).select("h1", "least")
+    groups = checkpointed(components(links.union(usual_ones.join(usual_least, "leaf").select("h1", "least")).where("h1 <> least")))
+    members = inner.select("ord", "tie", "line", F.col("h1").alias("node")).join(small_enough(groups, 32), "node")
+    members = checkpointed(members.select("ord", "tie", "line", "component"))
+    alike = members.join(_first(["component"], members, documents), "component").where(place != F.col("first"))
 
     gone = dropped.select("ord", "tie", "line").union(alike.select("ord", "tie", "line"))
     gone = checkpointed(gone.groupBy("ord", "tie").agg(F.collect_set("line").alias("gone")))

@@ -253,6 +253,14 @@ def test_recurring_templates_keep_their_first_line(spark):
     assert all(r.n_dropped == 0 for r in two.collect())
 
 
+def test_a_leaf_has_as_many_templates_as_it_needs(spark):
+    one, two = "read more about the weather in {} and all around", "read more about our new offers for {} until friday"
+    texts = [(i, "\n".join([f"text {'abcdefgh'[i]} has its own line", (two if i % 2 else one).format("stuvwxyz"[i])])) for i in range(8)]
+    made = {r.doc_id: r for r in templates.recurring_lines(spark.createDataFrame(texts, "doc_id long, text string").repartition(2)).collect()}
+    kept = [line for r in made.values() for line in r.kept_text.split("\n") if line.startswith("read")]
+    assert sorted(kept) == sorted([one.format("s"), two.format("t")])
+
+
 def test_lines_on_messy_rows(docs, none):
     made = templates.recurring_lines(docs)
     assert made.columns == [*docs.columns, "n_lines", "n_dropped", "kept_text"]
