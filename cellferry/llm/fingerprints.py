@@ -5,10 +5,12 @@ fingerprint is their sum, lane by lane, modulo powers of two: the order of parag
 matter, and inserting or deleting one adds or subtracts its vector.
 
 * ``EXACT`` lanes add 62-bit hashes of the paragraph modulo 2^62; they tell multisets apart.
-* The other lanes add bits of hashes of the paragraph's clauses. A long holds three sums, modulo
-  2^20 each. A bit stands for +1 or -1, so the inner product of two fingerprints estimates the
-  number of clauses that both texts have, and the cosine is a likeness of the texts.
-* One lane counts the clauses, modulo 2^20.
+* The other lanes add bits of hashes of the paragraph's runs: each clause is cut into runs of at most
+  four words, so a text without punctuation has as many as another; in scripts without spaces each
+  character is a word. A long holds two sums, modulo 2^30 each, more than a text can have runs. A bit
+  stands for +1 or -1, so the inner product of two fingerprints estimates the number of runs that both
+  texts have, and the cosine is a likeness of the texts.
+* One lane counts the runs, modulo 2^30.
 """
 
 from __future__ import annotations
@@ -19,15 +21,18 @@ from pyspark.sql import functions as F
 from .common import checkpointed
 
 EXACT = 4
-SHIFTS = 20
+SHIFTS = 30
 HASHES = 2
 WIDE = SHIFTS * HASHES
-_BITS = 1 | 1 << 21 | 1 << 42
-_SUMS = sum(((1 << 20) - 1) << at for at in (0, 21, 42))
+_PLACES = (0, 31)
+_BITS = sum(1 << at for at in _PLACES)
+_COUNT = (1 << 30) - 1
+_SUMS = sum(_COUNT << at for at in _PLACES)
 _LANE = (1 << 62) - 1
-_COUNT = (1 << 20) - 1
 MASKS = [_LANE] * EXACT + [_SUMS] * WIDE + [_COUNT]
-CLAUSE = r"[.,;:!?|\n]+\s*"
+_UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+_WORD = rf"(?:[{_UNSPACED}]|[^\s.,;:!?|。，、；：！？{_UNSPACED}]++)"
+RUN = rf"{_WORD}(?:[^\S\n]*{_WORD}){{0,3}}"
 
 
 def _masks() -> Column:
@@ -44,13 +49,13 @@ def fingerprint(text: Column) -> Column:
     """The fingerprint of a text, as an array of longs; a null text counts as empty."""
     text = F.coalesce(text, F.lit(""))
     paragraphs = F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, "\n", -1))
-    clauses = F.filter(F.split(text, CLAUSE, -1), lambda c: c != "")
+    runs = F.regexp_extract_all(text, F.lit(RUN), F.lit(0))
     parts = []
     for k in range(EXACT):
         parts.append(F.array(_summed(_hashed(paragraphs, k), _LANE, lambda x: x.bitwiseAND(F.lit(_LANE).cast("long")))))
     for k in range(HASHES):
-        parts.append(_sign_lanes(_hashed(clauses, 100 + k)))
-    parts.append(F.array(F.size(clauses).cast("long").bitwiseAND(F.lit(_COUNT))))
+        parts.append(_sign_lanes(_hashed(runs, 100 + k)))
+    parts.append(F.array(F.size(runs).cast("long").bitwiseAND(F.lit(_COUNT))))
     return F.concat(*parts)
 
 
@@ -59,7 +64,7 @@ def _hashed(items: Column, seed: int) -> Column:
 
 
 def _sign_lanes(hashes: Column) -> Column:
-    """One long per shift: three bits of each hash, summed apart."""
+    """One long per shift: two bits of each hash, summed apart."""
     bits = F.lit(_BITS).cast("long")
 
     def lane(shift: Column) -> Column:
@@ -93,13 +98,13 @@ def printed(vector: Column) -> Column:
 
 
 def _signs(vector: Column) -> Column:
-    """Signed sums: twice the ones less the count of clauses."""
+    """Signed sums: twice the ones less the count of runs."""
     wide, count = F.slice(vector, EXACT + 1, WIDE), F.element_at(vector, -1)
     return F.flatten(
         F.transform(
             wide,
             lambda x: F.transform(
-                F.array(*[F.lit(s) for s in (0, 21, 42)]),
+                F.array(*[F.lit(s) for s in _PLACES]),
                 lambda s: (F.call_function("shiftrightunsigned", x, s).bitwiseAND(F.lit(_COUNT)) * 2 - count).cast("double"),
             ),
         )

@@ -306,6 +306,24 @@ def test_edited_texts_take_the_next_one(spark):
     assert np.mean([r.near_edited for r in long]) > 0.3 + np.mean([r.near_next for r in long])
 
 
+def test_likeness_needs_no_punctuation(spark):
+    rng = random.Random(11)
+    texts = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(120))) for i in range(60)]
+    texts += [(100 + i, "".join(chr(rng.randrange(0x4E00, 0x9F00)) for _ in range(200)) + "。") for i in range(60)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(2)
+    for r in fingerprints.edited_fingerprints(df).collect():
+        assert r.near_edited > r.near_next, r.doc_id
+
+
+def test_likeness_counts_more_than_a_million_runs(spark):
+    one = fingerprints.fingerprint(F.col("t"))
+    most = F.transform(F.slice(one, fingerprints.EXACT + 1, fingerprints.WIDE + 1), lambda x: x * (1 << 18))
+    df = spark.createDataFrame([("one, two, three",)], "t string").select(F.concat(F.array_repeat(F.lit(0).cast("long"), fingerprints.EXACT), most).alias("f"), one.alias("one"))
+    df = df.select("one", fingerprints.combined(F.col("f"), F.col("f")).alias("f"))
+    near = fingerprints.likeness(F.col("f"), F.col("one"))
+    assert df.select(near.alias("near")).first().near > 0.99
+
+
 def test_fingerprints_do_not_mind_order_and_can_be_changed(spark):
     df = spark.createDataFrame([("a, b.\nc d\n\ne", "e\n\na, b.\nc d", "c d", "a, b.\ne\n")], "a string, b string, c string, d string")
     print_ = fingerprints.fingerprint
