@@ -15,9 +15,16 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in which no language can be told: null texts and texts without letters."""
+    """Drops null texts and texts without letters; others without a label get the predicted language.
+
+    Where no label is there to learn from, documents with letters stay as they are.
+    """
     learned = docs.select(F.col("doc_id").alias("id"), "text", "lang").where(~language.held_out("id"))
-    return language.predict(docs.select(*COLUMNS), language.fit(learned)).where(F.col("lang_pred") != language.UNKNOWN).select(*COLUMNS)
+    model = language.fit(learned)
+    if not model.languages:
+        return docs.select(*COLUMNS).where(F.col("text").rlike(r"\p{L}"))
+    told = language.predict(docs.select(*COLUMNS), model).where(F.col("lang_pred") != language.UNKNOWN)
+    return told.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 
 def without_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

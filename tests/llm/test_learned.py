@@ -135,6 +135,15 @@ def test_pipeline_stages(spark, small):
     assert corpus_pipeline.run(spark, small).count() == out.count()
 
 
+def test_the_language_stage_labels_and_keeps_texts(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    bare = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.known_language(spark, bare, small).count() == docs.count()
+    half = docs.withColumn("lang", F.when(language.held_out(), None).otherwise(F.col("lang")))
+    made = corpus_pipeline.known_language(spark, half, small).select("doc_id", F.col("lang").alias("made")).join(docs, "doc_id").collect()
+    assert len(made) == docs.count() and np.mean([r.made == r.lang for r in made]) > 0.95
+
+
 def test_every_stage_takes_messy_and_empty_tables(spark, docs, none, small):
     for name, stage in corpus_pipeline.STAGES:
         for df in (docs, none):
