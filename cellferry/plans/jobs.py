@@ -23,7 +23,7 @@ from ..operators.typemap import cast_for_sink
 from ..operators.windows import CURSOR_FORMAT, cursor_time, in_window, next_cursor, next_cursor_column, saved
 from ..session import session_time
 from ..sinks.files import Written, append_rows, write_lines, write_sorted_cells
-from ..sinks.keyed import KeyedTable, batch_number
+from ..sinks.keyed import KeyedTable
 from ..sources.tables import ROW_KEY, key_range, project, read_cell, read_table
 from .runlog import CursorTable, RunLog
 from .spec import JobSpec
@@ -150,7 +150,7 @@ def keyed_table_sink(spark: SparkSession, buckets: int) -> Sink:
     def put(records: DataFrame, spec: JobSpec) -> Written:
         name = spec.target.upper() if spec.upper_case else spec.target
         table = KeyedTable(spark, name, buckets, spec.family())
-        return table.put(records, batch_number(), CURSOR_TIME)
+        return table.put(records, cursor=CURSOR_TIME)
 
     return put
 
@@ -159,7 +159,7 @@ def sorted_cells_sink(folder: str) -> Sink:
     """Write the batch as sorted cell files below a folder, for a bulk load."""
 
     def put(records: DataFrame, spec: JobSpec) -> Written:
-        stamp = dt.datetime.now().strftime("%Y%m%d%H%M%S%f")
+        stamp = f"{session_time(records.sparkSession):%Y%m%d%H%M%S%f}_{uuid.uuid4().hex[:8]}"
         return write_sorted_cells(records, f"{folder}/{spec.target}/{stamp}", cursor=CURSOR_TIME, family=spec.family())
 
     return put
@@ -200,7 +200,7 @@ def run_append(spark: SparkSession, spec: JobSpec, sink: Sink) -> JobResult:
 
 def run_reload(source: DataFrame, keys: str, table: KeyedTable, columns: str = "*") -> Written:
     """Reload a keyed table from a relational scan."""
-    return table.put(reload_records(source, keys, columns), batch_number(), load=True)
+    return table.put(reload_records(source, keys, columns), load=True)
 
 
 def run_full_load(source: DataFrame, columns: Sequence[str], path: str) -> Written:

@@ -34,7 +34,3 @@ def one(spark):
         return [r["r"] for r in sorted(rows, key=lambda r: r["i"])]
 
     return apply
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

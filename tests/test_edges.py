@@ -16,7 +16,7 @@ from cellferry.plans.spec import JobSpec, specs_from
 from cellferry.session import session_time
 from cellferry.sinks.keyed import KeyedTable, buckets_for
 from cellferry.sources.tables import key_range
-from conftest import ROOT, plan_of
+from plans_of import ROOT, plan_of
 
 W = windows.CursorWindow
 

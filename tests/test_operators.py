@@ -5,7 +5,7 @@ import itertools
 import random
 
 import pytest
-from conftest import plan_of
+from plans_of import plan_of
 from pyspark.sql import functions as F
 
 from cellferry import names

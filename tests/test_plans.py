@@ -1,7 +1,7 @@
 """Plans that must keep their shape at any size."""
 
 import pytest
-from conftest import plan_of
+from plans_of import plan_of
 
 from cellferry import registry
 

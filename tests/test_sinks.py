@@ -2,9 +2,11 @@
 
 import datetime as dt
 import glob
+import time
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
-from conftest import plan_of
+from plans_of import plan_of
 from pyspark.sql import functions as F
 
 from cellferry.operators.cells import to_cells
@@ -13,6 +15,7 @@ from cellferry.sinks import files, relational
 from cellferry.sinks.keyed import KeyedTable, buckets_for
 from cellferry.sources import relational as relational_source
 from cellferry.sources.tables import key_range
+from cellferry.store import ABANDONED, DONE, CommitLog
 
 
 @pytest.fixture
@@ -121,3 +124,94 @@ def test_jdbc_options():
     with pytest.raises(ValueError):
         relational_source.read_options("jdbc:x", "t", partition_column="id")
     assert relational.write_options("jdbc:x", "t") == {"url": "jdbc:x", "dbtable": "t", "batchsize": "10000", "numPartitions": "5"}
+
+
+# ---- commit order and compaction -----------------------------------------------------------
+
+
+def put_rows(spark, rows):
+    return spark.createDataFrame(rows, "row_key string, x string")
+
+
+def test_of_two_drivers_the_later_batch_wins_whatever_their_clocks_say(spark, monkeypatch):
+    KeyedTable(spark, "keyed_clock", 2).put(put_rows(spark, [("a", "old"), ("b", "old")]))
+    for clock in ("time", "time_ns", "monotonic"):
+        real = getattr(time, clock)
+        back = 3600 * (10**9 if clock.endswith("ns") else 1)
+        monkeypatch.setattr(time, clock, lambda real=real, back=back: real() - back)
+    other = KeyedTable(spark, "keyed_clock", 2)
+    other.put(put_rows(spark, [("a", "new")]))
+    assert {k: r["x"] for k, r in rows_of(other).items()} == {"a": "new", "b": "old"}
+
+
+def test_a_number_has_one_owner(spark, tmp_path):
+    logs = [CommitLog(spark, str(tmp_path / "log")) for _ in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        won = list(pool.map(lambda i: logs[i % 4].claim_at(1 + i // 4, by=i), range(40)))
+    assert sum(won) == 10 and logs[0].numbers() == list(range(1, 11))
+    assert [logs[1].entry(n).what["by"] // 4 for n in range(1, 11)] == list(range(10))
+    assert logs[0].settle(3, DONE) and not logs[1].settle(3, ABANDONED) and logs[2].settled() == {3: DONE}
+
+
+def test_a_batch_that_breaks_off_is_not_seen(spark):
+    table = KeyedTable(spark, "keyed_broken", 2)
+    table.put(put_rows(spark, [("a", "1")]))
+    with pytest.raises(Exception, match="no such value"):
+        table.put(put_rows(spark, [("a", "2")]).withColumn("x", F.raise_error(F.lit("no such value"))))
+    assert table.unfinished() == [2] and rows_of(table)["a"]["x"] == "1"
+    with pytest.raises(RuntimeError, match="not finished"):
+        table.compact()
+    assert table.abandon(2) and not table.abandon(2)
+    with pytest.raises(ValueError, match="given up"):
+        table.put(put_rows(spark, [("a", "2")]), 2)
+    table.put(put_rows(spark, [("b", "3")]))
+    table.compact()
+    assert {k: r["x"] for k, r in rows_of(table).items()} == {"a": "1", "b": "3"}
+
+
+def test_compaction_in_place(spark):
+    table = KeyedTable(spark, "keyed_place", 2)
+    for n in range(4):
+        table.put(put_rows(spark, [(k, f"{k}{n}") for k in "abcdefgh"[n:]]))
+    assert table.files_per_bucket() == {0: 4, 1: 4} and table.needs_compaction(3) and not table.needs_compaction(4)
+    before = table.records()
+    expected = rows_of(table)
+    old = table.compact()
+    assert old == "keyed_place" and table.stored_in() != old
+    assert {r.row_key: r.asDict() for r in before.collect()} == expected == rows_of(table)
+    assert rows_of(KeyedTable(spark, "keyed_place", 2)) == expected
+    assert table.files_per_bucket() == {0: 1, 1: 1} and spark.table(table.stored_in()).count() == 8
+    KeyedTable(spark, "keyed_place", 2).put(put_rows(spark, [("a", "new")]))
+    assert rows_of(table)["a"]["x"] == "new" and table.compact() != old
+    assert rows_of(table) == {**expected, "a": {"row_key": "a", "x": "new"}}
+
+
+def test_batches_that_come_during_a_compaction_are_carried_over(spark, monkeypatch):
+    table, other = KeyedTable(spark, "keyed_during", 2), KeyedTable(spark, "keyed_during", 2)
+    table.put(put_rows(spark, [("a", "1"), ("b", "1")]))
+    plain, seen = KeyedTable._append, []
+
+    def append(self, stored, *rest, **named):
+        made = plain(self, stored, *rest, **named)
+        if self is table and not seen:
+            seen.append(rows_of(other))
+            other.put(put_rows(spark, [("b", "2"), ("c", "2")]))
+            seen.append(rows_of(other))
+        return made
+
+    monkeypatch.setattr(KeyedTable, "_append", append)
+    table.compact()
+    assert {k: r["x"] for k, r in seen[0].items()} == {"a": "1", "b": "1"}
+    assert rows_of(table) == rows_of(other) == seen[1]
+    assert {k: r["x"] for k, r in seen[1].items()} == {"a": "1", "b": "2", "c": "2"}
+
+
+def test_a_table_from_before_the_log_goes_on(spark):
+    table = KeyedTable(spark, "keyed_legacy", 2)
+    table.create(["x"])
+    spark.createDataFrame([("a", "1", 1_700_000_000_000_000)], "row_key string, x string, __batch_no bigint").write.mode("append").format(
+        "parquet"
+    ).bucketBy(2, "row_key").sortBy("row_key").saveAsTable("keyed_legacy")
+    assert rows_of(table)["a"]["x"] == "1"
+    table.put(put_rows(spark, [("a", "2")]))
+    assert table.last_batch() == 1_700_000_000_000_001 and rows_of(table)["a"]["x"] == "2"
