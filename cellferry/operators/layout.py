@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
 
@@ -57,6 +58,32 @@ def bucket_number(key: Column, splits: Sequence[str]) -> Column:
     return F.when(stretch == 0, F.lit(0)).otherwise(begin + inside)
 
 
+# points that one step of a search compares with
+_FANOUT = 16
+
+
+def range_number(key: Column, splits: Sequence[str]) -> Column:
+    """Number of split points not above the key, for any number of points and any keys.
+
+    As :func:`bucket_number`, in as many steps as the points need: each compares with 16 of them
+    at most, so 100,000 points take five steps. The points are constants of the plan.
+    """
+    points = sorted(set(splits))
+    if not points:
+        return F.lit(0)
+    widths = [1]
+    while widths[-1] * _FANOUT < len(points):
+        widths.append(widths[-1] * _FANOUT)
+    found = F.lit(0)
+    for width in reversed(widths):
+        # of every width-th point, those in the stretch found so far; found counts points of the step before
+        heads = F.from_json(F.lit(json.dumps(points[::width])), "array<string>")
+        begin = F.greatest((found - 1) * _FANOUT, F.lit(0))
+        hits = F.size(F.filter(F.slice(heads, begin + 1, F.lit(_FANOUT)), lambda p: p <= key))
+        found = begin + hits if width == widths[-1] else F.when(found == 0, F.lit(0)).otherwise(begin + hits)
+    return found
+
+
 def bucket_report(df: DataFrame, splits: Sequence[str], key: str = ROW_KEY) -> DataFrame:
     """Rows per bucket, a skew report.
 
@@ -139,6 +166,36 @@ def split_points(keys: DataFrame, tiles: int, key: str = ROW_KEY) -> DataFrame:
     return placed.groupBy((tile + 1).cast("int").alias("tile")).agg(F.min(key).alias("first_key"))
 
 
+def weighted_split_points(rows: DataFrame, tiles: int, weight: str, key: str = ROW_KEY) -> DataFrame:
+    """First key of each of at most ``tiles`` parts of the sorted keys with equal sums of weight.
+
+    A part ends with the key that fills it, so it exceeds its share by less than one key's
+    weight. Weights are summed per key before the keys are shuffled by range; running sums are
+    taken inside a partition and only partition sums meet in one place. Starts a job.
+    """
+    spark = rows.sparkSession
+    ensure_checkpoint_dir(spark)
+    summed = rows.groupBy(key).agg(F.sum(weight).cast("bigint").alias("weight"))
+    ordered = sorted_layout(summed, order=(key,))
+    ident = F.monotonically_increasing_id()
+    numbered = ordered.select(key, "weight", F.shiftright(ident, 33).alias("part"), ident.alias("at")).checkpoint()
+    sums = numbered.groupBy("part").agg(F.sum("weight").alias("w"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per partition, however many keys there are
+    offsets = sums.select(
+        "part",
+        F.coalesce(F.sum("w").over(before), F.lit(0)).alias("ahead"),
+        F.sum("w").over(Window.partitionBy(F.lit(0))).alias("total"),
+    )
+    inside = Window.partitionBy("part").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    placed = numbered.withColumn("sofar", F.coalesce(F.sum("weight").over(inside), F.lit(0)))
+    placed = placed.join(F.broadcast(offsets), "part")
+    share = (F.col("total").cast("double") / tiles)
+    tile = F.when(F.col("total") > 0, F.floor((F.col("ahead") + F.col("sofar")) / share)).otherwise(F.lit(0))
+    tile = F.least(tile, F.lit(tiles - 1))
+    return placed.groupBy((tile + 1).cast("int").alias("tile")).agg(F.min(key).alias("first_key"))
+
+
 def union_distinct(*identifiers: DataFrame) -> DataFrame:
     """Distinct values over any number of one-column scans; null values are left out."""
     stacked = reduce(DataFrame.unionByName, identifiers)

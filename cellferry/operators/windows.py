@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -93,8 +95,48 @@ def _compares_stored(cursor_type: str | None, rule: str) -> bool:
     return named == "string" if rule == "export" else named != "timestamp"
 
 
+def day_test(df: DataFrame, day_column: str, window: CursorWindow) -> Column:
+    """The bounds of a window in days, over a column that holds the day of the cursor column.
+
+    The column may be a date or timestamp, eight digits as text or number, or ``yyyy-MM-dd`` text. As
+    a partition column it lets the scan leave out whole folders. A bound that is no time, and
+    another type of column, prune nothing. Rows without a day are kept for the exact test.
+    """
+    name = bind(df, day_column)
+    c, kind = F.col(f"`{name}`"), df.schema[name].dataType
+
+    def bounds(time: dt.datetime) -> list[Column]:
+        """The day in each form that the column may have."""
+        if isinstance(kind, T.StringType):
+            return [F.lit(time.strftime("%Y%m%d")), F.lit(time.strftime("%Y-%m-%d"))]
+        if isinstance(kind, T.IntegralType):
+            return [F.lit(int(time.strftime("%Y%m%d"))).cast(kind)]
+        return [F.lit(time.strftime("%Y-%m-%d")).cast(kind)] if isinstance(kind, T.DatetimeType) else []
+
+    def test(text: str | None, compare: Callable[[Column, Column], Column]) -> Column | None:
+        try:
+            days = bounds(read_cursor(text)) if text else []
+        except ValueError:
+            return None
+        if not days:
+            return None
+        if len(days) == 1:
+            return compare(c, days[0])
+        dashed = F.substring(c, 5, 1) == F.lit("-")
+        return (~dashed & compare(c, days[0])) | (dashed & compare(c, days[1]))
+
+    tests = [test(window.start, Column.__ge__), test(window.stop, Column.__le__)]
+    held = [t for t in tests if t is not None]
+    return c.isNull() | reduce(Column.__and__, held) if held else F.lit(True)
+
+
 def window_test(
-    df: DataFrame, cursor_column: str, window: CursorWindow, cursor_type: str | None = None, rule: str = "export"
+    df: DataFrame,
+    cursor_column: str,
+    window: CursorWindow,
+    cursor_type: str | None = None,
+    rule: str = "export",
+    day_column: str | None = None,
 ) -> Column:
     """Whether a row belongs to a batch.
 
@@ -108,14 +150,27 @@ def window_test(
     as_text = _compares_stored(cursor_type, rule)
     low = _bound(window.start, kind, as_text, round_up=window.inclusive)
     test = c >= low if window.inclusive else c > low
-    return test if window.stop is None else test & (c < _bound(window.stop, kind, as_text))
+    if window.stop is not None:
+        test = test & (c < _bound(window.stop, kind, as_text))
+    return test & day_test(df, day_column, window) if day_column else test
 
 
 def in_window(
-    df: DataFrame, cursor_column: str, window: CursorWindow, cursor_type: str | None = None, rule: str = "export"
+    df: DataFrame,
+    cursor_column: str,
+    window: CursorWindow,
+    cursor_type: str | None = None,
+    rule: str = "export",
+    day_column: str | None = None,
 ) -> DataFrame:
-    """Rows of one batch; the bounds are pushed into the scan."""
-    return df if window.start is None else df.where(window_test(df, cursor_column, window, cursor_type, rule))
+    """Rows of one batch; the bounds are pushed into the scan.
+
+    ``day_column`` names a partition column that holds the day of the cursor column; bounds on it are
+    worked out from the window (:func:`day_test`), so that only the folders of its days are read.
+    """
+    if window.start is None:
+        return df
+    return df.where(window_test(df, cursor_column, window, cursor_type, rule, day_column))
 
 
 def cursor_time(df: DataFrame, cursor_column: str) -> Column:

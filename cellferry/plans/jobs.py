@@ -25,7 +25,8 @@ from ..session import session_time
 from ..sinks.files import Written, append_rows, write_lines, write_sorted_cells
 from ..sinks.keyed import KeyedTable
 from ..sources.tables import ROW_KEY, key_range, project, read_cell, read_table
-from .runlog import CursorTable, RunLog
+from .control import JobControl
+from .runlog import EVENTS_BEFORE_FOLD, CursorTable, RunLog
 from .spec import JobSpec
 
 CURSOR_TIME = "__cursor_time"
@@ -66,7 +67,7 @@ def export_batch(spark: SparkSession, spec: JobSpec) -> DataFrame:
     source = read_table(spark, spec.source)
     if not spec.cursor_column:
         return _projected(source, spec.columns).withColumn(CURSOR_TIME, F.lit(None).cast("timestamp_ntz"))
-    windowed = in_window(source, spec.cursor_column, spec.window(), spec.cursor_type)
+    windowed = in_window(source, spec.cursor_column, spec.window(), spec.cursor_type, day_column=spec.day_column or None)
     timed = windowed.withColumn(CURSOR_TIME, cursor_time(windowed, spec.cursor_column))
     if spec.columns.strip() in ("", "*"):
         return timed
@@ -83,7 +84,8 @@ def append_rows_of(spark: SparkSession, spec: JobSpec) -> DataFrame:
     """Incremental relational append: rows after the cursor, in database types."""
     source = read_table(spark, spec.source)
     if spec.cursor_column:
-        source = in_window(source, spec.cursor_column, spec.window(inclusive=False), spec.cursor_type, rule="append")
+        days = spec.day_column or None
+        source = in_window(source, spec.cursor_column, spec.window(inclusive=False), spec.cursor_type, rule="append", day_column=days)
     return cast_for_sink(_projected(source, spec.columns))
 
 
@@ -223,22 +225,29 @@ def run_sample(
 
 
 def run_logged(
-    spark: SparkSession, spec: JobSpec, run: Callable[[JobSpec], JobResult], log: RunLog, cursors: CursorTable | None = None
+    spark: SparkSession,
+    spec: JobSpec,
+    run: Callable[[JobSpec], JobResult],
+    log: RunLog,
+    cursors: CursorTable | None = None,
+    control: JobControl | None = None,
 ) -> JobResult:
     """Run one job between a start event and a success or failure event.
 
     The cursor moves after the data is written, so a crash in between repeats a window and
     never skips one. Nothing is raised: an error of the job, of the log or of the cursor table
     makes the result a failure, and ``written`` says whether the data had been written before.
+    So does a ``control`` that stops the job. The move names the cursor that the job began with:
+    if another run moved it meanwhile, this one fails and leaves it where it is.
     """
     run_id = str(uuid.uuid4())
     context = spark.sparkContext
     result = JobResult(spec.config_id, spec.source, 0, spec.cursor or None, False)
     try:
         log.started(run_id, spec.config_id, spec.source, context.applicationId, context.uiWebUrl)
-        result = run(spec)
+        result = run(spec) if control is None else control.watched(spec.config_id, lambda: run(spec))
         if cursors is not None and result.cursor and result.cursor != spec.cursor:
-            cursors.moved(spec.config_id, result.cursor)
+            cursors.moved(spec.config_id, result.cursor, spec.cursor or None)
         log.succeeded(run_id, result.rows, result.cursor)
         return result
     except Exception as error:
@@ -257,22 +266,31 @@ def run_all(
     log: RunLog,
     cursors: CursorTable | None = None,
     at_once: int = 1,
+    time_limit: float | None = None,
+    control: JobControl | None = None,
 ) -> list[JobResult]:
     """Run every job in one session; a failed job does not stop the others.
 
-    With ``at_once`` above 1, small jobs fill the cluster side by side. Jobs with the same
-    target still run one after the other, since they write to one place.
+    With ``at_once`` above 1, small jobs fill the cluster side by side, each in a pool of its own,
+    so that a fair scheduler (``spark.scheduler.mode``) shares the executors among them. Jobs with
+    the same target still run one after the other, since they write to one place. A job that runs
+    longer than ``time_limit`` seconds is ended and fails, as is one that ``control`` stops.
     """
+    own = control or JobControl(spark, time_limit)
     by_target: dict[str, list[JobSpec]] = {}
     for spec in specs:
         by_target.setdefault(spec.target.lower(), []).append(spec)
 
     def in_turn(group: list[JobSpec]) -> list[JobResult]:
-        return [run_logged(spark, spec, run, log, cursors) for spec in group]
+        return [run_logged(spark, spec, run, log, cursors, own) for spec in group]
 
-    with ThreadPoolExecutor(max(1, at_once)) as pool:
+    with own, ThreadPoolExecutor(max(1, at_once)) as pool:
         done = pool.map(inheritable_thread_target(spark)(in_turn), by_target.values())
-        return [result for group in done for result in group]
+        results = [result for group in done for result in group]
+    for events in (log, cursors):
+        if isinstance(events, (RunLog, CursorTable)) and events.waiting() > EVENTS_BEFORE_FOLD:
+            events.fold()
+    return results
 
 
 def run_until_current(

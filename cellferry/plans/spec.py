@@ -67,6 +67,8 @@ class JobSpec:
     date_mode: str = "parse"
     policy: str = "advance"
     upper_case: bool = False
+    # a partition column that holds the day of the cursor column
+    day_column: str = ""
 
     @classmethod
     def from_row(cls, row: Mapping[str, Any], columns: Mapping[str, str] = EXPORT_COLUMNS, **choices: Any) -> JobSpec:

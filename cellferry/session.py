@@ -15,6 +15,8 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 ADVISED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # jobs that run side by side get equal shares instead of waiting for one another
+    "spark.scheduler.mode": "FAIR",
 }
 
 

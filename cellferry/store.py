@@ -123,9 +123,12 @@ class CommitLog:
         names = self.outcomes_at.sizes()
         return {int(n.split(".")[0]): self.outcomes_at.read(n) if size else DONE for n, size in names}
 
+    def drop(self, number: int) -> None:
+        self.entries_at.remove(f"{number:0{_WIDTH}d}.json")
+        self.outcomes_at.remove(f"{number:0{_WIDTH}d}.json")
+
     def forget(self, before: int) -> None:
         """Drop entries below a number that are done; those that were given up stay known."""
         for number, outcome in self.settled().items():
             if number < before and outcome == DONE:
-                self.entries_at.remove(f"{number:0{_WIDTH}d}.json")
-                self.outcomes_at.remove(f"{number:0{_WIDTH}d}.json")
+                self.drop(number)

@@ -2,13 +2,20 @@
 
 import datetime as dt
 import json
+import os
+import time
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
+from plans_of import plan_of
 from pyspark.sql import functions as F
 
-from cellferry.plans import jobs
+from cellferry.operators import windows
+from cellferry.plans import jobs, runlog
+from cellferry.plans.control import JobControl
 from cellferry.plans.runlog import CursorTable, RunLog
 from cellferry.plans.spec import APPEND_COLUMNS, JobSpec, from_config_json, specs_from, to_config_json
+from cellferry.session import session_time
 from cellferry.sinks.files import Written, append_rows
 from cellferry.sinks.keyed import KeyedTable
 
@@ -185,3 +192,137 @@ def append_observed(records, path):
     from cellferry.sinks.files import write_sorted_records
 
     return write_sorted_records(records, path, cursor=jobs.CURSOR_TIME)
+
+
+# ---- snapshots, versions, stops, day partitions --------------------------------------------
+
+
+def folders_read(df):
+    return {os.path.dirname(f) for f in df.inputFiles()}
+
+
+def test_a_thousand_events_are_read_from_two_folders(spark, tmp_path):
+    log = RunLog(spark, str(tmp_path / "log"))
+    expected = {}
+    for i in range(1000):
+        n, kind = i // 2, i % 2
+        if kind == 0:
+            log.add(id=f"r{n}", relaid=str(n % 7), hive_tbname="t", start_time=NOW, event_time=NOW)
+            expected[f"r{n}"] = (str(n % 7), None, None)
+        else:
+            log.add(id=f"r{n}", row_nums=n, is_success="1", end_time=NOW, event_time=NOW + dt.timedelta(hours=1))
+            expected[f"r{n}"] = (str(n % 7), n, "1")
+        if i in (401, 801):
+            assert log.fold()
+    log.add(id="r3", is_success="0", event_time=NOW + dt.timedelta(hours=2))
+    log.add(id="r4", is_success="0", event_time=NOW - dt.timedelta(hours=2))
+    expected["r3"] = ("3", 3, "0")
+    state = log.state()
+    assert len(folders_read(log.rows())) == 2 and log.waiting() == 200
+    assert {r.id: (r.relaid, r.row_nums, r.is_success) for r in state.collect()} == expected
+    assert log.fold() and log.waiting() == 0 and not log.fold() and len(folders_read(log.rows())) == 1
+    assert {r.id: (r.relaid, r.row_nums, r.is_success) for r in log.state().collect()} == expected
+
+
+def test_an_event_during_a_fold_is_kept(spark, tmp_path, monkeypatch):
+    log, other = RunLog(spark, str(tmp_path / "log")), RunLog(spark, str(tmp_path / "log"))
+    log.add(id="a", is_success="1", event_time=NOW)
+    plain = RunLog._fold_rows
+
+    def fold(self, rows):
+        other.add(id="b", is_success="0", event_time=NOW)
+        return plain(self, rows)
+
+    monkeypatch.setattr(RunLog, "_fold_rows", fold)
+    early = other.rows()
+    assert log.fold() and log.waiting() == 1
+    assert {r.id for r in log.state().collect()} == {"a", "b"} and early.count() == 1
+    monkeypatch.undo()
+    assert other.fold() and {r.id for r in log.state().collect()} == {"a", "b"}
+
+
+def test_the_later_move_is_current_when_the_clock_goes_back(spark, tmp_path, monkeypatch):
+    cursors = CursorTable(spark, str(tmp_path / "cursors"))
+    assert cursors.moved("_a/b c", "20240101000000") == 1
+    monkeypatch.setattr(runlog, "session_time", lambda spark: session_time(spark) - dt.timedelta(hours=1))
+    assert cursors.moved("_a/b c", "20240102000000", "20240101000000") == 2
+    for _ in range(2):
+        assert [tuple(r) for r in cursors.current().collect()] == [("_a/b c", "20240102000000")]
+        cursors.fold()
+    with pytest.raises(runlog.CursorMoved):
+        cursors.moved("_a/b c", "20240103000000", "20240101000000")
+    assert cursors.moved("other", "x", "never stored") == 1 and cursors.moved("_a/b c", "20231231000000") == 3
+    assert {r.config_id: r.cursor for r in cursors.current().collect()} == {"_a/b c": "20231231000000", "other": "x"}
+
+
+def test_of_two_runs_from_one_cursor_one_moves_it(spark, tmp_path):
+    tables = [CursorTable(spark, str(tmp_path / "cursors")) for _ in range(4)]
+    tables[0].moved("c", "0")
+
+    def move(i):
+        try:
+            return tables[i].moved("c", str(i + 1), "0")
+        except runlog.CursorMoved:
+            return None
+
+    with ThreadPoolExecutor(4) as pool:
+        won = [i for i, v in enumerate(pool.map(move, range(4))) if v]
+    assert len(won) == 1 and tables[3].current().first().cursor == str(won[0] + 1)
+
+
+def slow(spark, seconds):
+    """Rows that take their time on an executor."""
+    return spark.range(2, numPartitions=2).mapInPandas(lambda parts: (time.sleep(seconds) or p for p in parts), "id long")
+
+
+def test_a_job_that_hangs_is_ended_and_the_others_finish(spark, spec, tmp_path):
+    log = RunLog(spark, str(tmp_path / "log"))
+
+    def run(job):
+        rows = (slow(spark, 600) if job.config_id == "hangs" else spark.range(10)).count()
+        return jobs.JobResult(job.config_id, job.source, rows, None, True, written=True)
+
+    specs = [JobSpec(source="s", keys="k", target=n, config_id=n) for n in ("hangs", "one", "two")]
+    begun = time.monotonic()
+    results = {r.config_id: r for r in jobs.run_all(spark, specs, run, log, at_once=3, time_limit=8)}
+    assert time.monotonic() - begun < 60
+    assert {k: (r.is_success, r.rows) for k, r in results.items()} == {"hangs": (False, 0), "one": (True, 10), "two": (True, 10)}
+    assert "longer than 8 s" in results["hangs"].error
+    assert {r.relaid: r.is_success for r in log.state().collect()} == {"hangs": "0", "one": "1", "two": "1"}
+    assert spark.range(5).count() == 5 and spark.sparkContext.getJobTags() == set()
+
+
+def test_a_job_is_stopped_by_name(spark, tmp_path):
+    log, control = RunLog(spark, str(tmp_path / "log")), JobControl(spark)
+
+    def run(job):
+        if job.config_id == "b":
+            while "a" not in control.running():
+                time.sleep(0.05)
+            control.stop("a")
+            control.stop("later")
+        rows = (slow(spark, 600) if job.config_id == "a" else spark.range(3)).count()
+        return jobs.JobResult(job.config_id, job.source, rows, None, True)
+
+    specs = [JobSpec(source="s", keys="k", target=t, config_id=c) for c, t in (("a", "x"), ("b", "y"), ("later", "y"))]
+    results = jobs.run_all(spark, specs, run, log, at_once=2, control=control)
+    assert {r.config_id: r.is_success for r in results} == {"a": False, "b": True, "later": False}
+    assert all("told to stop" in r.error for r in results if not r.is_success)
+
+
+@pytest.mark.parametrize("form", ["yyyyMMdd", "yyyy-MM-dd", "date", "int"])
+@pytest.mark.parametrize("cursor, step, inclusive", [("20240105120000", "3", True), ("20240105", "1", False), ("20240128", "", True)])
+def test_windows_over_day_partitions(spark, small, tmp_path, form, cursor, step, inclusive):
+    events = spark.read.parquet(f"{small}/events.parquet").select("event_id", "ts")
+    day = {"date": F.to_date("ts"), "int": F.date_format("ts", "yyyyMMdd").cast("int")}
+    place = str(tmp_path / "t")
+    rows = events.withColumn("day", day.get(form, F.date_format("ts", form)))
+    rows.repartition("day").write.partitionBy("day").parquet(place)
+    kind = {"date": "date", "int": "int"}.get(form, "string")
+    stored = spark.read.schema(f"event_id long, ts timestamp_ntz, day {kind}").parquet(place)
+    window = windows.CursorWindow.of(cursor, step, inclusive)
+    pruned = windows.in_window(stored, "ts", window, day_column="DAY")
+    assert sorted(pruned.select("event_id").collect()) == sorted(windows.in_window(events, "ts", window).select("event_id").collect())
+    assert "PartitionFilters: [" in plan_of(pruned) and "PartitionFilters: []" not in plan_of(pruned)
+    scanned = stored.where(windows.day_test(stored, "day", window)).select("day").distinct().count()
+    assert scanned <= (5 if step else 4) < stored.select("day").distinct().count()
