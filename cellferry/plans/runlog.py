@@ -131,13 +131,23 @@ class _Events:
 
         The files that it covers stay for readers of the one before and are removed by the next fold.
         """
+        return self._fold(None)
+
+    def take_in(self, events: DataFrame) -> bool:
+        """Fold events of a table, such as an older log, together with those there are."""
+        return self._fold(events)
+
+    def _fold(self, more: DataFrame | None) -> bool:
         last = self.log.last()
         there, old = self.tail.names(), self._snapshot()
         names = self._open(old, there)
-        if not names:
+        if not names and more is None:
             return False
+        rows = self._rows(old, names)
+        if more is not None:
+            rows = rows.unionByName(more.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields]))
         folder = f"snapshot-{last + 1}-{uuid.uuid4().hex}"
-        self._fold_rows(self._rows(old, names)).coalesce(1).write.parquet(f"{self.path}/{folder}")
+        self._fold_rows(rows).write.parquet(f"{self.path}/{folder}")
         # files of the fold before are named once more: a reader may have listed them just now
         if not self.log.claim_at(last + 1, snapshot=folder, covers=names, before=old["covers"]):
             return False

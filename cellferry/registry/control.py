@@ -1,10 +1,13 @@
 """Config rows as JSON, run log, cursor table: built from the event and order tables."""
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import digits14
-from ..plans.runlog import LOG_COLUMNS, current_cursors, run_state, runs_per_source
+from ..plans.runlog import LOG_COLUMNS, CursorTable, RunLog, current_cursors, run_state, runs_per_source
 from ..plans.spec import APPEND_COLUMNS, from_config_json, to_config_json, with_cursors
 from . import query, table
 
@@ -88,6 +91,39 @@ def run_log_by_source(spark: SparkSession, sf: str) -> DataFrame:
     return runs_per_source(run_state(_log_events(spark, sf)))
 
 
+# The last run of every source is noted as failed after the log was folded.
+@query(
+    f"""SELECT s.* REPLACE (CAST(row_nums AS VARCHAR) AS row_nums, CASE WHEN l.id IS NULL THEN is_success ELSE '0' END AS is_success,
+                            CASE WHEN l.id IS NULL THEN last_update_time ELSE TIMESTAMP '2024-06-01' END AS last_update_time)
+        FROM ({_STATE_SQL}) s LEFT JOIN (SELECT CAST(max(o_orderkey) AS VARCHAR) AS id FROM orders GROUP BY o_custkey % 50) l
+        ON s.id = l.id"""
+)
+def run_log_snapshot_and_tail(spark: SparkSession, sf: str) -> DataFrame:
+    log = RunLog(spark, f"{spark.conf.get('spark.sql.warehouse.dir')}/written_{uuid.uuid4().hex}")
+    log.take_in(_log_events(spark, sf))
+    last = table(spark, sf, "orders").groupBy((F.col("o_custkey") % 50).alias("source")).agg(F.max("o_orderkey").alias("run"))
+    noted = dt.datetime(2024, 6, 1)
+    for row in last.toLocalIterator():
+        log.add(id=str(row["run"]), is_success="0", last_update_time=noted, event_time=noted)
+    return log.state().withColumn("row_nums", F.col("row_nums").cast("string"))
+
+
+# Every event moves its user's cursor; the clock runs backwards, the versions do not.
+@query(
+    """SELECT CAST(user_id AS VARCHAR) AS config_id, strftime(min(ts), '%Y%m%d%H%M%S') AS cursor
+       FROM events GROUP BY user_id"""
+)
+def cursors_by_version(spark: SparkSession, sf: str) -> DataFrame:
+    cursors = CursorTable(spark, f"{spark.conf.get('spark.sql.warehouse.dir')}/written_{uuid.uuid4().hex}")
+    at = F.unix_seconds(F.col("ts").cast("timestamp"))
+    moves = table(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("config_id"), digits14(F.col("ts")).alias("cursor"), F.col("ts").alias("run_ts"),
+        (F.lit(1 << 40) - at).alias("version"),
+    )
+    cursors.take_in(moves)
+    return cursors.current()
+
+
 @query(
     """SELECT CAST(user_id AS VARCHAR) AS config_id, strftime(max(ts), '%Y%m%d%H%M%S') AS cursor
        FROM events GROUP BY user_id"""

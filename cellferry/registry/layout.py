@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..operators import layout
 from ..operators.keys import with_row_key
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import ROW_KEY
 from . import query, table
 
@@ -16,32 +17,34 @@ def _event_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _placed(df: DataFrame) -> DataFrame:
-    """States the order that rows stand in: the first and last key of every partition, and whether
-    keys rise within it and from the partition before. One row tells it for all of them."""
+    """All rows, each with whether its key follows the one before it, in its partition and across partitions.
+
+    Partitions are written to the checkpoint folder first, so that their numbers stay as they are.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
     part, at = F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")
-    inner = Window.partitionBy("part").orderBy("at")
-    rows = df.select(ROW_KEY, part, at).withColumn("before", F.lag(ROW_KEY).over(inner))
-    ends = rows.groupBy("part").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min_by(ROW_KEY, "at").alias("first"),
-        F.max_by(ROW_KEY, "at").alias("last"),
-        F.count_if(F.col("before") > F.col(ROW_KEY)).alias("falls"),
-    )
-    between = F.lag("last").over(Window.orderBy("part")) > F.col("first")
-    told = ends.select("n", "falls", between.alias("crossed"))
-    return told.agg(F.sum("n").alias("row_count"), (F.sum("falls") + F.count_if("crossed")).alias("out_of_order"))
-
-
-@query("SELECT count(*) AS row_count, 0::BIGINT AS out_of_order FROM orders")
+    rows = df.select("*", part, at).checkpoint()
+    # one row per partition: where the keys of those before it end
+    ends = rows.groupBy("part").agg(F.max(ROW_KEY).alias("last"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.broadcast(ends.select("part", F.max("last").over(before).alias("reached")))
+    previous = F.lag(ROW_KEY).over(Window.partitionBy("part").orderBy("at"))
+    joined = rows.withColumn("previous", previous).join(reached, "part")
+    in_order = F.coalesce(F.col(ROW_KEY) >= F.greatest("previous", "reached"), F.lit(True))
+    return joined.select(*df.columns, in_order.alias("in_order"))
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS row_key, o_orderstatus, true AS in_order FROM orders")
 def ordered_keys(spark: SparkSession, sf: str) -> DataFrame:
-    keyed = with_row_key(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey")
-    return _placed(layout.total_order(keyed.select(ROW_KEY)))
+    keyed = with_row_key(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), "o_orderkey")
+    return _placed(layout.total_order(keyed.select(ROW_KEY, "o_orderstatus")))
 
 
-@query("SELECT count(*) AS row_count, 0::BIGINT AS out_of_order FROM lineitem")
+@query("SELECT concat(l_orderkey, '_', l_linenumber) AS row_key, l_returnflag, true AS in_order FROM lineitem")
 def sorted_layout_keys(spark: SparkSession, sf: str) -> DataFrame:
-    keyed = with_row_key(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"), "l_orderkey,l_linenumber")
-    return _placed(layout.sorted_layout(keyed.select(ROW_KEY)))
+    columns = ("l_orderkey", "l_linenumber", "l_returnflag")
+    keyed = with_row_key(table(spark, sf, "lineitem").select(*columns), "l_orderkey,l_linenumber")
+    return _placed(layout.sorted_layout(keyed.select(ROW_KEY, "l_returnflag")))
 
 
 @query("SELECT l_orderkey, l_linenumber, l_suppkey, l_shipdate FROM lineitem ORDER BY ALL LIMIT 10")
@@ -116,3 +119,16 @@ def bucket_of_key(spark: SparkSession, sf: str) -> DataFrame:
 )
 def split_points_of_sample(spark: SparkSession, sf: str) -> DataFrame:
     return layout.split_points(layout.sample_keys_by_hash(_event_keys(spark, sf), 0.25), 16)
+
+
+_WEIGHED = "SELECT concat(l_orderkey, '_', l_linenumber) AS row_key, sum(CAST(l_quantity AS BIGINT)) AS w FROM lineitem GROUP BY ALL"
+
+
+@query(
+    f"""SELECT CAST(tile AS INTEGER) AS tile, min(row_key) AS first_key FROM (
+            SELECT row_key, least(floor(coalesce(sum(w) OVER (ORDER BY row_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                                        / (sum(w) OVER () / 24.0::DOUBLE)), 23) + 1 AS tile FROM ({_WEIGHED})) GROUP BY tile"""
+)
+def split_points_by_bytes(spark: SparkSession, sf: str) -> DataFrame:
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("bigint").alias("w"))
+    return layout.weighted_split_points(with_row_key(lines, "l_orderkey,l_linenumber"), 24, "w")

@@ -5,11 +5,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import digits8
 from ..operators.keys import with_row_key
 from ..operators.layout import sample_keys_by_hash
+from ..operators.windows import CursorWindow, in_window
 from ..plans.jobs import distinct_identifiers, run_distinct
 from ..sinks.files import append_rows, write_sorted_cells, write_sorted_records
 from ..sinks.keyed import KeyedTable, buckets_for
+from ..sinks.ranged import RangedTable
 from ..sources.tables import ROW_KEY
 from . import query, table
 from .cells import _LATER_SQL, _ORDER_SQL, _QUALIFIERS, _later, _records, _unpivot
@@ -65,6 +68,64 @@ def keyed_table_created_and_widened(spark: SparkSession, sf: str) -> DataFrame:
     return target.records()
 
 
+_BOTH_SQL = f"""SELECT o.row_key, o.o_custkey, o.o_orderdate, o.o_orderkey,
+        coalesce(l.o_orderpriority, o.o_orderpriority) AS o_orderpriority, o.o_orderstatus, o.o_totalprice
+    FROM ({_ORDER_SQL}) o LEFT JOIN ({_LATER_SQL}) l ON o.row_key = l.row_key"""
+
+
+@query(f"SELECT *, upper(o_orderpriority) AS loud FROM ({_BOTH_SQL})")
+def keyed_table_compacted_in_place(spark: SparkSession, sf: str) -> DataFrame:
+    """Three batches, a compaction to which readers switch, and a batch after it."""
+    target = _table(spark)
+    target.put(_records(spark, sf), load=True)
+    target.put(_records(spark, sf).select(ROW_KEY, F.lit("old").alias("loud")))
+    target.put(_later(spark, sf))
+    target.compact()
+    loud = target.records().select(ROW_KEY, F.upper("o_orderpriority").alias("loud"))
+    target.put(loud)
+    return target.records()
+
+
+def _ranged(spark: SparkSession, sf: str) -> RangedTable:
+    """Two batches between the split points of the first."""
+    target = RangedTable(spark, _fresh(spark), range_bytes=1 << 18)
+    target.put(_records(spark, sf))
+    target.put(_later(spark, sf))
+    return target
+
+
+@query(_BOTH_SQL)
+def ranged_two_batches(spark: SparkSession, sf: str) -> DataFrame:
+    return _ranged(spark, sf).records()
+
+
+@query(f"SELECT * FROM ({_BOTH_SQL}) WHERE row_key >= '2' AND row_key < '31'")
+def ranged_key_range(spark: SparkSession, sf: str) -> DataFrame:
+    return _ranged(spark, sf).records("2", "31")
+
+
+@query(f"SELECT *, repeat(md5(row_key), 20) AS note FROM ({_BOTH_SQL})")
+def ranged_after_cut(spark: SparkSession, sf: str) -> DataFrame:
+    """A third batch makes every range outgrow its limit; they are cut."""
+    target = _ranged(spark, sf)
+    target.put(_records(spark, sf).select(ROW_KEY, F.repeat(F.md5(ROW_KEY), 20).alias("note")))
+    target.cut()
+    return target.records()
+
+
+@query(
+    """SELECT event_id, user_id, strftime(ts, '%Y%m%d') AS day FROM events
+       WHERE ts >= TIMESTAMP '2024-01-09 06:00:00' AND ts < TIMESTAMP '2024-01-13 06:00:00'"""
+)
+def window_day_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """A window over a table that is partitioned by the day of its cursor."""
+    place = _fresh(spark)
+    dated = table(spark, sf, "events").withColumn("day", digits8(F.col("ts")))
+    dated.repartition("day").write.partitionBy("day").parquet(place)
+    stored = spark.read.schema("event_id bigint, user_id bigint, ts timestamp_ntz, day string").parquet(place)
+    return in_window(stored, "ts", CursorWindow.of("20240109060000", 4), day_column="day").select("event_id", "user_id", "day")
+
+
 @query(
     """SELECT DISTINCT CAST(user_id AS VARCHAR) AS value FROM events
        WHERE strftime(ts, '%Y%m%d') || '_' || event_id >= '20240105' AND strftime(ts, '%Y%m%d') || '_' || event_id < '20240108'"""

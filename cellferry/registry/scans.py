@@ -29,11 +29,11 @@ def scan_full(spark: SparkSession, sf: str) -> DataFrame:
     return read_table(spark, path(sf, "orders"))
 
 
-_EVENT = "event_id, user_id, event_type, strftime(ts, '%Y%m%d%H%M%S') AS ts_text"
+_EVENT = "event_id, user_id, event_type, value, props, strftime(ts, '%Y%m%d%H%M%S') AS ts_text"
 
 
 def _events(df: DataFrame) -> DataFrame:
-    return df.select("event_id", "user_id", "event_type", digits14(F.col("ts")).alias("ts_text"))
+    return df.select("event_id", "user_id", "event_type", "value", "props", digits14(F.col("ts")).alias("ts_text"))
 
 
 @query(f"SELECT {_EVENT} FROM events")

@@ -78,24 +78,35 @@ def test_control_query(spark):
         tables.control_query(df, [("id", "; drop", 1)])
 
 
-# ---- the literal examples: keep one, distinct ---------------------------------------------
-
-# the last one writes a cell of its key a second time
-TRIPLES = [("k7", "city", "Oslo"), ("k7", "size", "4"), ("k7", "unit", "kg"), ("k9", "city", "Bergen"),
-           ("k9", "unit", "t"), ("k9", "city", "Bodo")]
-
-
-def test_literal_examples(spark):
-    rows = [(i, *t) for i, t in enumerate(TRIPLES)]
-    df = tables.literal_table(spark, rows, "i int, key string, name string, value string")
-    last = dedupe.keep_latest(df, "key", ["i"]).collect()
-    assert {r.key: (r.name, r.value) for r in last} == {"k7": ("unit", "kg"), "k9": ("city", "Bodo")}
-    pairs = tables.literal_table(spark, [("a", 1), ("a", 1), ("b", 2), ("a", 1)], "name string, n int")
-    assert dedupe.distinct_values(pairs, "name,n").count() == 2
-    assert dedupe.distinct_records(df.drop("i")).count() == 6
+# ---- literal rows: keep one, distinct, collected cells --------------------------------------
+
+def _cell_log(seed: int) -> list[tuple[int, str, str | None, str | None]]:
+    """Writes to cells of some stations, in order: repeats anywhere, and values that are null."""
+    rng = random.Random(seed)
+    names = ["depth", "flow", "ice", "ph", "turbid"]
+    return [
+        (at, f"st-{rng.randrange(4)}", rng.choice(names), None if rng.random() < 0.2 else f"{rng.randrange(90) / 10}")
+        for at in range(60)
+    ]
+
+
+@pytest.mark.parametrize("seed", [2, 11])
+def test_literal_rows(spark, seed):
+    log = _cell_log(seed)
+    df = tables.literal_table(spark, log, "i int, key string, name string, value string").repartition(3)
+    last_row, first_cell = {}, {}
+    for at, key, name, value in log:
+        last_row[key] = (at, name, value)
+        first_cell.setdefault((key, name), value)
+    assert {r.key: (r.i, r.name, r.value) for r in dedupe.keep_latest(df, "key", ["i"]).collect()} == last_row
+    assert {tuple(r) for r in dedupe.distinct_values(df, "key,name").collect()} == set(first_cell)
+    assert dedupe.distinct_records(df.drop("i")).count() == len({row[1:] for row in log})
+    assert dedupe.distinct_records(df.unionByName(df.where("i % 4 = 1"))).count() == len(log)
     long = df.select("i", F.col("key").alias("row_key"), F.col("name").alias("qualifier"), "value")
-    kept = {r.row_key: [tuple(c) for c in r.cells] for r in cells.collect_cells(long, ["i"]).collect()}
-    assert kept == {"k7": [("city", "Oslo"), ("size", "4"), ("unit", "kg")], "k9": [("city", "Bergen"), ("unit", "t")]}
+    expected = {}
+    for key, name in sorted(first_cell):
+        expected.setdefault(key, []).append((name, first_cell[key, name]))
+    assert {r.row_key: [tuple(c) for c in r.cells] for r in cells.collect_cells(long, ["i"]).collect()} == expected
 
 
 def test_the_survivor_does_not_depend_on_partitioning(spark):

@@ -15,7 +15,7 @@ ONE_ROW = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"split_points_of_sample"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"split_points_of_sample", "split_points_by_bytes"}))
 def test_no_python_and_no_single_task_steps(spark, small, name):
     plan = plan_of(QUERIES[name](spark, small))
     for node in ("Python", "InPandas", "CartesianProduct", "NestedLoopJoin"):
