@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import QUERIES, bpe, fingerprints, jaccard, language, lattice, packing, repeats, scoring, templates, tokens
+from . import (
+    ORACLES, QUERIES, bpe, fingerprints, jaccard, language, lattice, mixing, negatives, packing, prefixes, repeats, scoring, sql, templates, tokens,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +19,16 @@ def query(run: Query) -> Query:
     return run
 
 
+def with_sql(text: str) -> Callable[[Query], Query]:
+    """Register a query beside its SQL."""
+
+    def register(run: Query) -> Query:
+        ORACLES[run.__name__] = text
+        return query(run)
+
+    return register
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -87,3 +99,23 @@ def op8_templates(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op1_pseudo_likelihood(spark: SparkSession, sf: str) -> DataFrame:
     return scoring.score(table(spark, sf, "documents"))
+
+
+@with_sql(sql.NEGATIVES)
+def op11_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = F.transform(F.col("embedding").cast("array<double>"), lambda x: negatives.floored(x * 256))
+    given = vectors.select("vec_id", label.alias("label"), whole.alias("embedding"))
+    found = negatives.hard_negatives(given, F.col("vec_id") % 100 == 0, positives=5, negatives=5, low=80, high=100)
+    return found.drop("positive_rank")
+
+
+@with_sql(sql.MIXING)
+def op12_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix(table(spark, sf, "documents"), weights=(5, 2, 1), most=3).drop("repeats")
+
+
+@with_sql(sql.PREFIXES)
+def op13_prefixes(spark: SparkSession, sf: str) -> DataFrame:
+    return prefixes.prefix_tree(prefixes.with_shared_starts(table(spark, sf, "conversations"), group=20, most=4))
