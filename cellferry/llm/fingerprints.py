@@ -39,38 +39,48 @@ def _masks() -> Column:
     return F.array(*[F.lit(m).cast("long") for m in MASKS])
 
 
-def _summed(items: Column, mask: int, value) -> Column:
-    """The sum of ``value`` over an array, modulo the powers that ``mask`` leaves."""
-    most = F.lit(mask).cast("long")
-    return F.aggregate(items, F.lit(0).cast("long"), lambda s, x: (s + value(x)).bitwiseAND(most))
+def _zeros(n: int) -> Column:
+    return F.array_repeat(F.lit(0).cast("long"), n)
 
 
-def fingerprint(text: Column) -> Column:
-    """The fingerprint of a text, as an array of longs; a null text counts as empty."""
-    text = F.coalesce(text, F.lit(""))
-    paragraphs = F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, "\n", -1))
-    runs = F.regexp_extract_all(text, F.lit(RUN), F.lit(0))
-    parts = []
-    for k in range(EXACT):
-        parts.append(F.array(_summed(_hashed(paragraphs, k), _LANE, lambda x: x.bitwiseAND(F.lit(_LANE).cast("long")))))
-    for k in range(HASHES):
-        parts.append(_sign_lanes(_hashed(runs, 100 + k)))
-    parts.append(F.array(F.size(runs).cast("long").bitwiseAND(F.lit(_COUNT))))
-    return F.concat(*parts)
+def _shifted(x: Column, by: Column) -> Column:
+    return F.call_function("shiftrightunsigned", x, by)
+
+
+def _exact_lanes(paragraphs: Column) -> Column:
+    """Sums of the paragraphs' hashes, one seed a lane."""
+    most = F.lit(_LANE).cast("long")
+
+    def add(state: Column, p: Column) -> Column:
+        return F.transform(state, lambda x, seed: (x + F.xxhash64(seed, p).bitwiseAND(most)).bitwiseAND(most))
+
+    return F.aggregate(paragraphs, _zeros(EXACT), add)
+
+
+def _sign_lanes(runs: Column) -> Column:
+    """One long per shift of each hash, with two bits summed apart, and the number of runs.
 
+    Runs are hashed once, before they are summed: an expression inside a lambda would be worked out
+    again for every lane.
+    """
+    hashed = F.transform(runs, lambda r: F.struct(F.xxhash64(F.lit(100), r).alias("a"), F.xxhash64(F.lit(101), r).alias("b")))
+    bits, sums, one = (F.lit(v).cast("long") for v in (_BITS, _SUMS, 1))
 
-def _hashed(items: Column, seed: int) -> Column:
-    return F.transform(items, lambda x: F.xxhash64(F.lit(seed), x))
+    def add(state: Column, h: Column) -> Column:
+        def lane(x: Column, i: Column) -> Column:
+            seen = F.when(i < SHIFTS, _shifted(h["a"], i)).when(i < WIDE, _shifted(h["b"], i - SHIFTS)).otherwise(one)
+            return (x + seen.bitwiseAND(bits)).bitwiseAND(sums)
 
+        return F.transform(state, lane)
 
-def _sign_lanes(hashes: Column) -> Column:
-    """One long per shift: two bits of each hash, summed apart."""
-    bits = F.lit(_BITS).cast("long")
+    return F.aggregate(hashed, _zeros(WIDE + 1), add)
 
-    def lane(shift: Column) -> Column:
-        return _summed(hashes, _SUMS, lambda h: F.call_function("shiftrightunsigned", h, shift).bitwiseAND(bits))
 
-    return F.transform(F.sequence(F.lit(0), F.lit(SHIFTS - 1)), lane)
+def fingerprint(text: Column) -> Column:
+    """The fingerprint of a text, as an array of longs; a null text counts as empty."""
+    text = F.coalesce(text, F.lit(""))
+    paragraphs = F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, "\n", -1))
+    return F.concat(_exact_lanes(paragraphs), _sign_lanes(F.regexp_extract_all(text, F.lit(RUN), F.lit(0))))
 
 
 def combined(a: Column, b: Column) -> Column:
@@ -152,28 +162,32 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = docs.select(key.alias("k"), text.alias("text")).select("k", F.xxhash64("k").alias("at"), "text")
     ids = docs.select(key.alias("k"), F.length(text).cast("long").alias("n")).distinct()
     order = checkpointed(next_ids(ids))
-    # What each text gives to the one before it: its vector and its beginning.
-    wanted = order.select(F.col("next").alias("k"), F.col("k").alias("to"), "n")
-    wanted = wanted.withColumn("at", F.xxhash64("k"))
-    met = rows.join(wanted, ["at", "k"])
-    given = met.select(
-        F.xxhash64("to").alias("at"),
-        F.col("to").alias("k"),
-        F.substring("text", F.lit(1), F.floor(F.col("n") / 2).cast("int")).alias("head"),
-        fingerprint(F.col("text")).alias("next_print"),
-    ).dropDuplicates(["at", "k"])
+    # Of the next text only its beginning is sent to the one before it.
+    wanted = order.select(F.col("next").alias("k"), F.col("k").alias("to"), "n").withColumn("at", F.xxhash64("k"))
+    given = rows.join(wanted, ["at", "k"]).select(
+        F.xxhash64("to").alias("at"), F.col("to").alias("k"), F.substring("text", F.lit(1), F.floor(F.col("n") / 2).cast("int")).alias("head")
+    )
     n = F.length("text")
-    half = F.floor(n / 2).cast("int")
-    joined = rows.join(given, ["at", "k"]).select(
-        F.col("k.id").alias(id_col),
+    joined = rows.join(given.dropDuplicates(["at", "k"]), ["at", "k"]).select(
+        "k",
         n.cast("long").alias("n_chars"),
-        F.concat(F.substring("text", F.lit(1), n - half), F.col("head")).alias("edited"),
-        fingerprint(F.col("text")).alias("own_print"),
-        "next_print",
+        "text",
+        F.concat(F.substring("text", F.lit(1), n - F.floor(n / 2).cast("int")), F.col("head")).alias("edited"),
     )
-    made = joined.select("*", F.sha2(F.col("edited"), 256).alias("edited_sha256"), fingerprint(F.col("edited")).alias("edited_print"))
-    return made.select(
-        id_col,
+    # Every text's fingerprint is worked out once and written; after that only fingerprints move.
+    made = checkpointed(
+        joined.select(
+            "k",
+            "n_chars",
+            F.sha2("edited", 256).alias("edited_sha256"),
+            fingerprint(F.col("text")).alias("own_print"),
+            fingerprint(F.col("edited")).alias("edited_print"),
+        )
+    )
+    after = made.select(F.col("k").alias("next"), F.col("own_print").alias("next_print")).dropDuplicates(["next"])
+    before = order.select("k", "next").join(after, "next").select("k", "next_print")
+    return made.join(before, "k").select(
+        F.col("k.id").alias(id_col),
         "n_chars",
         "edited_sha256",
         printed(F.col("own_print")).alias("fingerprint"),

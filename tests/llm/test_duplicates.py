@@ -4,11 +4,14 @@ import hashlib
 import itertools
 import random
 import re
+import struct
 from collections import Counter
 
 import messy
 import numpy as np
 import pytest
+import regex
+import xxhash
 from cellferry.llm import components, fingerprints, jaccard, lattice, repeats, templates
 from pyspark.sql import functions as F
 
@@ -306,6 +309,52 @@ def test_edited_texts_take_the_next_one(spark):
     assert np.mean([r.near_edited for r in long]) > 0.3 + np.mean([r.near_next for r in long])
 
 
+def plain_fingerprint(text):
+    """The lanes, one after the other, in whole numbers of Python."""
+    def hashed(seed, value):
+        return xxhash.xxh64(value.encode(), seed=xxhash.xxh64(struct.pack("<i", seed), seed=42).intdigest()).intdigest()
+
+    paragraphs = text.split("\n") if text else []
+    runs = regex.findall(fingerprints.RUN, text)
+    lanes = [sum(hashed(k, p) % 2**62 for p in paragraphs) % 2**62 for k in range(fingerprints.EXACT)]
+    for seed in (100, 101):
+        for shift in range(fingerprints.SHIFTS):
+            low, high = (sum(hashed(seed, r) >> shift + place & 1 for r in runs) % 2**30 for place in (0, 31))
+            lanes.append(low + (high << 31))
+    return [*lanes, len(runs) % 2**30]
+
+
+def plain_likeness(a, b):
+    def signs(f):
+        wide = f[fingerprints.EXACT : -1]
+        return np.array([2 * (x >> place) % 2**31 - f[-1] if place else 2 * (x % 2**30) - f[-1] for x in wide for place in (0, 31)], float)
+
+    x, y = signs(a), signs(b)
+    norm = np.linalg.norm(x) * np.linalg.norm(y)
+    return 1.0 if a == b else min(1.0, max(0.0, x @ y / norm)) if norm else 0.0
+
+
+def test_fingerprints_and_likeness_by_hand(spark):
+    rng = random.Random(8)
+    signs = [" ", " ", ", ", ".\n", "\n\n", "。", "; "]
+    texts = ["", "a", "\n", "one two three four five six", "日本語のテキスト", "word " * 3000]
+    texts += ["".join(f"w{rng.randrange(40)}" + rng.choice(signs) for _ in range(rng.randrange(90))) for _ in range(40)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    half = [(t, len(t) // 2) for t in texts]
+    for r in fingerprints.edited_fingerprints(df).collect():
+        t, n = half[r.doc_id]
+        after = texts[(r.doc_id - 1) % len(texts)]
+        own, edited, following = map(plain_fingerprint, (t, t[: len(t) - n] + after[:n], after))
+        assert r.fingerprint == "".join(f"{x:016X}" for x in own) and r.edited_fingerprint == "".join(f"{x:016X}" for x in edited)
+        assert abs(r.near_edited - plain_likeness(own, edited)) < 1e-9 and abs(r.near_next - plain_likeness(own, following)) < 1e-9
+
+
+def test_fingerprints_of_a_text_of_megabytes(spark):
+    df = spark.createDataFrame([(1, messy.words(3, 400_000, 10**6)), (2, "short")], "doc_id long, text string")
+    one = {r.doc_id: r for r in fingerprints.edited_fingerprints(df).collect()}
+    assert one[1].n_chars > 2_000_000 and 0.6 < one[1].near_edited < 0.85 and one[1].near_next < 0.2
+
+
 def test_likeness_needs_no_punctuation(spark):
     rng = random.Random(11)
     texts = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(120))) for i in range(60)]
