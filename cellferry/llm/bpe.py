@@ -13,16 +13,19 @@ import base64
 import hashlib
 import heapq
 import itertools
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import in_arrow, texts
+from .common import in_arrow, texts, worker_cache
 
 LONG = 400
 GENERATION = 300_000
 WORDS_AT_ONCE = 50_000
+# The recursion keeps a row for every token of every round: about half the square of a word's bytes.
+SQUARES_AT_ONCE = 4_000_000
 
 ENCODE_SQL = """
 WITH RECURSIVE state(round, word, pos, tok, nxt, after) AS (
@@ -63,6 +66,19 @@ def merge_table(ranks: dict[bytes, int]) -> pa.Table:
     return pa.table({"a": a, "b": b, "rank": rank})
 
 
+def in_parts(words: list[bytes]) -> Iterator[list[bytes]]:
+    """The words in order, a few at a time: so many that the query's rows stay within its memory."""
+    start, held = 0, 0
+    for i, word in enumerate(words):
+        area = len(word) ** 2
+        if i > start and (held + area > SQUARES_AT_ONCE or i - start == WORDS_AT_ONCE):
+            yield words[start:i]
+            start, held = i, 0
+        held += area
+    if start < len(words):
+        yield words[start:]
+
+
 class Recent(dict):
     """A bounded cache: when a generation is full, the one before it goes, but for what is used again."""
 
@@ -107,8 +123,7 @@ class WordEncoder:
     def queried(self, words: list[bytes]) -> list[tuple[int, bytes, bytes]]:
         """Count, ids as decimal text, and decoded bytes of each distinct word, by the query."""
         found: list[tuple[int, bytes, bytes]] = []
-        for start in range(0, len(words), WORDS_AT_ONCE):
-            part = words[start : start + WORDS_AT_ONCE]
+        for part in in_parts(words):
             sizes = np.array([len(w) for w in part], np.int64)
             flat = np.frombuffer(b"".join(part), np.uint8)
             pos = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -197,9 +212,6 @@ class WordEncoder:
         return out
 
 
-_encoders: dict[tuple[str, str], WordEncoder] = {}
-
-
 def encode_decode(
     docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False
 ) -> DataFrame:
@@ -211,9 +223,10 @@ def encode_decode(
     """
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        encoder = _encoders.get((path, pattern))
+        encoders = worker_cache("bpe")
+        encoder = encoders.get((path, pattern))
         if encoder is None:
-            encoder = _encoders[path, pattern] = WordEncoder(path, pattern)
+            encoder = encoders[path, pattern] = WordEncoder(path, pattern)
         made = encoder.encoded(batch.column("text").to_pylist())
         arrays = [
             batch.column("id"),
@@ -231,4 +244,4 @@ def encode_decode(
         return pa.RecordBatch.from_arrays(arrays, names)
 
     schema = f"{id_col} long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return in_arrow(texts(docs, id_col, text_col), work, schema + ", ids array<int>, decoded binary" * with_ids)
+    return in_arrow(texts(docs, id_col, text_col), work, schema + ", ids array<int>, decoded binary" * with_ids, owner="bpe")

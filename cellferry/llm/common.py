@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import os
 import tempfile
@@ -74,16 +75,43 @@ def ship(df: DataFrame) -> None:
     context._cellferry_sent = True
 
 
+_worker_caches: dict[str, dict] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """What this Python worker keeps for one operator from task to task; that of all others is dropped."""
+    for other, cache in _worker_caches.items():
+        if other != owner:
+            cache.clear()
+    return _worker_caches.setdefault(owner, {})
+
+
+def _give_back() -> None:
+    """Memory that a task has freed goes back to the system, since the worker lives on."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def in_arrow(
-    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, limit: int = SLICE_BYTES
+    df: DataFrame,
+    work: Callable[[pa.RecordBatch], pa.RecordBatch | None],
+    schema: str,
+    limit: int = SLICE_BYTES,
+    owner: str = "",
 ) -> DataFrame:
-    """Apply ``work`` to slices of a table that has a ``text`` column."""
+    """Apply ``work`` to slices of a table that has a ``text`` column; ``owner`` keeps a :func:`worker_cache`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in sliced(batches, limit):
-            made = work(part)
-            if made is not None and made.num_rows:
-                yield made
+        worker_cache(owner)
+        try:
+            for part in sliced(batches, limit):
+                made = work(part)
+                if made is not None and made.num_rows:
+                    yield made
+        finally:
+            _give_back()
 
     ship(df)
     return df.mapInArrow(run, schema)
@@ -129,8 +157,9 @@ def numbered(df: DataFrame, order: Sequence[Column], keep: Sequence[str], name:
     return placed.join(F.broadcast(offsets), "__part").select(*keep, (F.col("__ahead") + F.col("__within")).alias(name))
 
 
-BROADCAST_ROWS = 2_000_000
-BROADCAST_BYTES = 64 << 20
+# the hashed table on the driver takes several times these bytes
+BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 16 << 20
 
 
 def small_enough(df: DataFrame, row_bytes: int = 32, size: str | None = None) -> DataFrame:

@@ -20,14 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, in_arrow, ship, texts
+from .bpe import Recent
+from .common import checkpointed, in_arrow, ship, texts, worker_cache
 
-CACHE_ENTRIES = 500_000
 GROUP_PIECES = 40_000
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # as in the tokenizer's own file
 
-_encoders: dict[str, "WordIds"] = {}
-
 
 class WordIds:
     """Ids of texts in one worker, as little-endian 32-bit bytes, by cached words.
@@ -44,8 +42,7 @@ class WordIds:
 
         self.library, self.split = Tokenizer.from_file(path), regex.compile(SPLIT)
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.words, self.pieces = Recent(), Recent()
 
     def whole(self, batch: list[str]) -> list[bytes]:
         made = self.library.encode_batch_fast(batch, add_special_tokens=False)
@@ -70,18 +67,14 @@ class WordIds:
         usual = [p for p in pieces if p.isascii() or (max(p) < "ƀ" and "İ" not in p)]
         odd = list(pieces.difference(usual))
         split = [self.split.findall(p.lower()) for p in usual]
-        self.learn_words(list({w for words in split for w in words}.difference(self.words)))
+        self.learn_words(list(self.words.missing({w for words in split for w in words})))
         look = self.words.__getitem__
         self.pieces.update((p, b"".join(map(look, words))) for p, words in zip(usual, split))
         self.pieces.update(zip(odd, self.whole(odd)))
 
     def encoded(self, batch: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in batch]
-        if len(self.pieces) > CACHE_ENTRIES:
-            self.pieces = {}
-        if len(self.words) > CACHE_ENTRIES:
-            self.words = {}
-        self.learn(set().union(*split).difference(self.pieces) if split else set())
+        self.learn(self.pieces.missing(set().union(*split)) if split else set())
         look = self.pieces.__getitem__
         out = [b"".join(map(look, p)) for p in split]
         special = [i for i, t in enumerate(batch) if any(a in t for a in self.added)]
@@ -95,10 +88,11 @@ def cut_pieces(docs: DataFrame, path: str, length: int, end_id: int, id_col: str
     tail = np.array([end_id], "<u4").tobytes()
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if path not in _encoders:
-            _encoders[path] = WordIds(path)
+        encoders = worker_cache("packing")
+        if path not in encoders:
+            encoders[path] = WordIds(path)
         rows: list[tuple[int, int, int, int, int]] = []
-        for i, ids in enumerate(_encoders[path].encoded(batch.column("text").to_pylist())):
+        for i, ids in enumerate(encoders[path].encoded(batch.column("text").to_pylist())):
             ids += tail
             for k, at in enumerate(range(0, len(ids), 4 * length)):
                 part = ids[at : at + 4 * length]
@@ -108,7 +102,7 @@ def cut_pieces(docs: DataFrame, path: str, length: int, end_id: int, id_col: str
         return pa.RecordBatch.from_arrays(arrays, ["id", "piece", "start", "length", "ids_crc32"])
 
     schema = "id long, piece int, start long, length long, ids_crc32 long"
-    return in_arrow(texts(docs, id_col, text_col), work, schema)
+    return in_arrow(texts(docs, id_col, text_col), work, schema, owner="packing")
 
 
 def fit(lengths: np.ndarray, capacity: np.ndarray, weights: np.ndarray, rule: str = "residual") -> tuple[np.ndarray, np.ndarray]:

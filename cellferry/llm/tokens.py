@@ -16,14 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_arrow, text_sizes, texts
+from .common import in_arrow, text_sizes, texts, worker_cache
 
 SAMPLE_ROWS = 1000
 FREQUENT = 50_000
 CACHE_ENTRIES = 600_000
 
-_counters: dict[str, "PieceCounter"] = {}
-
 
 class PieceCounter:
     """Token counts of texts in one worker: a fixed table of frequent pieces, then a bounded cache."""
@@ -95,10 +93,11 @@ def count_tokens(
     key = f"{path}#{shared.id if hasattr(shared, 'id') else id(shared)}"
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        counter = _counters.get(key)
+        counters = worker_cache("tokens")
+        counter = counters.get(key)
         if counter is None:
-            _counters.clear()
-            counter = _counters[key] = PieceCounter(path, shared.value)
+            counters.clear()
+            counter = counters[key] = PieceCounter(path, shared.value)
         column = batch.column("text")
         counted = counter.counts(column.to_pylist())
         return pa.RecordBatch.from_arrays(
@@ -111,4 +110,4 @@ def count_tokens(
             [id_col, "n_bytes", "n_tokens", "over_limit"],
         )
 
-    return in_arrow(source, work, f"{id_col} long, n_bytes long, n_tokens long, over_limit boolean")
+    return in_arrow(source, work, f"{id_col} long, n_bytes long, n_tokens long, over_limit boolean", owner="tokens")

@@ -130,3 +130,28 @@ def test_empty_tables(none):
     assert tokens.count_tokens(none, COUNTS).count() == 0
     assert bpe.encode_decode(none, RANKS, public_tokenizers.PATTERN).count() == 0
     assert packing.pack(none, WORDS).count() == 0
+
+
+def test_many_long_words_stay_within_the_memory_of_the_query(tiktoken_own):
+    rng = random.Random(3)
+    words = ["".join(chr(97 + rng.randrange(26)) for _ in range(390)) for _ in range(420)]
+    words += ["".join(chr(rng.randrange(0x4E00, 0x9F00)) for _ in range(130)) for _ in range(20)]
+    encoder = bpe.WordEncoder(RANKS, public_tokenizers.PATTERN)
+    text = " ".join(words)
+    (n, ids, raw), = encoder.encoded([text])
+    assert raw == text.encode() and ids.decode() == ",".join(map(str, tiktoken_own.encode_ordinary(text))) and n == ids.count(b",") + 1
+
+
+def test_parts_keep_order_and_size():
+    words = [b"x" * n for n in (1, 400, 3000, 5, 2000, 1, 1)]
+    parts = list(bpe.in_parts(words))
+    assert [w for p in parts for w in p] == words
+    assert all(sum(len(w) ** 2 for w in p) <= bpe.SQUARES_AT_ONCE or len(p) == 1 for p in parts)
+
+
+def test_a_full_generation_of_words_is_kept_until_the_next(monkeypatch, library):
+    monkeypatch.setattr(bpe, "GENERATION", 3)
+    encoder = packing.WordIds(WORDS)
+    for text in ["a b c d e f", "g h a", "x y z w v", "a b", *odd_texts()[:300]]:
+        want = np.array(library[WORDS].encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert encoder.encoded([text]) == [want]
