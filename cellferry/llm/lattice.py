@@ -141,8 +141,10 @@ def near_vectors(
 
     A vector that is null, empty, zero, or holds null or non-finite parts links with nothing, and so
     does one of another length than its partner. A row without an id links with nothing, has a null
-    component and is not kept. Rows that share an id are one document to the components. An empty
-    table gives an empty result; other columns are not read.
+    component and is not kept. Rows that share an id are one document to the components; ``n_links``
+    counts rows that the row's own vector is linked with, copies included, so rows of one id with
+    different vectors have counts of their own. More than 64 different vector lengths are an error. An
+    empty table gives an empty result; other columns are not read.
     """
     given = vectors.select(vectors[id_col].cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
     usable = (
@@ -156,7 +158,8 @@ def near_vectors(
     classes = checkpointed(
         own.where("vector is not null")
         .groupBy(*hashes)
-        .agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.min_by("vector", "id").alias("vector"))
+        .agg(F.min("id").alias("least_id"), F.count("*").alias("copies"), F.min_by("vector", "id").alias("vector"))
+        .withColumn("rep", F.monotonically_increasing_id())  # a class has a name of its own: two may share an id
     )
     sizes = [r[0] for r in classes.select(F.size("vector")).distinct().orderBy(F.size("vector")).limit(65).collect()]
     if len(sizes) > 64:
@@ -170,21 +173,21 @@ def near_vectors(
     if found is None:
         found = spark.createDataFrame([], "node long, links long, root long")
     found = checkpointed(found)
-    # Rows that share an id tie their classes together.
-    member = own.where("vector is not null").select("id", *hashes).join(classes.drop("vector"), ["h1", "h2"]).select("id", "rep", "copies")
-    tied = member.select("id", "rep").union(member.select("rep", "id"))
-    joined = components(found.select("node", "root").union(tied.where("id <> rep")))
+    names = classes.select("rep", "least_id")
+    # Rows that share an id tie their classes together, so components are made of ids.
+    ends = found.join(names.toDF("node", "a"), "node").join(names.toDF("root", "b"), "root").select("a", "b")
+    member = own.where("vector is not null").select("id", *hashes).join(classes.drop("vector"), ["h1", "h2"])
+    tied = member.select("id", "least_id").union(member.select("least_id", "id"))
+    joined = components(ends.union(tied).where("a <> b").toDF("node", "root"))
+    # Every row counts for the class that its own vector is in.
     links = found.groupBy("node").agg(F.sum("links").alias("links")).withColumnRenamed("node", "rep")
     counted = member.join(links, "rep", "left").select("id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    # Of rows that share an id, each vector keeps its own count: a row finds its class again by its hashes.
-    counted = counted.groupBy("id").agg(F.max("n_links").alias("n_links"))
-    whole = own.select("id", F.col("vector").isNotNull().alias("usable")).join(counted, "id", "left").join(
-        joined.withColumnRenamed("node", "id"), "id", "left"
-    )
+    alone = own.where("vector is null").select("id", F.lit(0).cast("long").alias("n_links"))
+    whole = counted.union(alone).join(joined.withColumnRenamed("node", "id"), "id", "left")
     component = F.coalesce("component", "id")
     return whole.select(
         F.col("id").alias(id_col),
-        F.when(F.col("usable"), F.col("n_links")).otherwise(0).cast("long").alias("n_links"),
+        F.col("n_links").cast("long").alias("n_links"),
         component.alias("component_id"),
         F.coalesce(component == F.col("id"), F.lit(False)).alias("kept"),
     )

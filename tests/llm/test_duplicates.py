@@ -162,6 +162,18 @@ def test_vectors_by_cosine(spark, monkeypatch):
     assert lattice.near_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_that_share_an_id(spark):
+    near = np.random.default_rng(4).standard_normal(64)
+    vectors = [near + 0.05 * np.random.default_rng(i).standard_normal(64) for i in range(3)]
+    far = [-near, -near + 0.05 * np.random.default_rng(9).standard_normal(64)]
+    rows = [(5, vectors[0]), (5, far[0]), (1, vectors[1]), (2, vectors[2]), (8, far[1]), (8, far[1]), (9, np.eye(64)[0])]
+    df = spark.createDataFrame([(i, [float(x) for x in v], 1) for i, v in rows], SHAPE).repartition(3)
+    df = df.selectExpr("*", "vec_id as id", "label as rep", "'x' as h1")
+    got = Counter((r.vec_id, r.n_links, r.component_id, r.kept) for r in lattice.near_vectors(df, tables=8).collect())
+    # one row of id 5 is linked with 1 and 2, the other one with both rows of id 8, which are copies
+    assert got == Counter({(5, 2, 1, False): 2, (1, 2, 1, True): 1, (2, 2, 1, False): 1, (8, 2, 1, False): 2, (9, 0, 9, True): 1})
+
+
 def test_recall_at_the_threshold():
     rng = np.random.default_rng(3)
     u = lattice.units(rng.standard_normal((3000, 64)))
