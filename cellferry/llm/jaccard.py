@@ -338,10 +338,10 @@ def jaccard_groups(
         near = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         near = checkpointed(near.join(tried, ["a", "b"], "left_anti"))
         more = checkpointed(verified(near, checkpointed(members_of(near)), percent))
-        tried = tried.union(near)
+        tried = checkpointed(tried.union(near))
         if more.isEmpty():
             break
-        links = links.union(more)
+        links = checkpointed(links.union(more))
         found = components(links)
     rest = checkpointed(unconnected(nearest=False).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
