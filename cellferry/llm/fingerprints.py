@@ -27,6 +27,9 @@ WIDE = SHIFTS * HASHES
 _PLACES = (0, 31)
 _BITS = sum(1 << at for at in _PLACES)
 _COUNT = (1 << 30) - 1
+# a chunk's sums: every tenth bit of a lane's two, each counting to 1023
+STEP, CHUNK = 10, 1023
+_FIELDS = sum(1 << (place + at) for place in _PLACES for at in range(0, SHIFTS, STEP))
 _SUMS = sum(_COUNT << at for at in _PLACES)
 _LANE = (1 << 62) - 1
 MASKS = [_LANE] * EXACT + [_SUMS] * WIDE + [_COUNT]
@@ -60,20 +63,41 @@ def _exact_lanes(paragraphs: Column) -> Column:
 def _sign_lanes(runs: Column) -> Column:
     """One long per shift of each hash, with two bits summed apart, and the number of runs.
 
-    Runs are hashed once, before they are summed: an expression inside a lambda would be worked out
-    again for every lane.
+    Runs are hashed once and bound to a name, since an expression inside a lambda is worked out again
+    each time. They are summed ``CHUNK`` at a time with six bits of a hash to a long, which so few
+    cannot overflow, and the sums of a chunk are then spread over the lanes. A text of two billion
+    bytes has too few runs for a lane's sum to reach the next one, so the powers are taken at the end.
     """
     hashed = F.transform(runs, lambda r: F.struct(F.xxhash64(F.lit(100), r).alias("a"), F.xxhash64(F.lit(101), r).alias("b")))
-    bits, sums, one = (F.lit(v).cast("long") for v in (_BITS, _SUMS, 1))
+    fields, few, sums = (F.lit(v).cast("long") for v in (_FIELDS, CHUNK, _SUMS))
+    one = F.lit(1).cast("long")
+    narrow = F.struct(_zeros(STEP).alias("a"), _zeros(STEP).alias("b"), F.lit(0).cast("long").alias("n"))
+    wide = F.struct(_zeros(SHIFTS).alias("a"), _zeros(SHIFTS).alias("b"), F.lit(0).cast("long").alias("n"))
 
-    def add(state: Column, h: Column) -> Column:
-        def lane(x: Column, i: Column) -> Column:
-            seen = F.when(i < SHIFTS, _shifted(h["a"], i)).when(i < WIDE, _shifted(h["b"], i - SHIFTS)).otherwise(one)
-            return (x + seen.bitwiseAND(bits)).bitwiseAND(sums)
+    def added(state: Column, h: Column) -> Column:
+        def sums_of(name: str) -> Column:
+            return F.transform(state[name], lambda x, i: x + _shifted(h[name], i).bitwiseAND(fields)).alias(name)
 
-        return F.transform(state, lane)
+        return F.struct(sums_of("a"), sums_of("b"), (state["n"] + one).alias("n"))
 
-    return F.aggregate(hashed, _zeros(WIDE + 1), add)
+    def spread(state: Column, chunk: Column) -> Column:
+        def lanes(name: str) -> Column:
+            def lane(x: Column, i: Column) -> Column:
+                packed, at = F.element_at(chunk[name], (i % STEP + 1).cast("int")), F.floor(i / STEP).cast("int") * STEP
+                low, high = (_shifted(packed, at + place).bitwiseAND(few) for place in _PLACES)
+                return x + low + F.shiftleft(high, _PLACES[1])
+
+            return F.transform(state[name], lane).alias(name)
+
+        return F.struct(lanes("a"), lanes("b"), (state["n"] + chunk["n"]).alias("n"))
+
+    def total(all_: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.floor(F.size(all_) / CHUNK).cast("int"))
+        chunks = F.transform(starts, lambda c: F.aggregate(F.slice(all_, c * CHUNK + 1, F.lit(CHUNK)), narrow, added))
+        return F.aggregate(chunks, wide, spread, lambda s: F.concat(s["a"], s["b"], F.array(s["n"])))
+
+    summed = F.element_at(F.transform(F.array(hashed), total), 1)
+    return F.transform(summed, lambda x: x.bitwiseAND(sums))
 
 
 def fingerprint(text: Column) -> Column:

@@ -349,7 +349,7 @@ def plain_likeness(a, b):
 def test_fingerprints_and_likeness_by_hand(spark):
     rng = random.Random(8)
     signs = [" ", " ", ", ", ".\n", "\n\n", "。", "; "]
-    texts = ["", "a", "\n", "one two three four five six", "日本語のテキスト", "word " * 3000]
+    texts = ["", "a", "\n", "one two three four five six", "日本語のテキスト", "word " * 3000, messy.words(2, 9000)]
     texts += ["".join(f"w{rng.randrange(40)}" + rng.choice(signs) for _ in range(rng.randrange(90))) for _ in range(40)]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
     half = [(t, len(t) // 2) for t in texts]
