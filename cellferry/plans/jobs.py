@@ -285,8 +285,9 @@ def run_all(
         return [run_logged(spark, spec, run, log, cursors, own) for spec in group]
 
     with own, ThreadPoolExecutor(max(1, at_once)) as pool:
-        done = pool.map(inheritable_thread_target(spark)(in_turn), by_target.values())
-        results = [result for group in done for result in group]
+        # each thread has properties of its own: one wrapped function would share them, and with them the tags
+        done = [pool.submit(inheritable_thread_target(spark)(in_turn), group) for group in by_target.values()]
+        results = [result for group in done for result in group.result()]
     for events in (log, cursors):
         if isinstance(events, (RunLog, CursorTable)) and events.waiting() > EVENTS_BEFORE_FOLD:
             events.fold()

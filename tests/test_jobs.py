@@ -306,7 +306,7 @@ def test_a_job_is_stopped_by_name(spark, tmp_path):
 
     specs = [JobSpec(source="s", keys="k", target=t, config_id=c) for c, t in (("a", "x"), ("b", "y"), ("later", "y"))]
     results = jobs.run_all(spark, specs, run, log, at_once=2, control=control)
-    assert {r.config_id: r.is_success for r in results} == {"a": False, "b": True, "later": False}
+    assert {r.config_id: r.is_success for r in results} == {"a": False, "b": True, "later": False}, [r.error[:300] for r in results]
     assert all("told to stop" in r.error for r in results if not r.is_success)
 
 
