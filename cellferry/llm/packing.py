@@ -17,6 +17,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,14 +73,38 @@ class WordIds:
         self.pieces.update((p, b"".join(map(look, words))) for p, words in zip(usual, split))
         self.pieces.update(zip(odd, self.whole(odd)))
 
-    def encoded(self, batch: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in batch]
-        self.learn(self.pieces.missing(set().union(*split)) if split else set())
-        look = self.pieces.__getitem__
-        out = [b"".join(map(look, p)) for p in split]
-        special = [i for i, t in enumerate(batch) if any(a in t for a in self.added)]
-        for i, ids in zip(special, self.whole([batch[i] for i in special])):
-            out[i] = ids
+    def joined(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and the n + 1 bounds of the texts in them.
+
+        Only the distinct pieces of the column are seen one by one; the others are looked up as a whole.
+        """
+        lists = pc.split_pattern(pc.replace_substring(column, "\n", " "), " ")
+        at = lists.offsets.to_numpy().astype(np.int64)
+        coded = lists.values.slice(at[0], at[-1] - at[0]).dictionary_encode()
+        pieces = coded.dictionary.to_pylist()
+        self.learn(self.pieces.missing(set(pieces)))
+        found = list(map(self.pieces.__getitem__, pieces))
+        table = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter((len(ids) // 4 for ids in found), np.int64, len(found))
+        codes = coded.indices.to_numpy()
+        n = sizes[codes]
+        ends = np.cumsum(n)
+        ids = table[np.repeat((np.cumsum(sizes) - sizes)[codes] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+        return ids, np.append(0, ends)[at - at[0]]
+
+    def encoded(self, column: pa.Array | list[str]) -> list[bytes]:
+        """The ids of each text."""
+        if isinstance(column, list):
+            column = pa.array(column, pa.large_string())
+        ids, bounds = self.joined(column)
+        raw = ids.tobytes()
+        out = [raw[4 * start : 4 * end] for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        special = np.zeros(len(column), bool)
+        for token in self.added:
+            special |= pc.match_substring(column, token).to_numpy(zero_copy_only=False)
+        rest = np.flatnonzero(special)
+        for i, whole in zip(rest.tolist(), self.whole(column.take(pa.array(rest)).to_pylist())):
+            out[i] = whole
         return out
 
 
@@ -92,7 +117,7 @@ def cut_pieces(docs: DataFrame, path: str, length: int, end_id: int, id_col: str
         if path not in encoders:
             encoders[path] = WordIds(path)
         rows: list[tuple[int, int, int, int, int]] = []
-        for i, ids in enumerate(encoders[path].encoded(batch.column("text").to_pylist())):
+        for i, ids in enumerate(encoders[path].encoded(batch.column("text"))):
             ids += tail
             for k, at in enumerate(range(0, len(ids), 4 * length)):
                 part = ids[at : at + 4 * length]
