@@ -33,8 +33,8 @@ _FIELDS = sum(1 << (place + at) for place in _PLACES for at in range(0, SHIFTS,
 _SUMS = sum(_COUNT << at for at in _PLACES)
 _LANE = (1 << 62) - 1
 MASKS = [_LANE] * EXACT + [_SUMS] * WIDE + [_COUNT]
-_UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
-_WORD = rf"(?:[{_UNSPACED}]|[^\s.,;:!?|。，、；：！？{_UNSPACED}]++)"
+UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+_WORD = rf"(?:[{UNSPACED}]|[^\s.,;:!?|。，、；：！？{UNSPACED}]++)"
 RUN = rf"{_WORD}(?:[^\S\n]*{_WORD}){{0,3}}"
 
 

@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed, small_enough
 from .components import components
+from .fingerprints import UNSPACED
 
 SEGMENTS = 8
+VARIABLE = "<*>"
 
 
 def _lines(text: Column) -> Column:
@@ -33,7 +35,15 @@ def _lines(text: Column) -> Column:
 
 
 def _tokens(line: Column) -> Column:
-    return F.transform(F.split(F.trim(line), r"\s+"), lambda t: F.when(t.rlike("[0-9]"), F.lit("<*>")).otherwise(t))
+    """The tokens of a line, those with a digit as a variable field, unless nothing constant would be left.
+
+    In scripts without spaces each character is a token.
+    """
+    spaced = F.regexp_replace(line, f"([{UNSPACED}])", " $1 ")
+    apart = F.when(F.length(line) == F.octet_length(line), line).otherwise(spaced)
+    masked = F.regexp_replace(apart, r"(?<!\S)[^\s0-9]*+[0-9]\S*+", VARIABLE)
+    constant = F.replace(masked, F.lit(VARIABLE), F.lit("")).rlike(r"\S")
+    return F.split(F.trim(F.when(constant, masked).otherwise(apart)), r"\s+")
 
 
 def _segments(tokens: Column) -> Column:
@@ -81,17 +91,16 @@ def recurring_lines(
     documents: int = 3,
     depth: int = 3,
     similar: float = 0.75,
-    least_tokens: int = 3,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """All columns of ``docs`` and ``n_lines``, ``n_dropped``, ``kept_text``.
 
-    Lines end at ``\\n`` only. Lines of fewer than ``least_tokens`` tokens are never dropped. A null
-    text has no lines and a null ``kept_text``; an empty text has one empty line. Copies of one text
-    count once towards ``documents``. Rows without an id come last in order; repeated rows give
-    equal rows. An empty table gives an empty result. Columns of ``docs`` that are called as the
-    three new ones are replaced.
+    Lines end at ``\\n`` only. Blank lines have no tokens, thus no template, and stay. Lines of variable
+    fields alone recur only as they are. A null text has no lines and a null ``kept_text``; an empty
+    text has one empty line. Copies of one text count once towards ``documents``. Rows without an id
+    come last in order; repeated rows give equal rows. An empty table gives an empty result. Columns
+    of ``docs`` that are called as the three new ones are replaced.
     """
     text = F.col(text_col)
     keyed = docs.select(
@@ -100,8 +109,8 @@ def recurring_lines(
     rows = (
         keyed.where("body is not null")
         .select("ord", "tie", F.posexplode(_lines(F.col("body"))).alias("line", "content"))
+        .where(F.col("content").rlike(r"\S"))
         .withColumn("tokens", _tokens(F.col("content")))
-        .where(F.size("tokens") >= least_tokens)
     )
     joined = F.concat_ws(" ", "tokens")
     rows = checkpointed(
@@ -117,11 +126,14 @@ def recurring_lines(
         )
     )
     place = F.struct("ord", "tie", "line")
-    exact = _first(["h1", "h2"], rows, documents)
-    dropped = rows.select("ord", "tie", "line", "h1", "h2").join(exact, ["h1", "h2"]).where(place != F.col("first"))
+    # Few lines are in several texts: only those are put in order.
+    by_line = checkpointed(rows.groupBy("leaf", "h1", "h2").agg(F.min("tie").alias("low"), F.max("tie").alias("high")))
+    shared = small_enough(checkpointed(by_line.where("low <> high").select("h1", "h2")), 32) if documents > 1 else by_line.select("h1", "h2")
+    several = checkpointed(rows.select("ord", "tie", "line", "h1", "h2").join(shared, ["h1", "h2"], "left_semi"))
+    exact = small_enough(checkpointed(_first(["h1", "h2"], several, documents)), 64)
+    dropped = several.join(exact, ["h1", "h2"]).where(place != F.col("first"))
 
     # Leaves with several lines in several texts get general templates.
-    by_line = rows.groupBy("leaf", "h1", "h2").agg(F.min("tie").alias("low"), F.max("tie").alias("high"))
     varied = (
         by_line.groupBy("leaf")
         .agg(F.count("*").alias("there"), F.min("low").alias("low"), F.max("high").alias("high"))
