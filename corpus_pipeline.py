@@ -65,7 +65,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", packed),
 ]
 
-# Regression weights, suffix order and packing have no SQL; tests hold each stage to brute force.
+# Regression weights, suffix order and packing have no SQL.
 ORACLE_SQL = None
 
 
