@@ -13,7 +13,12 @@ likelihood of the words themselves.
 
 Training is data-parallel: in each round every task starts from the same weights, learns from its share
 of the documents of that round (each document belongs to one round), and the weights are averaged by
-the words that each task saw. What is sent grows with the tasks, of which ``trainers`` bounds the number.
+the words that each task saw. As many tasks train as keep what they send together below the bytes of
+the texts: the network grows with the cube root of the corpus, so the tasks grow with the rest. They
+send blocks of one size, which are summed in a tree, ``FAN`` at a time.
+
+The driver and each worker hold one network. It has at most GROWTH * words^(1/3) outcomes of words, 4/3 as
+many in all, and 4 * (4 * WIDTH + WIDTH + 2) bytes or less for each: 24 MB for 80 million words.
 """
 
 from __future__ import annotations
@@ -25,6 +30,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,9 +45,12 @@ BINS = 8  # bins of word counts for each power of two
 FIXED = 1 << 30  # sums of logarithms are whole numbers of this part, so that their order does not matter
 PLACES = (-2, -1, 1, 2)
 WIDTH = 16
-CHUNKS = 64
-LEARN_ROWS, SCORE_ROWS = 16384, 32768
+BLOCK = 1 << 16  # weights sent in one row
+FAN = 64
+WORD_BYTES = 8  # of text for each word, about
+LEARN_ROWS, SCORE_ROWS = 4096, 32768
 SLICE, COUNT_SLICE = 2 << 20, 8 << 20
+SENT = pa.schema({"block": pa.int32(), "task": pa.int32(), "seen": pa.int64(), "moved": pa.binary()})
 
 
 class Network:
@@ -80,49 +89,56 @@ class Network:
         made.member_bias[:] = np.log(share / share.sum(1, keepdims=True))
         return made
 
-    def forward(self, around: np.ndarray, word: np.ndarray, grads: "Network | None" = None) -> np.ndarray:
-        """Log-probabilities of the words; with ``grads``, adds the gradients of their negative mean."""
+    def forward(self, around: np.ndarray, word: np.ndarray, grads: "list | None" = None) -> np.ndarray:
+        """Log-probabilities of the words; with ``grads``, adds the gradients of their negative mean.
+
+        A gradient is the name of a view, an index of it, and the values there; all else has none.
+        """
         order = np.argsort(word // self.side, kind="stable")  # rows of one class lie together
         around, cls, member = around[order], word[order] // self.side, word[order] % self.side
         hidden = self.bias + sum(self.near[p][around[:, p]] for p in range(len(PLACES)))
         np.tanh(hidden, out=hidden)
-        row, share = np.arange(len(word)), 1 / max(1, len(word))
-        over_classes = _softmax(hidden @ self.to_class + self.class_bias)
-        out = np.log(over_classes[row, cls] + 1e-30)
-        if grads:
-            over_classes[row, cls] -= 1
-            over_classes *= share
-            grads.to_class += hidden.T @ over_classes
-            grads.class_bias += over_classes.sum(0)
-            back = over_classes @ self.to_class.T
+        row = np.arange(len(word))
+        out, slope, scale = _log_softmax(hidden @ self.to_class + self.class_bias, row, cls)
+        if grads is not None:
+            grads.append(("to_class", ..., (hidden * scale[:, None]).T @ slope))
+            grads.append(("class_bias", ..., scale @ slope))
+            back = slope @ self.to_class.T * scale[:, None]
         ends = np.searchsorted(cls, np.arange(self.side + 1))
         for c in np.flatnonzero(np.diff(ends)).tolist():
             mine = slice(ends[c], ends[c + 1])
-            near, target, at = hidden[mine], member[mine], row[: ends[c + 1] - ends[c]]
-            within = _softmax(near @ self.to_member[c] + self.member_bias[c])
-            out[mine] += np.log(within[at, target] + 1e-30)
-            if grads:
-                within[at, target] -= 1
-                within *= share
-                grads.to_member[c] += near.T @ within
-                grads.member_bias[c] += within.sum(0)
-                back[mine] += within @ self.to_member[c].T
-        if grads:
+            near = hidden[mine]
+            logs, slope, scale = _log_softmax(near @ self.to_member[c] + self.member_bias[c], row[: len(near)], member[mine])
+            out[mine] += logs
+            if grads is not None:
+                scale *= len(near) / len(word)
+                grads.append(("to_member", c, (near * scale[:, None]).T @ slope))
+                grads.append(("member_bias", c, scale @ slope))
+                back[mine] += slope @ self.to_member[c].T * scale[:, None]
+        if grads is not None and len(word):
             back *= 1 - hidden * hidden
-            grads.bias += back.sum(0)
-            columns = np.ascontiguousarray(back.T)
+            grads.append(("bias", ..., back.sum(0)))
             for p in range(len(PLACES)):
-                place = np.ascontiguousarray(around[:, p])
-                grads.near[p] += np.stack([np.bincount(place, column, self.side**2 + 1) for column in columns], axis=1)
+                by_row = np.argsort(around[:, p], kind="stable")
+                place = around[by_row, p]
+                first = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+                grads.append(("near", (p, place[first]), np.add.reduceat(back[by_row], first, axis=0)))
         unsorted = np.empty_like(out)
         unsorted[order] = out
         return unsorted
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    np.exp(np.minimum(x, 60, out=x), out=x)
-    x /= (x @ np.ones(x.shape[1], x.dtype))[:, None]
-    return x
+def _log_softmax(x: np.ndarray, row: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log-probability of each row's target; the slopes of their negative mean are a row of the second by the third.
+
+    The greatest number of a row is taken off first, so that no exponential overflows and not all vanish.
+    """
+    x -= x.max(axis=1, keepdims=True)
+    out = x[row, target]
+    np.exp(x, out=x)
+    total = x @ np.ones(x.shape[1], x.dtype)
+    x[row, target] -= total
+    return out - np.log(total), x, 1 / (total * max(1, len(row)))
 
 
 @dataclass
@@ -205,53 +221,68 @@ def vocabulary(counted: DataFrame) -> Vocabulary:
     return Vocabulary(hashes[order], order, side, counts)
 
 
-def learn(network: Network, around: np.ndarray, word: np.ndarray, memory: np.ndarray, rate: float) -> None:
-    """Adagrad steps over the words, in a fixed order."""
+def learn(network: Network, around: np.ndarray, word: np.ndarray, memory: Network, rate: float) -> None:
+    """Adagrad steps over the words, in a fixed order. ``memory`` sums the squares of the gradients."""
     order = np.random.default_rng(len(word)).permutation(len(word))
     for start in range(0, len(word), LEARN_ROWS):
-        some = order[start : start + LEARN_ROWS]
-        grads = Network(np.zeros_like(network.flat), network.side)
+        some, grads = order[start : start + LEARN_ROWS], []
         network.forward(around[some], word[some], grads)
-        memory += grads.flat * grads.flat
-        network.flat -= rate * grads.flat / (np.sqrt(memory) + 1e-6)
+        for name, at, slope in grads:
+            squares = getattr(memory, name)
+            squares[at] += slope * slope
+            getattr(network, name)[at] -= rate * slope / (np.sqrt(squares[at]) + 1e-6)
+
+
+def averaged(moved: DataFrame, tasks: int) -> DataFrame:
+    """``block``, ``seen`` and ``moved``: weights times words, summed over the tasks 0 to ``tasks`` - 1, in a tree."""
+
+    def added(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("task")  # so that sums are alike in each run
+        total = sum(np.frombuffer(m, np.float32).astype(np.float64) for m in frame["moved"])
+        first = frame.iloc[:1]
+        return first.assign(task=first["task"] // FAN, seen=frame["seen"].sum(), moved=[total.astype(np.float32).tobytes()])
+
+    while True:
+        moved = moved.groupBy("block", F.floor(F.col("task") / FAN)).applyInPandas(added, "block int, task int, seen long, moved binary")
+        tasks = -(-tasks // FAN)
+        if tasks <= 1:
+            return moved
 
 
-def train(docs: DataFrame, rounds: int = 1, rate: float = 0.2, trainers: int = 1024) -> tuple[Network, Vocabulary, DataFrame]:
+def train(docs: DataFrame, rounds: int = 2, rate: float = 0.1) -> tuple[Network, Vocabulary, DataFrame]:
     """The network after ``rounds`` rounds over disjoint shares of all documents, the vocabulary, and the word counts."""
     context = docs.sparkSession.sparkContext
     counted = count_words(docs)
     known = vocabulary(counted)
     network = Network.fresh(known.counts)
+    tasks = max(context.defaultParallelism, int(known.counts.sum()) * WORD_BYTES // network.flat.nbytes)
     for k in range(rounds):
         shared = context.broadcast((network.flat, known))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             start, known = shared.value
-            own, memory, seen = Network(start.copy(), known.side), np.full(len(start), 1e-8, np.float32), 0
+            own, memory, seen = Network(start.copy(), known.side), Network(np.full(len(start), 1e-8, np.float32), known.side), 0
             for part in sliced(batches, SLICE):
                 around, word = windows(words_of(part), known)
                 learn(own, around, word, memory, rate)
                 seen += len(word)
             if seen:
-                pieces = np.array_split((own.flat - start) * np.float32(seen), CHUNKS)
-                arrays = [pa.array(range(CHUNKS), pa.int32()), pa.array([seen] * CHUNKS, pa.int64())]
-                yield pa.RecordBatch.from_arrays([*arrays, pa.array([p.tobytes() for p in pieces], pa.binary())], ["chunk", "seen", "moved"])
-
-        def averaged(frame: pd.DataFrame) -> pd.DataFrame:
-            frame = frame.sort_values(["seen", "moved"])
-            total = sum(np.frombuffer(m, np.float32).astype(np.float64) for m in frame["moved"])
-            mean = (total / frame["seen"].sum()).astype(np.float32)
-            return pd.DataFrame({"chunk": frame["chunk"].iloc[:1], "moved": [mean.tobytes()]})
-
-        share = docs.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == k).select("text").coalesce(trainers)
-        moved = share.mapInArrow(run, "chunk int, seen long, moved binary").groupBy("chunk").applyInPandas(averaged, "chunk int, moved binary")
-        pieces = {r["chunk"]: np.frombuffer(r["moved"], np.float32) for r in moved.collect()}  # the size of one network
-        if pieces:
-            network = Network(network.flat + np.concatenate([pieces[c] for c in range(CHUNKS)]), known.side)
+                task = TaskContext.get().partitionId()
+                for block, at in enumerate(range(0, len(start), BLOCK)):
+                    piece = (own.flat[at : at + BLOCK] - start[at : at + BLOCK]) * np.float32(seen)
+                    row = {"block": block, "task": task, "seen": seen, "moved": piece.tobytes()}
+                    yield pa.RecordBatch.from_pylist([row], SENT)
+
+        share = docs.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == k).select("text").coalesce(tasks)
+        sent = share.mapInArrow(run, "block int, task int, seen long, moved binary")
+        for r in averaged(sent, tasks).toLocalIterator():  # one block at a time, together one network
+            at = r["block"] * BLOCK
+            network.flat[at : at + BLOCK] += np.frombuffer(r["moved"], np.float32) / np.float32(r["seen"])
+        shared.unpersist()
     return network, known, counted
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 1, rate: float = 0.2, trainers: int = 1024) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 2, rate: float = 0.1) -> DataFrame:
     """Per row: ``id_col``, ``n_words``, ``log_likelihood`` (summed) and ``mean_log_likelihood``.
 
     The network learns from all of ``docs``. A null text, or one without words, has 0 words, a sum
@@ -259,7 +290,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
     empty result, other columns are not read.
     """
     source = texts(docs, id_col, text_col)
-    network, known, counted = train(source, rounds, rate, trainers)
+    network, known, counted = train(source, rounds, rate)
     shared = docs.sparkSession.sparkContext.broadcast((network.flat, known))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:

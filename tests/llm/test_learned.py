@@ -1,5 +1,6 @@
 """Language ID by held-out accuracy, pseudo-likelihood by what it prefers, and the pipeline."""
 
+import math
 import random
 from collections import Counter
 
@@ -80,8 +81,10 @@ def test_gradients_agree_with_differences():
     network = scoring.Network.fresh(rng.random(scoring.OUTCOMES) * 9)
     network = scoring.Network(network.flat.astype(np.float64))
     around, word = rng.integers(0, scoring.OUTCOMES + 1, (40, 4)), rng.integers(0, scoring.OUTCOMES, 40)
-    grads = scoring.Network(np.zeros(scoring.Network.size()))
-    network.forward(around, word, grads)
+    grads, parts = scoring.Network(np.zeros(scoring.Network.size())), []
+    network.forward(around, word, parts)
+    for name, at, slope in parts:
+        getattr(grads, name)[at] += slope
     for at in [*np.flatnonzero(grads.flat)[:: len(np.flatnonzero(grads.flat)) // 25]]:
         told = []
         for step in (1e-5, -1e-5):
@@ -91,6 +94,64 @@ def test_gradients_agree_with_differences():
         assert np.isclose((told[0] - told[1]) / 2e-5, grads.flat[at], rtol=1e-3, atol=1e-7)
 
 
+def _plain_log_probability(network, around, word):
+    """The same in plain Python, without a shift and word by word."""
+    hidden = []
+    for k in range(scoring.WIDTH):
+        hidden.append(math.tanh(network.bias[k] + sum(network.near[p][a][k] for p, a in enumerate(around))))
+
+    def chosen(matrix, bias, target):
+        logits = [bias[j] + sum(h * matrix[k][j] for k, h in enumerate(hidden)) for j in range(network.side)]
+        return logits[target] - math.log(math.fsum(map(math.exp, logits)))
+
+    c, m = divmod(int(word), network.side)
+    return chosen(network.to_class, network.class_bias, c) + chosen(network.to_member[c], network.member_bias[c], m)
+
+
+def test_log_probabilities_agree_with_plain_python():
+    rng, side = np.random.default_rng(8), 3
+    network = scoring.Network(rng.normal(0, 2, scoring.Network.size(side)), side)
+    around, word = rng.integers(0, side * side + 1, (30, 4)), rng.integers(0, side * side, 30)
+    told = [_plain_log_probability(network, a, w) for a, w in zip(around, word)]
+    assert np.allclose(network.forward(around, word), told, atol=1e-9)
+    every = np.array([network.forward(around, np.full(30, w)) for w in range(side * side)])
+    assert np.allclose(np.exp(every).sum(0), 1)
+
+
+def test_very_low_and_high_logits_keep_their_probabilities():
+    network = scoring.Network(np.zeros(scoring.Network.size(2), np.float32), 2)
+    network.class_bias[:] = [-5000, -5003]
+    network.member_bias[:] = [[4000, 4000], [0, -900]]
+    told = network.forward(np.full((4, 4), 4), np.arange(4))
+    first = -math.log1p(math.exp(-3))
+    assert np.allclose(told, [first - math.log(2)] * 2 + [first - 3, first - 903], rtol=1e-5)
+
+
+def test_a_step_moves_what_a_dense_step_moves():
+    rng, side = np.random.default_rng(4), 5
+    start = rng.normal(0, 0.5, scoring.Network.size(side))
+    around, word = rng.integers(0, side * side + 1, (50, 4)), rng.integers(0, side * side, 50)
+    sparse, memory = scoring.Network(start.copy(), side), scoring.Network(np.full(len(start), 1e-8), side)
+    scoring.learn(sparse, around, word, memory, 0.2)
+    dense, parts = scoring.Network(np.zeros(len(start)), side), []
+    scoring.Network(start.copy(), side).forward(around, word, parts)
+    for name, at, slope in parts:
+        getattr(dense, name)[at] += slope
+    moved = start - 0.2 * dense.flat / (np.sqrt(1e-8 + dense.flat**2) + 1e-6)
+    assert np.allclose(sparse.flat, moved)
+
+
+def test_weights_are_averaged_by_words_in_a_tree(spark):
+    rng, tasks = np.random.default_rng(6), 2 * scoring.FAN + 9
+    moved, seen = rng.normal(size=(tasks, 2, 7)).astype(np.float32), rng.integers(1, 90, tasks)
+    sent = [(b, t, int(seen[t]), (moved[t, b] * np.float32(seen[t])).tobytes()) for t in range(tasks) if t != 3 for b in range(2)]
+    df = spark.createDataFrame(sent, "block int, task int, seen long, moved binary").repartition(5)
+    some = np.arange(tasks) != 3  # a task without words sends nothing
+    mean = (moved[some] * seen[some, None, None]).sum(0) / seen[some].sum()
+    found = {r["block"]: np.frombuffer(r["moved"], np.float32) / r["seen"] for r in scoring.averaged(df, tasks).collect()}
+    assert sorted(found) == [0, 1] and all(np.allclose(found[b], mean[b], atol=1e-5) for b in found)
+
+
 def test_words_that_share_an_outcome_have_their_own_likelihood(spark):
     once = [(i, " ".join(f"w{i}x{k}" for k in range(200))) for i in range(100)]
     rows = scoring.score(spark.createDataFrame(once, "doc_id long, text string").repartition(2)).collect()
