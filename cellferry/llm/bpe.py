@@ -25,7 +25,7 @@ LONG = 400
 GENERATION = 300_000
 WORDS_AT_ONCE = 50_000
 # The recursion keeps a row for every token of every round: about half the square of a word's bytes.
-SQUARES_AT_ONCE = 4_000_000
+SQUARES_AT_ONCE = 1_000_000
 
 ENCODE_SQL = """
 WITH RECURSIVE state(round, word, pos, tok, nxt, after) AS (
@@ -174,7 +174,9 @@ class WordEncoder:
                 self.words[word] = self.contracted(raw)
             else:
                 short[word] = raw
-        self.words.update(zip(short, self.queried(list(short.values()))))
+        # Words of one length take about as many rounds, so few rounds are left to a last long word.
+        ordered = sorted(short, key=lambda word: len(short[word]))
+        self.words.update(zip(ordered, self.queried([short[word] for word in ordered])))
 
     def joined(self, split: list[list[str]]) -> list[tuple[int, bytes, bytes]]:
         """What each list of words gives together."""
