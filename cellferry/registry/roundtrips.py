@@ -11,7 +11,7 @@ from ..operators.layout import sample_keys_by_hash
 from ..operators.windows import CursorWindow, in_window
 from ..plans.jobs import distinct_identifiers, run_distinct
 from ..sinks.files import append_rows, write_sorted_cells, write_sorted_records
-from ..sinks.keyed import KeyedTable, buckets_for
+from ..sinks.keyed import KeyedTable, buckets_for, buckets_for_batch
 from ..sinks.ranged import RangedTable
 from ..sources.tables import ROW_KEY
 from . import query, table
@@ -22,8 +22,9 @@ def _fresh(spark: SparkSession) -> str:
     return f"{spark.conf.get('spark.sql.warehouse.dir')}/written_{uuid.uuid4().hex}"
 
 
-def _table(spark: SparkSession, buckets: int = 4) -> KeyedTable:
-    return KeyedTable(spark, f"written_{uuid.uuid4().hex}", buckets)
+def _table(spark: SparkSession, records: DataFrame, buckets: int = 4) -> KeyedTable:
+    """A table of so many buckets, or of more where the records to come are large."""
+    return KeyedTable(spark, f"written_{uuid.uuid4().hex}", max(buckets, buckets_for_batch(records)))
 
 
 @query(f"SELECT row_key, 'cf1' AS family, qualifier, value FROM ({_unpivot(_ORDER_SQL, _QUALIFIERS)})")
@@ -46,7 +47,7 @@ def sorted_records_written(spark: SparkSession, sf: str) -> DataFrame:
         FROM ({_ORDER_SQL}) o LEFT JOIN ({_LATER_SQL}) l ON o.row_key = l.row_key"""
 )
 def keyed_table_two_batches(spark: SparkSession, sf: str) -> DataFrame:
-    target = _table(spark, buckets_for(4 << 30))
+    target = _table(spark, _records(spark, sf), buckets_for(4 << 30))
     target.put(_records(spark, sf), 1, load=True)
     target.put(_later(spark, sf), 2)
     return target.records()
@@ -58,7 +59,7 @@ def keyed_table_two_batches(spark: SparkSession, sf: str) -> DataFrame:
 )
 def keyed_table_created_and_widened(spark: SparkSession, sf: str) -> DataFrame:
     """Created with one qualifier; the second batch brings another, and the result is compacted."""
-    target = _table(spark)
+    target = _table(spark, _records(spark, sf))
     target.create(["o_orderpriority"])
     target.put(_records(spark, sf).select(ROW_KEY, "o_orderpriority"), 1)
     target.put(_records(spark, sf).select(ROW_KEY, "o_orderstatus"), 2)
@@ -76,7 +77,7 @@ _BOTH_SQL = f"""SELECT o.row_key, o.o_custkey, o.o_orderdate, o.o_orderkey,
 @query(f"SELECT *, upper(o_orderpriority) AS loud FROM ({_BOTH_SQL})")
 def keyed_table_compacted_in_place(spark: SparkSession, sf: str) -> DataFrame:
     """Three batches, a compaction to which readers switch, and a batch after it."""
-    target = _table(spark)
+    target = _table(spark, _records(spark, sf))
     target.put(_records(spark, sf), load=True)
     target.put(_records(spark, sf).select(ROW_KEY, F.lit("old").alias("loud")))
     target.put(_later(spark, sf))

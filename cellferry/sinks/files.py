@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.cells import FAMILY, to_cells
@@ -16,6 +16,12 @@ from ..sources.tables import ROW_KEY
 ROWS_PER_FILE = 20_000_000
 
 
+def record_bytes(df: DataFrame) -> Column:
+    """Bytes of a record's texts, and one for each of its cells."""
+    sizes = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + F.lit(1) for c in df.columns]
+    return sum(sizes[1:], sizes[0]).cast("bigint")
+
+
 @dataclass(frozen=True)
 class Written:
     """What a write job saw: rows, and the greatest cursor where one was named."""

@@ -26,12 +26,14 @@ from ..operators.cells import FAMILY
 from ..operators.upsert import BATCH, newest_records, refuse_reserved
 from ..sources.tables import ROW_KEY
 from ..store import ABANDONED, DONE, CommitLog
-from .files import Written, observed, result_of
+from .files import Written, observed, record_bytes, result_of
 
 # Fixed value: width of the per-key step when none is given.
 BUCKETS = 500
 # a read takes one task per bucket
 BYTES_PER_BUCKET = 1 << 30
+# where a first batch is at hand; a compaction sorts all versions of a bucket in one task, in about ten times these bytes
+BATCH_BYTES_PER_BUCKET = 1 << 25
 # a read merges the versions in a bucket; beyond so many files it pays to write them as one
 FILES_BEFORE_COMPACTION = 50
 
@@ -43,6 +45,12 @@ def buckets_for(table_bytes: int) -> int:
     return max(1, -(-table_bytes // BYTES_PER_BUCKET))
 
 
+def buckets_for_batch(records: DataFrame) -> int:
+    """Number of buckets for a table whose batches are about as large as this one; the records are read to be sized."""
+    total = records.agg(F.sum(record_bytes(records))).first()[0] or 0
+    return max(1, -(-total // BATCH_BYTES_PER_BUCKET))
+
+
 class KeyedTable:
     """One row per key and batch: ``row_key``, one text column per qualifier, the batch's number.
 

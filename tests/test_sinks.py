@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from cellferry.operators.cells import to_cells
 from cellferry.operators.keys import with_row_key
 from cellferry.sinks import files, relational
+from cellferry.sinks import keyed
 from cellferry.sinks.keyed import KeyedTable, buckets_for
 from cellferry.sources import relational as relational_source
 from cellferry.sources.tables import key_range
@@ -215,3 +216,26 @@ def test_a_table_from_before_the_log_goes_on(spark):
     assert rows_of(table)["a"]["x"] == "1"
     table.put(put_rows(spark, [("a", "2")]))
     assert table.last_batch() == 1_700_000_000_000_001 and rows_of(table)["a"]["x"] == "2"
+
+
+def test_buckets_follow_the_first_batch(spark, small, monkeypatch):
+    """A bucket is compacted in one task, so larger batches get more buckets, not larger ones."""
+    from cellferry.registry import roundtrips
+
+    records = spark.range(1000).selectExpr("cast(id as string) as row_key", "repeat('x', 100) as a")
+    assert keyed.buckets_for_batch(records) == 1
+    monkeypatch.setattr(keyed, "BATCH_BYTES_PER_BUCKET", 1 << 12)
+    few, many = keyed.buckets_for_batch(records.limit(100)), keyed.buckets_for_batch(records)
+    assert 2 <= few < many and many == 26
+    assert keyed.buckets_for_batch(records.limit(0)) == 1
+
+    made = []
+
+    class Seen(KeyedTable):
+        def __init__(self, *args, **settings):
+            super().__init__(*args, **settings)
+            made.append(self.buckets)
+
+    monkeypatch.setattr(roundtrips, "KeyedTable", Seen)
+    roundtrips.keyed_table_created_and_widened(spark, small)
+    assert made[0] > 4
