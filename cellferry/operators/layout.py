@@ -74,14 +74,16 @@ def range_number(key: Column, splits: Sequence[str]) -> Column:
     widths = [1]
     while widths[-1] * _FANOUT < len(points):
         widths.append(widths[-1] * _FANOUT)
-    found = F.lit(0)
-    for width in reversed(widths):
+    steps = F.from_json(F.lit(json.dumps([points[::width] for width in reversed(widths)])), "array<array<string>>")
+
+    def step(found: Column, heads: Column) -> Column:
         # of every width-th point, those in the stretch found so far; found counts points of the step before
-        heads = F.from_json(F.lit(json.dumps(points[::width])), "array<string>")
         begin = F.greatest((found - 1) * _FANOUT, F.lit(0))
         hits = F.size(F.filter(F.slice(heads, begin + 1, F.lit(_FANOUT)), lambda p: p <= key))
-        found = begin + hits if width == widths[-1] else F.when(found == 0, F.lit(0)).otherwise(begin + hits)
-    return found
+        return F.when(found == 0, F.lit(0)).otherwise(begin + hits)
+
+    # the state of a fold is worked out once a step, however often a step names it; the first step has one stretch
+    return F.aggregate(steps, F.lit(1), step)
 
 
 def bucket_report(df: DataFrame, splits: Sequence[str], key: str = ROW_KEY) -> DataFrame:

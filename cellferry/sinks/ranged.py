@@ -16,15 +16,15 @@ import math
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.layout import range_number, sorted_layout, weighted_split_points
+from ..operators.layout import range_number, weighted_split_points
 from ..operators.upsert import BATCH, newest_records, refuse_reserved
 from ..sources.tables import ROW_KEY
 from ..store import CommitLog
-from .files import ROWS_PER_FILE, Written, observed, result_of
+from .files import ROWS_PER_FILE, Written, observed, record_bytes, result_of
 
 # Fixed value: bytes that a range may hold before it is cut.
 RANGE_BYTES = 10 * (1 << 30)
@@ -35,12 +35,6 @@ MANIFESTS_BEFORE_FOLD = 20
 MANIFEST = f"file string, {RANGE} int, first_key string, last_key string, rows bigint, bytes bigint"
 
 
-def record_bytes(df: DataFrame) -> Column:
-    """Bytes of a record's texts, and one for each of its cells."""
-    sizes = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + F.lit(1) for c in df.columns]
-    return sum(sizes[1:], sizes[0]).cast("bigint")
-
-
 class RangedTable:
     """Versions of keyed records in a folder: ``row_key``, text columns, the batch's number.
 
@@ -155,8 +149,9 @@ class RangedTable:
         """Rows to the files of their ranges. Tasks take stretches of keys of equal size, so a range
         that many rows fall into is written by several tasks, and several small ones by one."""
         folder = f"{self.path}/data/{uuid.uuid4().hex}"
-        ranged = rows.withColumn(RANGE, range_number(F.col(ROW_KEY), splits))
-        placed, seen = observed(sorted_layout(ranged, order=(RANGE, ROW_KEY)), cursor)
+        # A greater key never lies in a lower range, so rows are dealt by key alone and searched once, where they land.
+        ranged = rows.repartitionByRange(ROW_KEY).withColumn(RANGE, range_number(F.col(ROW_KEY), splits))
+        placed, seen = observed(ranged.sortWithinPartitions(RANGE, ROW_KEY), cursor)
         wide = placed.drop(cursor) if cursor else placed
         wide.write.partitionBy(RANGE).option("maxRecordsPerFile", ROWS_PER_FILE).parquet(folder)
         return folder, result_of(seen)

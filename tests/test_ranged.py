@@ -7,6 +7,8 @@ from plans_of import plan_of
 from pyspark.sql import functions as F
 
 from cellferry.operators.layout import range_number, weighted_split_points
+from cellferry.sinks import ranged
+from cellferry.sinks.files import observed
 from cellferry.sinks.ranged import RANGE, RangedTable
 
 
@@ -123,3 +125,23 @@ def test_a_batch_beside_another_writer(spark, tmp_path, monkeypatch):
     table.put(made(spark, "ab", "3"))
     # the other one took its number while this one was writing
     assert {k: v["x"] for k, v in rows_of(other.records()).items()} == {"a": "3a", "b": "2b", "c": "1c", "d": "2d"}
+
+
+def test_search_names_its_points_once(spark):
+    """However many steps a search takes, its expression grows with the points only, and keys are found as before."""
+    points = [f"{i:05d}" for i in range(0, 20_000, 4)]
+    found = range_number(F.col("k"), points)
+    assert str(found).count("from_json") == 1
+    keys = spark.createDataFrame([(k,) for k in ("", "00000", "00003", "00004", "09999", "19996", "2", None)], "k string")
+    assert [r[0] for r in keys.select(found).collect()] == [0, 1, 1, 2, 2500, 5000, 5000, 0]
+
+
+def test_keys_are_searched_after_they_are_dealt(spark, tmp_path, monkeypatch):
+    """Dealing rows to tasks needs their keys alone: no search before the shuffle, which would run again to draw its bounds."""
+    dealt = []
+    monkeypatch.setattr(ranged, "range_number", lambda key, splits: dealt.append(splits) or F.length(F.lit("ab")))
+    plans = []
+    monkeypatch.setattr(ranged, "observed", lambda df, cursor: plans.append(df) or observed(df, cursor))
+    RangedTable(spark, str(tmp_path / "t")).put(spark.range(10).selectExpr("cast(id as string) as row_key", "'x' as a"))
+    plan = plans[0]._jdf.queryExecution().analyzed().toString()
+    assert len(dealt) == 1 and plan.index("length(ab)") < plan.index("RepartitionByExpression")
