@@ -34,16 +34,21 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def _tokens(line: Column) -> Column:
-    """The tokens of a line, those with a digit as a variable field, unless nothing constant would be left.
+def _apart(line: Column) -> Column:
+    """The line with blanks around every character of a script without spaces.
 
-    In scripts without spaces each character is a token.
+    All such scripts lie above U+0E00: of other characters, no script is looked up.
     """
-    spaced = F.regexp_replace(line, f"([{UNSPACED}])", " $1 ")
-    apart = F.when(F.length(line) == F.octet_length(line), line).otherwise(spaced)
+    spaced = F.regexp_replace(line, rf"([\x{{0E00}}-\x{{10FFFF}}&&[{UNSPACED}]])", " $1 ")
+    return F.when(F.length(line) == F.octet_length(line), line).otherwise(spaced)
+
+
+def _tokens(apart: Column) -> Column:
+    """The tokens of such a line, those with a digit as a variable field, unless nothing constant would be left."""
     masked = F.regexp_replace(apart, r"(?<!\S)[^\s0-9]*+[0-9]\S*+", VARIABLE)
-    constant = F.replace(masked, F.lit(VARIABLE), F.lit("")).rlike(r"\S")
-    return F.split(F.trim(F.when(constant, masked).otherwise(apart)), r"\s+")
+    # a token without a digit that is more than fields written out
+    constant = apart.rlike(r"(?<!\S)(?!(?:<\*>)++(?!\S))[^\s0-9]++(?!\S)")
+    return F.split(F.trim(F.when(apart.rlike("[0-9]") & constant, masked).otherwise(apart)), r"\s+")
 
 
 def _segments(tokens: Column) -> Column:
@@ -110,7 +115,8 @@ def recurring_lines(
         keyed.where("body is not null")
         .select("ord", "tie", F.posexplode(_lines(F.col("body"))).alias("line", "content"))
         .where(F.col("content").rlike(r"\S"))
-        .withColumn("tokens", _tokens(F.col("content")))
+        .withColumn("apart", _apart(F.col("content")))
+        .withColumn("tokens", _tokens(F.col("apart")))
     )
     joined = F.concat_ws(" ", "tokens")
     rows = checkpointed(

@@ -428,3 +428,19 @@ def test_fingerprints_do_not_mind_order_and_can_be_changed(spark):
         print_(F.col("d")).alias("w"),
     ).first()
     assert row.t == row.u == row.inserted and row.deleted == row.w != row.t
+
+
+def test_template_tokens(spark):
+    """Fields, lines of fields alone, fields written out, and scripts without spaces, against plain Python."""
+    unspaced = re.compile("([฀-໿က-႟ក-៿ぁ-ゖァ-ヺ一-鿿\U00020000-\U0002a6df])")
+
+    def wanted(line):
+        apart = unspaced.sub(r" \1 ", line)
+        tokens = [t for t in re.split(r"[ \t\n\x0b\f\r]+", apart) if t]
+        masked = [templates.VARIABLE if re.search("[0-9]", t) else t for t in tokens]
+        return masked if any(t.replace("<*>", "") for t in masked) else tokens
+
+    lines = ["a1 b2", "a 1 b", "12 x", "9", "9 <*>", "<*> <*>", "<*><*> 12", "<<*>*> 7", "<*><*>x 12", "a1 <*> b2", "漢字12", "漢 12", "カタ 1",
+             "ไทย 5 abc", "é1 é", "привет 3", "1\x0b2 x", "𠀀1", "x　y 2"]
+    made = spark.createDataFrame([(s,) for s in lines], "c string").withColumn("a", templates._apart(F.col("c"))).select("c", templates._tokens(F.col("a")))
+    assert dict(map(tuple, made.collect())) == {s: wanted(s) for s in lines}
