@@ -6,8 +6,10 @@ as long as they reach. Equal strings have equal triggers at equal offsets, so th
 into phrases and the dictionary of distinct phrases hold every comparison that is needed:
 
 1. An occurrence of a phrase that is not its first one repeats all its strings.
-2. A phrase whose trigger occurs in no other phrase repeats nothing.
-3. The other phrases share some strings with another phrase. Their suffixes of ``length`` bytes are
+2. A string reaches far from its trigger to one side at least: half of what is not trigger lies there.
+   So of two phrases that share a string, the bytes from the trigger so far to the left, or so far to
+   the right, are equal. A phrase that has them in common with no other phrase repeats nothing.
+3. The other phrases may share strings with another phrase. Their suffixes of ``length`` bytes are
    brought into order (a suffix array of that part of the dictionary, by bytes, for each slice of
    text), equal neighbours are one string, and one row for each goes on to find the first
    occurrence over all slices.
@@ -76,10 +78,10 @@ def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def parse(flat: np.ndarray, bounds: np.ndarray, length: int):
-    """Phrases of the texts: document, first and last start of its strings, trigger hash, content hash."""
+    """Phrases of the texts: document, first and last start of its strings, trigger hash, content hash, sides."""
     none = np.zeros(0, np.int64)
     if len(flat) < length:
-        return none, none, none, none.astype(np.uint64), none.astype(np.uint64), None
+        return none, none, none, none.astype(np.uint64), none.astype(np.uint64), none.astype(np.int32)
     rolling = Rolling(flat)
     at = np.arange(len(flat) - GRAM + 1)
     grams = rolling.ranges(at, at + GRAM)
@@ -91,9 +93,21 @@ def parse(flat: np.ndarray, bounds: np.ndarray, length: int):
     new = np.append(True, (trigger[1:] != trigger[:-1]) | (doc[1:] != doc[:-1]))[: len(starts)]
     first = np.flatnonzero(new)
     low, high = starts[first], starts[np.append(first[1:], len(starts)) - 1] if len(first) else none
-    key = grams[trigger[first]]
-    place = mix(((trigger[first] - low) << 32 | (high - low)).astype(np.uint64))
-    return doc[first], low, high, key, mix(rolling.ranges(low, high + length) + place), rolling
+    at = trigger[first]
+    place = mix(((at - low) << 32 | (high - low)).astype(np.uint64))
+    return doc[first], low, high, grams[at], mix(rolling.ranges(low, high + length) + place), sides(rolling, at, low, high + length, length)
+
+
+def sides(rolling: Rolling, at: np.ndarray, low: np.ndarray, end: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of 15 bits of what lies left and right of the triggers, as ``left << 16 | right``; 0 where a phrase does not reach so far."""
+    far = (length - GRAM + 1) // 2
+
+    def hashed(start: np.ndarray, stop: np.ndarray, there: np.ndarray) -> np.ndarray:
+        found = rolling.ranges(np.where(there, start, at), np.where(there, stop, at)) % np.uint64((1 << 15) - 1)
+        return np.where(there, found.astype(np.int64) + 1, 0)
+
+    left, right = hashed(at - far, at + GRAM, at - far >= low), hashed(at, at + GRAM + far, at + GRAM + far <= end)
+    return (left << 16 | right).astype(np.int32)
 
 
 def signed(x: np.ndarray) -> pa.Array:
@@ -151,8 +165,8 @@ def _blobs(ids: np.ndarray, ties: np.ndarray, doc: np.ndarray, low: np.ndarray,
 ROWS = "place long, ctx long, spot long, ord long, tie int, ranges binary"
 
 
-def _rows(place, ctx, ords, ties, spot, blobs: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-    """Candidate rows, then rows that only carry ranges of one document."""
+def _rows(place, ctx, ords, ties, spot, blobs: list[tuple[int, int, bytes]], near: np.ndarray | None = None) -> pa.RecordBatch:
+    """Candidate rows, then rows that only carry ranges of one document; ``near`` is a column more."""
     n, names = len(blobs), ["place", "ctx", "spot", "ord", "tie", "ranges"]
     one = [signed(place), signed(ctx), pa.array(spot), pa.array(ords), pa.array(ties), pa.nulls(len(place), pa.binary())]
     own = np.array([b[0] for b in blobs], np.int64)
@@ -165,6 +179,8 @@ def _rows(place, ctx, ords, ties, spot, blobs: list[tuple[int, int, bytes]]) ->
         pa.array(np.array([b[1] for b in blobs], np.int32)),
         pa.array([b[2] for b in blobs], pa.binary()),
     ]
+    if near is not None:
+        names, one, two = [*names, "near"], [*one, pa.array(near)], [*two, pa.array(np.zeros(n, np.int32))]
     return pa.RecordBatch.from_arrays([pa.concat_arrays([x, y]) for x, y in zip(one, two)], names)
 
 
@@ -199,7 +215,7 @@ def phrases(docs: DataFrame, length: int) -> DataFrame:
                 seen.add(raw)
                 kept.append(i)
         flat, bounds, ids, ties = _columns(batch.take(pa.array(kept, pa.int64())))
-        doc, low, high, key, ctx, _ = parse(flat, bounds, length)
+        doc, low, high, key, ctx, near = parse(flat, bounds, length)
         if not len(doc):
             return None
         first = _first_of([key, ctx], doc, ids, ties, low)
@@ -207,9 +223,15 @@ def phrases(docs: DataFrame, length: int) -> DataFrame:
         begin = bounds[doc]
         blobs = _blobs(ids, ties, doc[again], (low - begin)[again], (high - begin)[again] + length)
         spot = ((low - begin) << 8 | (high - low))[first]
-        return _rows(key[first], ctx[first], ids[doc[first]], ties[doc[first]], spot, blobs)
+        return _rows(key[first], ctx[first], ids[doc[first]], ties[doc[first]], spot, blobs, near[first])
 
-    return in_arrow(docs, work, ROWS, SLICE)
+    return in_arrow(docs, work, ROWS + ", near int", SLICE)
+
+
+def _others(side: Column) -> Column:
+    """Whether another phrase of the trigger has the same bytes on that side."""
+    by_side = Window.partitionBy("place", side)
+    return (side > 0) & (F.min("ctx").over(by_side) != F.max("ctx").over(by_side))
 
 
 def strings(docs: DataFrame, length: int) -> DataFrame:
@@ -291,13 +313,14 @@ def without_repeats(
     if not GRAM < length < 256 + GRAM:
         raise ValueError(f"length must lie between {GRAM} and {256 + GRAM}")
     source = _keyed(docs, id_col, text_col, carry or ())
-    by_key, spot = Window.partitionBy("place"), F.struct("ord", "tie", "spot")  # a repeated row has the same spots
+    spot = F.struct("ord", "tie", "spot")  # a repeated row has the same spots
     by_phrase = Window.partitionBy("place", "ctx").orderBy("ord", "tie", "spot")
     found = checkpointed(
         phrases(source.where(F.octet_length("text") >= length).select("ord", "tie", "text"), length)
         .repartition("place")
-        .withColumns({"first": F.first(spot).over(by_phrase), "low": F.min("ctx").over(by_key), "high": F.max("ctx").over(by_key)})
-        .select("ord", "tie", "spot", "ranges", (F.col("first") != spot).alias("dup"), (F.col("low") != F.col("high")).alias("open"))
+        .withColumns({"left": F.shiftright("near", 16), "right": F.col("near").bitwiseAND(0xFFFF)})
+        .withColumns({"first": F.first(spot).over(by_phrase), "open": _others(F.col("left")) | _others(F.col("right"))})
+        .select("ord", "tie", "spot", "ranges", (F.col("first") != spot).alias("dup"), "open")
         .where("dup or open or ranges is not null")
     )
     spots = found.where("open and not dup and ranges is null").groupBy("ord", "tie").agg(F.collect_list("spot").alias("spots"))

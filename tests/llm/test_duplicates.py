@@ -444,3 +444,49 @@ def test_template_tokens(spark):
              "ไทย 5 abc", "é1 é", "привет 3", "1\x0b2 x", "𠀀1", "x　y 2"]
     made = spark.createDataFrame([(s,) for s in lines], "c string").withColumn("a", templates._apart(F.col("c"))).select("c", templates._tokens(F.col("a")))
     assert dict(map(tuple, made.collect())) == {s: wanted(s) for s in lines}
+
+
+def test_phrases_of_one_trigger_are_opened_by_their_sides(spark):
+    """Two texts with 60 bytes in common hold no common string: their strings are not looked at, as they were before."""
+    rng = np.random.default_rng(5)
+    alphabet = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz", np.uint8)
+
+    def noise(n):
+        return bytes(rng.choice(alphabet, n)).decode()
+
+    opened = []
+    strings = repeats.strings
+    for common, removed in ((60, 0), (99, 0), (100, 100), (101, 101), (130, 130)):
+        middle = noise(common)
+        texts = [(i, noise(70) + f"{i}" + middle + f"{i}" + noise(70)) for i in range(2)]
+        df = spark.createDataFrame(texts, "doc_id long, text string").repartition(2)
+        found = {r.doc_id: r.n_removed for r in repeats.without_repeats(df, length=100).collect()}
+        assert found == {0: 0, 1: removed}
+        try:
+            repeats.strings = lambda docs, length: opened.append((common, docs.count())) or strings(docs, length)
+            repeats.without_repeats(df, length=100).collect()
+        finally:
+            repeats.strings = strings
+    assert dict(opened)[60] == 0 and dict(opened)[100] == 2
+
+
+@pytest.mark.parametrize("length", [100, 101, 34, 33])
+def test_sides_meet_wherever_strings_are_equal(length):
+    """Of phrases that share a string, one side is equal; a side out of reach is 0."""
+    rng = np.random.default_rng(length)
+    one, two = (rng.integers(97, 123, 600).astype(np.uint8) for _ in range(2))
+    for size in (length, length + 1, 2 * length):
+        for at, to in ((0, 300), (200, 0), (50, 600 - size)):
+            other = two.copy()
+            other[to : to + size] = one[at : at + size]
+            parts = [repeats.parse(t, np.array([0, 600]), length) for t in (one, other)]
+            pairs = [(i, j) for i in range(len(parts[0][0])) for j in range(len(parts[1][0])) if parts[0][3][i] == parts[1][3][j]]
+            met = 0
+            for i, j in pairs:
+                mine = {bytes(one[s : s + length]) for s in range(parts[0][1][i], parts[0][2][i] + 1)}
+                its = {bytes(other[s : s + length]) for s in range(parts[1][1][j], parts[1][2][j] + 1)}
+                if mine & its:
+                    met += 1
+                    a, b = int(parts[0][5][i]), int(parts[1][5][j])
+                    assert (a >> 16 == b >> 16 and a >> 16) or (a & 0xFFFF == b & 0xFFFF and a & 0xFFFF)
+            assert met
