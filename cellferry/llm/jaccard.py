@@ -328,7 +328,11 @@ def jaccard_groups(
         grouped = shared.select("key", F.col("node").alias("id")).join(small_enough(placed), "id").select("key", "rep", "component")
         ends = {"low": F.min("component").over(by_key), "high": F.max("component").over(by_key)}
         open_ = grouped.withColumns(ends).where("low <> high").select("key", "rep", "component").distinct()
-        return across(tiled(open_.join(sketches, "rep")), percent, nearest)
+        # Many keys have the same documents: they are one key, named by a hash of these.
+        members = [F.bit_xor(F.xxhash64(F.lit(seed), "rep")).over(by_key) for seed in (1, 2)]
+        same = open_.select(F.xxhash64(F.count("*").over(by_key), *members).alias("key"), "rep", "component").distinct()
+        # Sketches are long, so rows get them when they are cut into tiles.
+        return across(tiled(same).join(sketches, "rep"), percent, nearest)
 
     # As long as it links components, each document is verified with the closest one outside its own;
     # then all pairs that are still open are.

@@ -490,3 +490,17 @@ def test_sides_meet_wherever_strings_are_equal(length):
                     a, b = int(parts[0][5][i]), int(parts[1][5][j])
                     assert (a >> 16 == b >> 16 and a >> 16) or (a & 0xFFFF == b & 0xFFFF and a & 0xFFFF)
             assert met
+
+
+def test_keys_of_the_same_documents_are_one(spark, monkeypatch):
+    """Documents that meet on many keys are compared once in a round, not once a key."""
+    seen = []
+    across = jaccard.across
+    monkeypatch.setattr(jaccard, "across", lambda rows, percent, nearest=False: seen.append(rows.count()) or across(rows, percent, nearest))
+    words = [f"w{i}" for i in range(400)]
+    near = [" ".join(words[:k] + [f"x{k}", f"y{k}"] + words[k + 2 :]) for k in (50, 150, 250)]
+    far = " ".join(words[:330] + [f"z{i}" for i in range(70)])
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*near, far])], "doc_id long, text string")
+    made = {r.doc_id: r.component_id for r in jaccard.jaccard_groups(df).collect()}
+    assert made[0] == made[1] == made[2] == 0
+    assert max(seen) <= 2 ** 4 * 4  # sets of documents, whatever the number of their keys
