@@ -107,6 +107,31 @@ def fingerprint(text: Column) -> Column:
     return F.concat(_exact_lanes(paragraphs), _sign_lanes(F.regexp_extract_all(text, F.lit(RUN), F.lit(0))))
 
 
+# lanes of so few runs go into half a long
+FEW = (1 << 15) - 1
+
+
+def folded(vector: Column) -> Column:
+    """The fingerprint with less room for texts of few runs, to be written and sent."""
+    wide, count = F.slice(vector, EXACT + 1, WIDE), F.element_at(vector, -1)
+    half = F.transform(wide, lambda x: (x.bitwiseAND(FEW) + F.shiftleft(_shifted(x, F.lit(_PLACES[1])), 15)).cast("int"))
+    return F.struct(
+        F.slice(vector, 1, EXACT).alias("exact"),
+        F.when(count <= FEW, half).alias("half"),
+        F.when(count > FEW, wide).alias("wide"),
+        count.alias("count"),
+    )
+
+
+def unfolded(made: Column) -> Column:
+    """The fingerprint that was folded."""
+    full = F.transform(
+        made["half"],
+        lambda x: x.bitwiseAND(FEW).cast("long") + F.shiftleft(F.shiftright(x, 15).cast("long"), _PLACES[1]),
+    )
+    return F.concat(made["exact"], F.coalesce(full, made["wide"]), F.array(made["count"]))
+
+
 def combined(a: Column, b: Column) -> Column:
     """The fingerprint of the paragraphs of both: inserts ``b`` into ``a``."""
     return F.transform(F.arrays_zip(a.alias("x"), b.alias("y"), _masks().alias("m")), lambda z: (z["x"] + z["y"]).bitwiseAND(z["m"]))
@@ -206,11 +231,12 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             F.sha2("edited", 256).alias("edited_sha256"),
             fingerprint(F.col("text")).alias("own_print"),
             fingerprint(F.col("edited")).alias("edited_print"),
-        )
+        ).withColumns({name: folded(F.col(name)) for name in ("own_print", "edited_print")})
     )
     after = made.select(F.col("k").alias("next"), F.col("own_print").alias("next_print")).dropDuplicates(["next"])
     before = order.select("k", "next").join(after, "next").select("k", "next_print")
-    return made.join(before, "k").select(
+    joined = made.join(before, "k").withColumns({name: unfolded(F.col(name)) for name in ("own_print", "edited_print", "next_print")})
+    return joined.select(
         F.col("k.id").alias(id_col),
         "n_chars",
         "edited_sha256",

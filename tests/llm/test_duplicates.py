@@ -504,3 +504,12 @@ def test_keys_of_the_same_documents_are_one(spark, monkeypatch):
     made = {r.doc_id: r.component_id for r in jaccard.jaccard_groups(df).collect()}
     assert made[0] == made[1] == made[2] == 0
     assert max(seen) <= 2 ** 4 * 4  # sets of documents, whatever the number of their keys
+
+
+def test_folded_fingerprints(spark):
+    """Few runs or many, a fingerprint comes back as it was; few take half the room."""
+    texts = ["", "a", "one two, three. four five six seven\neight", "a. " * 40_000]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(fingerprints.fingerprint(F.col("t")).alias("v"))
+    made = df.withColumn("f", fingerprints.folded(F.col("v"))).select("v", "f", fingerprints.unfolded(F.col("f")).alias("u")).collect()
+    assert all(r.v == r.u for r in made)
+    assert [r.f["half"] is None for r in made] == [False, False, False, True]
