@@ -6,12 +6,13 @@ import ctypes
 import io
 import os
 import tempfile
+import time
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 8 << 20
@@ -122,12 +123,28 @@ def text_id(column: str = "text") -> list[Column]:
     return [F.xxhash64(F.col(column)).alias("h1"), F.xxhash64(F.lit(7), F.col(column)).alias("h2")]
 
 
+# seconds between two clean-ups of the driver
+CLEAN_EVERY = 5.0
+_cleaned = [0.0]
+
+
+def _clean_driver(spark: SparkSession) -> None:
+    """Shuffle files and broadcasts are removed when the driver collects the plans that name them, which
+    a driver with memory to spare puts off: it is asked to, at most every few seconds."""
+    if time.monotonic() - _cleaned[0] >= CLEAN_EVERY:
+        spark.sparkContext._jvm.System.gc()
+        _give_back()
+        _cleaned[0] = time.monotonic()
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows written to the shared checkpoint folder, with no lineage left."""
     from ..session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    made = df.checkpoint()
+    _clean_driver(df.sparkSession)
+    return made
 
 
 # A word: characters between the ASCII blanks.
