@@ -34,6 +34,7 @@ from .shingles import mix
 
 GRAM = 32
 SLICE = 4 << 20  # places fit into 24 bits; one longer text makes a slice of its own
+PART = 1 << 19  # bytes of a slice that are hashed at once, or one longer text
 _BYTE = np.random.default_rng(4).integers(1, 1 << 63, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -77,11 +78,30 @@ def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
+def parts(bounds: np.ndarray) -> Iterator[slice]:
+    """The texts in order, of about ``PART`` bytes together: running sums take many times the bytes they are over."""
+    start = 0
+    while start < len(bounds) - 1:
+        end = max(start + 1, int(np.searchsorted(bounds, bounds[start] + PART, "right")) - 1)
+        yield slice(start, end)
+        start = end
+
+
 def parse(flat: np.ndarray, bounds: np.ndarray, length: int):
     """Phrases of the texts: document, first and last start of its strings, trigger hash, content hash, sides."""
+    kinds = np.int64, np.int64, np.int64, np.uint64, np.uint64, np.int32
+    found: list[tuple[np.ndarray, ...]] = [tuple(np.zeros(0, kind) for kind in kinds)]
+    for part in parts(bounds):
+        at = bounds[part.start]
+        if bounds[part.stop] - at >= length:
+            doc, low, high, *rest = _parsed(flat[at : bounds[part.stop]], bounds[part.start : part.stop + 1] - at, length)
+            found.append((doc + part.start, low + at, high + at, *rest))
+    return tuple(map(np.concatenate, zip(*found)))
+
+
+def _parsed(flat: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """The same, at once."""
     none = np.zeros(0, np.int64)
-    if len(flat) < length:
-        return none, none, none, none.astype(np.uint64), none.astype(np.uint64), none.astype(np.int32)
     rolling = Rolling(flat)
     at = np.arange(len(flat) - GRAM + 1)
     grams = rolling.ranges(at, at + GRAM)
@@ -117,23 +137,38 @@ def signed(x: np.ndarray) -> pa.Array:
 def suffix_classes(flat: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
     """Class number of the ``length`` bytes at each start: neighbours in suffix order that are equal share one."""
     words = -(-length // 8)
-    padded = np.concatenate([flat, np.zeros(8 * words, np.uint8)])
-    columns = []
-    for k in range(words):
-        raw = padded[starts[:, None] + np.arange(8 * k, 8 * k + 8)]
-        if 8 * k + 8 > length:
-            raw[:, length - 8 * k :] = 0
-        columns.append(np.ascontiguousarray(raw).view(">u8").ravel().astype(np.uint64))
-    order = np.lexsort(columns[::-1])  # suffixes in byte order
+    eights = np.lib.stride_tricks.sliding_window_view(np.concatenate([flat, np.zeros(8 * words, np.uint8)]), 8)
+
+    def column(k: int) -> np.ndarray:
+        raw = eights[starts + 8 * k]
+        raw[:, max(0, length - 8 * k) :] = 0
+        return raw.view(">u8").ravel().astype(np.uint64)
+
+    order = np.arange(len(starts))
+    for k in reversed(range(words)):  # suffixes in byte order; only one column is held at a time
+        order = order[np.argsort(column(k)[order], kind="stable")]
     differs = np.zeros(len(starts), bool)
-    for column in columns:
-        ranked = column[order]
+    for k in range(words):
+        ranked = column(k)[order]
         differs[1:] |= ranked[1:] != ranked[:-1]
     classes = np.empty(len(starts), np.int64)
     classes[order] = np.cumsum(differs)
     return classes
 
 
+def string_hashes(flat: np.ndarray, bounds: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of the ``length`` bytes at each of the ascending starts."""
+    one, two = np.empty(len(start), np.uint64), np.empty(len(start), np.uint64)
+    for part in parts(bounds):
+        first, last = np.searchsorted(start, bounds[[part.start, part.stop]])
+        if first < last:
+            rolling = Rolling(flat[bounds[part.start] : bounds[part.stop]])
+            at = start[first:last] - bounds[part.start]
+            one[first:last] = whole = rolling.ranges(at, at + length)
+            two[first:last] = mix(rolling.ranges(at, at + length // 2) + whole * np.uint64(3))
+    return one, two
+
+
 def runs(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The union of ranges [low, high) as separate runs."""
     if not len(low):
@@ -252,9 +287,7 @@ def strings(docs: DataFrame, length: int) -> DataFrame:
         start, doc = start[order], doc[order]
         if not len(start):
             return None
-        rolling = Rolling(flat)
-        one = rolling.ranges(start, start + length)
-        two = mix(rolling.ranges(start, start + length // 2) + one * np.uint64(3))
+        one, two = string_hashes(flat, bounds, start, length)
         first = _first_of([suffix_classes(flat, start, length)], doc, ids, ties, start)
         again = ~first
         begin = bounds[doc]
