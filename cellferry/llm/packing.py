@@ -26,6 +26,9 @@ from .common import checkpointed, in_arrow, ship, texts, worker_cache
 
 GROUP_PIECES = 40_000
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # as in the tokenizer's own file
+# A text of these characters alone is cut beside every word that is not of letters, as ``SPLIT`` would.
+ODD = "[^ -~¡-įı-ž]"  # ſ is an s to RE2
+APART = r" ?('[sS]|'[tT]|'[rR][eE]|'[vV][eE]|'[mM]|'[lL][lL]|'[dD]|\p{N}|[^ \p{L}\p{N}]+) ?"
 
 
 class WordIds:
@@ -33,7 +36,8 @@ class WordIds:
 
     White space only separates words for this tokenizer, so a text may be cut at every space. A
     piece of Latin letters is lower-cased and split into words here; any other piece, and a text
-    with an added token's string, goes to the library whole.
+    with an added token's string, goes to the library whole. A text without other characters is cut
+    into words by Arrow, so that its pieces are words.
     """
 
     def __init__(self, path: str):
@@ -67,7 +71,7 @@ class WordIds:
     def learn(self, pieces: set[str]) -> None:
         usual = [p for p in pieces if p.isascii() or (max(p) < "ƀ" and "İ" not in p)]
         odd = list(pieces.difference(usual))
-        split = [self.split.findall(p.lower()) for p in usual]
+        split = [[p.lower()] if p.isalpha() else self.split.findall(p.lower()) for p in usual]
         self.learn_words(list(self.words.missing({w for words in split for w in words})))
         look = self.words.__getitem__
         self.pieces.update((p, b"".join(map(look, words))) for p, words in zip(usual, split))
@@ -78,7 +82,9 @@ class WordIds:
 
         Only the distinct pieces of the column are seen one by one; the others are looked up as a whole.
         """
-        lists = pc.split_pattern(pc.replace_substring(column, "\n", " "), " ")
+        lines = pc.replace_substring(column, "\n", " ")
+        odd = pc.match_substring_regex(lines, ODD)
+        lists = pc.split_pattern(pc.if_else(odd, lines, pc.replace_substring_regex(lines, APART, r" \1 ")), " ")
         at = lists.offsets.to_numpy().astype(np.int64)
         coded = lists.values.slice(at[0], at[-1] - at[0]).dictionary_encode()
         pieces = coded.dictionary.to_pylist()

@@ -155,3 +155,17 @@ def test_a_full_generation_of_words_is_kept_until_the_next(monkeypatch, library)
     for text in ["a b c d e f", "g h a", "x y z w v", "a b", *odd_texts()[:300]]:
         want = np.array(library[WORDS].encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         assert encoder.encoded([text]) == [want]
+
+
+def test_plain_texts_are_cut_into_words(library):
+    """Words were learned once for each sign beside them; now they are cut apart first, as the library does."""
+    rng = random.Random(9)
+    parts = ["a", "It", "'s", "'S", "'", "'RE", "'ll", " ", "  ", "\n", "ß", "É", "ſ", "ŉ", "ª", "½", "²", "12", "!", "«", "\xad", "|", "<|", "_", "$"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(14))) for _ in range(4000)]
+    odd = [rng.choice(["İ", "\t", "\xa0", "\x85", "\x7f", "́", "ƀ", "日"]).join(pair) for pair in zip(texts[:1000], texts[1000:2000])]
+    encoder = packing.WordIds(WORDS)
+    made = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encoded(texts + odd)]
+    assert made == [e.ids for e in library[WORDS].encode_batch(texts + odd, add_special_tokens=False)]
+    encoder = packing.WordIds(WORDS)
+    encoder.encoded(["word, word. (word) word's\nword;word 12"])
+    assert set(encoder.pieces) == {"", "word", ",", ".", "(", ")", "'s", ";", "1", "2"}
