@@ -1,8 +1,8 @@
 """Byte-level BPE by recursive queries in DuckDB, one small database per worker.
 
 Rows of (word, position, token) join the merge table; each round contracts the leftmost pair of
-least rank of every word, until no word has a pair. Token bytes, aggregated in order, decode the
-ids. Every distinct pre-token of a batch goes through the query once; a bounded cache per worker
+least rank of every word, until no word has a pair. Tokens come back in order, and their bytes decode
+the ids. Every distinct pre-token of a batch goes through the query once; a bounded cache per worker
 keeps what it gave. A run-on pre-token of more than ``LONG`` bytes would take as many rounds as it
 has bytes, so a heap contracts its pairs in the same order.
 """
@@ -29,14 +29,14 @@ SQUARES_AT_ONCE = 1_000_000
 
 ENCODE_SQL = """
 WITH RECURSIVE state(round, word, pos, tok, nxt, after) AS (
-    SELECT 0, word, pos, tok, nxt, after FROM given
+    SELECT 0::SMALLINT, word, pos, tok, nxt, after FROM given
   UNION ALL
     (WITH best AS (
-        SELECT s.word, min((m.rank * 1024 + s.pos) * 1024 + s.after) AS choice, any_value(s.round) AS round
+        SELECT s.word, min((m.rank << 20) + s.pos::INTEGER * 1024 + s.after) AS choice, any_value(s.round) AS round
         FROM state s JOIN merges m ON m.a = s.tok AND m.b = s.nxt GROUP BY s.word),
      pair AS (
-        SELECT word, round + 1 AS round, choice // 1048576 AS tok,
-               choice // 1024 % 1024 AS pos, choice % 1024 AS gone FROM best)
+        SELECT word, (round + 1)::SMALLINT AS round, (choice >> 20)::INTEGER AS tok,
+               (choice >> 10 & 1023)::SMALLINT AS pos, (choice & 1023)::SMALLINT AS gone FROM best)
      SELECT p.round, s.word, s.pos,
             CASE WHEN s.pos = p.pos THEN p.tok ELSE s.tok END,
             CASE WHEN s.pos = p.pos THEN g.nxt WHEN s.after = p.pos THEN p.tok ELSE s.nxt END,
@@ -46,9 +46,7 @@ WITH RECURSIVE state(round, word, pos, tok, nxt, after) AS (
 ), rounds AS (
     SELECT word, max(round) AS round FROM state GROUP BY word
 )
-SELECT s.word, count(*) AS n, string_agg(v.name, ',' ORDER BY s.pos) AS ids, string_agg(v.hex, '' ORDER BY s.pos) AS hex
-FROM state s JOIN rounds r ON r.word = s.word AND r.round = s.round JOIN vocabulary v ON v.tok = s.tok
-GROUP BY s.word ORDER BY s.word
+SELECT s.word, s.tok FROM state s JOIN rounds r ON r.word = s.word AND r.round = s.round ORDER BY s.word, s.pos
 """
 
 
@@ -63,7 +61,7 @@ def merge_table(ranks: dict[bytes, int]) -> pa.Table:
         (ranks[t[:i]], ranks[t[i:]], rank) for t, rank in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks
     ]
     a, b, rank = (np.array(c, np.int64) for c in zip(*pairs))
-    return pa.table({"a": a, "b": b, "rank": rank})
+    return pa.table({"a": a.astype(np.int32), "b": b.astype(np.int32), "rank": rank})
 
 
 def in_parts(words: list[bytes]) -> Iterator[list[bytes]]:
@@ -79,6 +77,18 @@ def in_parts(words: list[bytes]) -> Iterator[list[bytes]]:
         yield words[start:]
 
 
+# Stands for a piece that can't be looked up: any sum that it is in is below zero.
+NO_PIECE = (-(1 << 50), b"", b"")
+
+
+def together(parts: list[tuple[int, bytes, bytes]]) -> tuple[int, bytes, bytes]:
+    """Count, ids and decoded bytes of parts that follow one another."""
+    if not parts:
+        return 0, b"", b""
+    n, ids, decoded = zip(*parts)
+    return sum(n), b",".join(ids), b"".join(decoded)
+
+
 class Recent(dict):
     """A bounded cache: when a generation is full, the one before it goes, but for what is used again."""
 
@@ -109,15 +119,7 @@ class WordEncoder:
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         merges = merge_table(self.ranks)  # noqa: F841  read by name
-        vocabulary = pa.table(  # noqa: F841
-            {
-                "tok": pa.array(list(self.names), pa.int64()),
-                "name": list(map(str, self.names)),
-                "hex": [t.hex() for t in self.names.values()],
-            }
-        )
         self.db.execute("CREATE TABLE merges AS FROM merges")
-        self.db.execute("CREATE TABLE vocabulary AS FROM vocabulary")
         self.words, self.pieces = Recent(), Recent()
 
     def queried(self, words: list[bytes]) -> list[tuple[int, bytes, bytes]]:
@@ -131,9 +133,15 @@ class WordEncoder:
             nxt = np.append(tok[1:], -1)
             nxt[np.cumsum(sizes) - 1] = -1  # the last of a word has no pair
             columns = {"word": np.repeat(np.arange(len(part)), sizes), "pos": pos, "tok": tok, "nxt": nxt, "after": pos + 1}
-            given = pa.table(columns)  # noqa: F841  read by name
-            rows = self.db.execute(ENCODE_SQL).fetchall()
-            found += [(n, ids.encode(), bytes.fromhex(hex_)) for _, n, ids, hex_ in rows]
+            kinds = {"word": np.int32, "pos": np.int16, "tok": np.int32, "nxt": np.int32, "after": np.int16}
+            given = pa.table({name: c.astype(kinds[name]) for name, c in columns.items()})  # noqa: F841  read by name
+            rows = self.db.execute(ENCODE_SQL).fetchnumpy()
+            ends = np.searchsorted(rows["word"], np.arange(len(part)), "right").tolist()
+            tokens = rows["tok"].tolist()
+            numbers, names, start = list(map(b"%d".__mod__, tokens)), list(map(self.names.__getitem__, tokens)), 0
+            for end in ends:
+                found.append((end - start, b",".join(numbers[start:end]), b"".join(names[start:end])))
+                start = end
         return found
 
     def contracted(self, word: bytes) -> tuple[int, bytes, bytes]:
@@ -187,8 +195,7 @@ class WordEncoder:
             if len(words) == 1:
                 out.append(look(words[0]))
                 continue
-            parts = [look(w) for w in words]
-            out.append((sum(p[0] for p in parts), b",".join([p[1] for p in parts]), b"".join([p[2] for p in parts])))
+            out.append(together(list(map(look, words))))
         return out
 
     def encoded(self, batch: list[str]) -> list[tuple[int, bytes, bytes]]:
@@ -196,19 +203,19 @@ class WordEncoder:
         split = [t.split(" ") for t in batch]
         missing = self.pieces.missing(set().union(*[p[1:] for p in split]) if split else set())
         usual = [p for p in missing if p and not p[0].isspace() and not p[-1].isspace()]
-        self.pieces.update(dict.fromkeys(missing.difference(usual)))
-        self.pieces.update(zip(usual, self.joined([self.pattern.findall(" " + p) for p in usual])))
+        self.pieces.update(dict.fromkeys(missing.difference(usual), NO_PIECE))
+        split_up = [[" " + p] if p.isascii() and p.isalpha() else self.pattern.findall(" " + p) for p in usual]
+        self.pieces.update(zip(usual, self.joined(split_up)))
         heads = self.joined([self.pattern.findall(p[0]) for p in split])
         look, out, odd = self.pieces.__getitem__, [], []
         for i, (pieces, head) in enumerate(zip(split, heads)):
             parts = list(map(look, pieces[1:]))
-            if None in parts or pieces[0][-1:].isspace():
-                odd.append(i)
-                out.append(head)
-                continue
             if head[0]:
                 parts.insert(0, head)
-            out.append((sum([p[0] for p in parts]), b",".join([p[1] for p in parts]), b"".join([p[2] for p in parts])))
+            made = together(parts)
+            if made[0] < 0 or pieces[0][-1:].isspace():
+                odd.append(i)
+            out.append(made)
         for i, whole in zip(odd, self.joined([self.pattern.findall(batch[i]) for i in odd])):
             out[i] = whole
         return out

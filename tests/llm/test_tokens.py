@@ -169,3 +169,22 @@ def test_plain_texts_are_cut_into_words(library):
     encoder = packing.WordIds(WORDS)
     encoder.encoded(["word, word. (word) word's\nword;word 12"])
     assert set(encoder.pieces) == {"", "word", ",", ".", "(", ")", "'s", ";", "1", "2"}
+
+
+def test_pieces_of_letters_are_words_without_the_pattern(tiktoken_own):
+    """The pattern was run over each new piece; one of ASCII letters is a word by itself."""
+    encoder = bpe.WordEncoder(RANKS, public_tokenizers.PATTERN)
+    seen, pattern = [], encoder.pattern
+
+    class Pattern:
+        @staticmethod
+        def findall(text):
+            seen.append(text)
+            return pattern.findall(text)
+
+    encoder.pattern = Pattern
+    texts = ["Headless wordly Wordling's  wordly", "wordly", "", " wordly é1 x", "wordly \n wordly"]
+    for text, (n, ids, decoded) in zip(texts, encoder.encoded(texts)):
+        want = tiktoken_own.encode_ordinary(text)
+        assert (n, ids, decoded) == (len(want), ",".join(map(str, want)).encode(), text.encode())
+    assert " wordly" not in seen and " Wordling's" in seen and " é1" in seen
